@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobmetrics.operators.quantiles import quantile_array
+from jobmetrics.operators.quantiles import quantiles_of_counts
 from jobmetrics.operators.ranking import running_total
 
 
@@ -17,14 +17,9 @@ def ecdf(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """Empirical distribution per distinct value: `count`, `cdf` = share of rows up to the value,
     and `cdf_first` / `cdf_last` = zero-based rank of its first / last row over the row count."""
     by = by or []
-    ranked = running_total(value_counts(df, value, by), F.col("count"), [value], by, out="_end")
-    if by:
-        sizes = ranked.groupBy(*by).agg(F.max("_end").alias("_n"))
-        ranked = ranked.join(sizes, by)
-        n = F.col("_n")
-    else:
-        n = ranked.agg(F.max("_end")).scalar()
-    end = F.col("_end")
+    counts = value_counts(df, value, by)
+    ranked = running_total(counts, F.col("count"), [value], by, out="_end", total_out="_n")
+    end, n = F.col("_end"), F.col("_n")
     return ranked.select(
         *by,
         value,
@@ -100,9 +95,7 @@ def log_histogram_density(df: DataFrame, value: str, by: str, edges: int, floor:
 
 def table_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles of a whole column, from its distinct values and their counts."""
+    by = by or []
     counts = value_counts(df, value, by)
-    points = quantile_array(F.col(value), tuple(quantiles.values()), F.col("count"))
-    result = counts.groupBy(*(by or [])).agg(points.alias("_q"))
-    return result.select(
-        *(by or []), *[F.get(F.col("_q"), F.lit(i)).alias(name) for i, name in enumerate(quantiles)]
-    )
+    result = quantiles_of_counts(counts, by, value, "count", tuple(quantiles.values()))
+    return result.select(*by, *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(quantiles)])

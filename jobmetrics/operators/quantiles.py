@@ -22,49 +22,56 @@ def long_series(df: DataFrame, keys: list[str], limit: int = LONG_SERIES_ROWS) -
     return None if found.isEmpty() else found
 
 
-def quantile_array(x: Column, quantiles: tuple[float, ...], frequency: Column | None = None) -> Column:
+def quantile_array(x: Column, quantiles: tuple[float, ...]) -> Column:
     """Aggregate giving the linearly interpolated quantiles of `x` as an array."""
-    points = F.array(*[F.lit(float(q)) for q in quantiles])
-    return F.percentile(x, points) if frequency is None else F.percentile(x, points, frequency)
+    return F.percentile(x, F.array(*[F.lit(float(q)) for q in quantiles]))
 
 
-def ranked_quantiles(
-    df: DataFrame, keys: list[str], columns: dict[str, tuple[float, ...]]
+def quantiles_of_counts(
+    counts: DataFrame, by: list[str], value: str, count: str, quantiles: tuple[float, ...]
 ) -> DataFrame:
-    """One row per series with an array `q_<column>` per column.
+    """One row per group with the array `quantiles`, from distinct values and their counts.
 
-    Works on (series, column, value) counts ranked with `running_total`, so the samples of one
-    series never meet in one task.
+    The values are ranked with `running_total`; each order statistic is then a conditional
+    maximum, so no group is ever held in one task.
     """
+    ranked = running_total(counts, F.col(count), [value], by, out="_end", total_out="_n")
+    end, n = F.col("_end"), F.col("_n")
+
+    def at_rank(rank: Column) -> Column:
+        holds = (end - F.col(count) <= rank) & (rank < end)
+        return F.max(F.when(holds, F.col(value)))
+
+    aggregates, values = [], []
+    for i, q in enumerate(quantiles):
+        position = (n - 1) * F.lit(float(q))
+        aggregates += [
+            at_rank(F.floor(position)).alias(f"_lo{i}"),
+            at_rank(F.ceil(position)).alias(f"_hi{i}"),
+            F.max(position - F.floor(position)).alias(f"_w{i}"),
+        ]
+        lo, hi, w = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_w{i}")
+        values.append(lo * (1 - w) + hi * w)
+    return ranked.groupBy(*by).agg(*aggregates).select(*by, F.array(*values).alias("quantiles"))
+
+
+def ranked_quantiles(
+    df: DataFrame, keys: list[str], columns: dict[str, tuple[float, ...]]
+) -> DataFrame:
+    """One row per series with an array `q_<column>` per column."""
     names = list(columns)
-    long = df.select(*keys, *names).unpivot(keys, names, "_metric", "_value")
     counts = (
-        long.where(F.col("_value").isNotNull())
+        df.select(*keys, *names)
+        .unpivot(keys, names, "_metric", "_value")
+        .where(F.col("_value").isNotNull())
         .groupBy(*keys, "_metric", "_value")
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    group = [*keys, "_metric"]
-    ranked = materialise(
-        running_total(counts, F.col("_count"), ["_value"], group, out="_end"), "ranked-values"
-    )
-    sizes = ranked.groupBy(*group).agg(F.max("_end").alias("_n"))
-    start = F.col("_end") - F.col("_count")
-
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < F.col("_end")), F.col("_value")))
-
-    wanted = sorted({q for qs in columns.values() for q in qs})
-    aggregates, finished = [], []
-    for i, q in enumerate(wanted):
-        position = (F.col("_n") - 1) * F.lit(float(q))
-        aggregates += [at_rank(F.floor(position)).alias(f"_lo{i}"), at_rank(F.ceil(position)).alias(f"_hi{i}")]
-        aggregates.append(F.max(position - F.floor(position)).alias(f"_w{i}"))
-        lo, hi, w = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_w{i}")
-        finished.append((lo * (1 - w) + hi * w).alias(f"_q{i}"))
-    per_metric = ranked.join(sizes, group).groupBy(*group).agg(*aggregates).select(*group, *finished)
+    wanted = tuple(sorted({q for qs in columns.values() for q in qs}))
+    per_metric = quantiles_of_counts(counts, [*keys, "_metric"], "_value", "_count", wanted)
 
     def pick(name: str) -> Column:
-        values = F.array(*[F.col(f"_q{wanted.index(q)}") for q in columns[name]])
+        values = F.array(*[F.get("quantiles", F.lit(wanted.index(q))) for q in columns[name]])
         return F.max(F.when(F.col("_metric") == name, values)).alias(f"q_{name}")
 
     return per_metric.groupBy(*keys).agg(*[pick(name) for name in names])

@@ -16,9 +16,10 @@ def running_total(
     order: list[str],
     by: list[str] | None = None,
     out: str = "running",
+    total_out: str = "total",
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Add the running sum of `weight` along `order` within `by`.
+    """Add the running sum of `weight` along `order` within `by`, and the sum over all of `by`.
 
     `by + order` must identify rows. The input is written once; if it is small the sum is one
     plain window. Otherwise rows are range-partitioned on `by + order`, which splits a large
@@ -29,8 +30,9 @@ def running_total(
     rows = materialise(df.withColumn("_weight", weight), "ranked")
     if rows.count() <= single_task_rows:
         window = Window.partitionBy(*by).orderBy(*order)
-        total = F.sum("_weight").over(window.rowsBetween(Window.unboundedPreceding, 0))
-        return rows.withColumn(out, total).drop("_weight")
+        running = F.sum("_weight").over(window.rowsBetween(Window.unboundedPreceding, 0))
+        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return rows.select("*", running.alias(out), F.sum("_weight").over(whole).alias(total_out)).drop("_weight")
 
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -40,16 +42,18 @@ def running_total(
         "pieces",
     )
     # At most one row per piece and group in it: for one large group, as many as there are pieces.
-    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy(*by).orderBy("_piece")
+    before = F.sum("_sum").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    whole = F.sum("_sum").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     shifts = (
         pieces.groupBy(*by, "_piece")
-        .agg(F.sum("_weight").alias("_total"))
-        .select(*by, "_piece", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
+        .agg(F.sum("_weight").alias("_sum"))
+        .select(*by, "_piece", F.coalesce(before, F.lit(0)).alias("_shift"), whole.alias(total_out))
     )
     within = Window.partitionBy(*by, "_piece").orderBy(*order)
     joined = _null_safe_join(pieces, shifts, [*by, "_piece"])
     local = F.sum("_weight").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    return joined.withColumn(out, local + F.col("_shift")).drop("_weight", "_piece", "_shift")
+    return joined.select(*rows.columns, (local + F.col("_shift")).alias(out), total_out).drop("_weight")
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,4 +72,4 @@ def batch_numbers(df: DataFrame, order: list[Column | str], id_col: str, size: i
     keys = [f"_o{i}" for i in range(len(named))] + [id_col]
     ranked = running_total(keyed, F.lit(1), keys, out="_rank")
     batch = F.floor((F.col("_rank") - 1) / F.lit(size)).cast("bigint")
-    return ranked.withColumn("batch", batch).drop("_rank", *[k for k in keys if k != id_col])
+    return ranked.withColumn("batch", batch).drop("_rank", "total", *[k for k in keys if k != id_col])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_scope: contextvars.ContextVar[str] = contextvars.ContextVar("scratch_scope", default="shared")
+
+
 def build_session(app_name: str = "jobmetrics", master: str | None = None, **conf: str) -> SparkSession:
     """Session builder for scripts and tests; on a cluster `master` comes from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -58,11 +64,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     the data, so that a join against the result is broadcast only when it is actually small.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{_scope.get()}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is materialised inside the block once it ends."""
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove_path(spark, f"{scratch_dir(spark)}/{name}")
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables this application wrote."""
     remove_path(spark, scratch_dir(spark))
