@@ -51,6 +51,7 @@ def job_summary(
     gpu_ts: DataFrame,
     busy_pct: float = gpu.BUSY_PCT,
     long_series_rows: int = LONG_SERIES_ROWS,
+    imbalance_decimals: int | None = 4,
 ) -> DataFrame:
     """Wide row per job of `jobs`, which needs the metadata columns and `has_gpu_logs`.
 
@@ -65,8 +66,8 @@ def job_summary(
     joined = (
         jobs.join(cpu.cpu_summary(cpu_ts, long_series_rows), "job_id", "left")
         .join(gpu_part, "job_id", "left")
-        .join(gpu.gpu_imbalance(gpu_ts), "job_id", "left")
-        .join(cpu.cpu_imbalance(cpu_ts), "job_id", "left")
+        .join(gpu.gpu_imbalance(gpu_ts, imbalance_decimals), "job_id", "left")
+        .join(cpu.cpu_imbalance(cpu_ts, imbalance_decimals), "job_id", "left")
         .withColumn("is_gpu_job", F.col("has_gpu_logs") & usable)
     )
     wide = gpu.add_allocation(joined)

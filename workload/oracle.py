@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import places
+from workload.queries import nudge, places
 
 # The tables seen as telemetry
 
@@ -55,7 +55,7 @@ def with_(*parts: str) -> str:
 
 
 def r(expression: str, name: str) -> str:
-    value = f"round({expression}, {places(name)})"
+    value = f"round(({expression}) + {nudge(name)!r}::DOUBLE, {places(name)})"
     return f"CASE WHEN {value} = 0 THEN 0.0::DOUBLE ELSE CAST({value} AS DOUBLE) END AS {name}"
 
 
@@ -219,8 +219,6 @@ def _wide() -> str:
     gpu_part = ", ".join(f"{sql} AS {n}" for n, sql in GPU_WIDE.items())
     is_gpu = "job_id IN (SELECT l_suppkey FROM lineitem)"
     gpu_names = list(GPU_WIDE)
-    ri = "ri_g AS (SELECT job_id, " + ", ".join(f"round({n}, 4) AS {n}" for n in ri_names(GPU_RI)) + " FROM ri_gpu)"
-    ri_c = "ri_c AS (SELECT job_id, " + ", ".join(f"round({n}, 4) AS {n}" for n in ri_names(CPU_RI)) + " FROM ri_cpu)"
     select = [
         "job_id", f"{is_gpu} AS is_gpu_job", "start_s AS start_timestamp", "end_s AS end_timestamp", "runtime_seconds",
         r("node_hours", "node_hours"), r("gpu_hours", "gpu_hours"), r("num_nodes", "num_nodes"), "num_alloc_gpus", "gpu_type", "user_id",
@@ -236,14 +234,14 @@ def _wide() -> str:
     return (
         with_(
             GPU_TS, CPU_TS, JOBS, renamed(GPU_SERIES, "gpu_series"), renamed(CPU_SERIES, "cpu_series"), GPU_SIGNAL,
-            *imbalance_ctes("gpu", "gpu_signal", GPU_RI), *imbalance_ctes("cpu", "cpu_ts", CPU_RI), ri, ri_c,
+            *imbalance_ctes("gpu", "gpu_signal", GPU_RI), *imbalance_ctes("cpu", "cpu_ts", CPU_RI),
             f"cpu_job AS (SELECT job_id, {cpu_part} FROM cpu_series GROUP BY job_id)",
             f"gpu_job AS (SELECT job_id, count(*) FILTER (WHERE {ACTIVE}) AS num_gpus_used, "
             f"count(*) AS num_gpus_total_in_logs, {gpu_part} FROM gpu_series GROUP BY job_id)",
         )
         + "SELECT " + ",\n  ".join(select)
         + "\nFROM jobs LEFT JOIN cpu_job USING (job_id) LEFT JOIN gpu_job USING (job_id)"
-        " LEFT JOIN ri_g USING (job_id) LEFT JOIN ri_c USING (job_id)\n"
+        " LEFT JOIN ri_gpu USING (job_id) LEFT JOIN ri_cpu USING (job_id)\n"
         "WHERE runtime_seconds > 10 AND (job_id IN (SELECT l_suppkey FROM lineitem) OR job_id IN (SELECT user_id FROM events))"
     )
 

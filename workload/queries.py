@@ -24,13 +24,19 @@ def places(column: str) -> int:
     return 4 if ("_kib" in column or "_kb" in column) and not shape and not column.startswith("ri_") else 6
 
 
+def nudge(column: str) -> float:
+    """Added before rounding, so that exact halves (common for means of whole numbers) lie clear
+    of the point where the last bit of a sum would decide."""
+    return 1.7 * 10.0 ** -(places(column) + 2)
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles rounded for comparison, without negative zeros."""
 
     def tidy(name: str, kind: str) -> Column:
         if kind != "double":
             return F.col(name)
-        value = F.round(F.col(name), places(name))
+        value = F.round(F.col(name) + F.lit(nudge(name)), places(name))
         return F.when(value == 0, F.lit(0.0)).otherwise(value).alias(name)
 
     return df.select(*[tidy(name, kind) for name, kind in df.dtypes])
@@ -184,7 +190,7 @@ def ri_cpu(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_metadata(spark: SparkSession, d: str) -> DataFrame:
-    jobs = tables.jobs(spark, d)
+    jobs = metadata.job_metadata(metadata.latest_rows(tables.resubmitted(spark, d)))
     kept = [c for c in metadata.METADATA_COLUMNS if c not in ("start_timestamp", "end_timestamp")]
     seconds = [F.unix_seconds(f"{s}_timestamp").alias(f"{s}_s") for s in ("start", "end")]
     return rounded(jobs.select("job_id", *seconds, *kept, "cpus_per_node"))
@@ -221,7 +227,8 @@ def described_jobs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_summary_wide(spark: SparkSession, d: str) -> DataFrame:
-    wide = job_summary(described_jobs(spark, d), tables.cpu_ts(spark, d), tables.gpu_ts(spark, d), BUSY_PCT)
+    samples = tables.cpu_ts(spark, d), tables.gpu_ts(spark, d)
+    wide = job_summary(described_jobs(spark, d), *samples, BUSY_PCT, imbalance_decimals=None)
     seconds = {f"{s}_timestamp": F.unix_seconds(f"{s}_timestamp") for s in ("start", "end")}
     return rounded(wide.withColumns(seconds))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.plans.metadata import job_metadata, latest_rows
+from jobmetrics.plans.metadata import job_metadata
 from jobmetrics.plans.reports import job_overview
 from jobmetrics.session import configure
 
@@ -82,9 +82,18 @@ def scheduler_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheduler rows in which some jobs also appear with an earlier submission."""
+    rows = scheduler_rows(spark, sf_dir)
+    earlier = rows.where("id_job % 3 = 0").withColumns(
+        {"time_submit": F.lit("1000"), "tres_alloc": F.lit("1001=9"), "exit_code": F.lit("7")}
+    )
+    return rows.unionByName(earlier)
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scheduler_rows(spark, sf_dir)
-    return job_metadata(latest_rows(raw), carry=["o_orderstatus"])
+    raw = scheduler_rows(spark, sf_dir).withColumn("job_id", F.col("id_job").cast("bigint"))
+    return job_metadata(raw, carry=["o_orderstatus"])
 
 
 def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
