@@ -165,7 +165,7 @@ def summarise(spark: SparkSession, cfg: RunConfig, jobs: DataFrame) -> DataFrame
     gpu_records = map_columns(scan_logs(spark, gpu_files, cfg.base_uri), gpu_files.drop("uri"), GPU_COLUMNS)
     cpu_records = map_columns(scan_logs(spark, cpu_files, cfg.base_uri), cpu_files.drop("uri"), CPU_COLUMNS)
     cpu_ts = materialise(tidy_cpu(cpu_records), "cpu-samples")
-    gpu_ts = tidy_gpu(gpu_records, staged=True)
+    gpu_ts = tidy_gpu(gpu_records)
     described = jobs.withColumn("has_gpu_logs", has_files("gpu"))
     return job_summary(described, cpu_ts, gpu_ts, cfg.busy_pct)
 

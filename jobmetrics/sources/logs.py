@@ -45,19 +45,40 @@ def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _field_count(line: Column) -> Column:
-    unquoted = F.regexp_replace(line, r'"[^"]*"', "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    quoted = F.regexp_replace(line, r'"[^"]*"', "")
+    bare = F.when(line.contains('"'), quoted).otherwise(line)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file: its header, and whether any record has more fields than the header.
+def _names_any(line: Column, columns: tuple[str, ...]) -> Column:
+    """True for lines that look like a header: values of a log never spell a column name."""
+    named = None
+    for c in columns:
+        named = line.contains(c) if named is None else named | line.contains(c)
+    return named
 
-    Such a file cannot be read as a table and is left out as a whole.
+
+def file_headers(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """One row per file: `at_<column>`, the position of every column in its header (NULL if the
+    header lacks it), and `readable`: no record has more fields than the header.
+
+    All buffers are numbers, so this is a hash aggregation with partials: no text is shuffled or
+    sorted, and a file of any size is reduced where it is read.
     """
-    header = F.min_by("line", "pos")
-    return lines.groupBy("path_key").agg(
-        header.alias("header_line"), (F.max(_field_count(F.col("line"))) <= _field_count(header)).alias("readable")
+    line, opening = F.col("line"), F.col("pos.block") == 0
+    header = _names_any(line, columns)
+    fields = split_csv_line(line)
+    first = F.min(F.when(opening, F.col("pos.row")))
+    has_header = F.min(F.when(opening & header, F.col("pos.row"))) == first
+    found = lines.groupBy("path_key").agg(
+        has_header.alias("_has_header"),
+        F.max(F.when(opening & header, _field_count(line))).alias("_width"),
+        F.max(_field_count(line)).alias("_widest"),
+        *[F.max(F.when(opening & header, F.array_position(fields, c))).alias(f"_{c}") for c in columns],
     )
+    known = F.coalesce(F.col("_has_header"), F.lit(False))
+    positions = [F.when(known & (F.col(f"_{c}") > 0), F.col(f"_{c}") - 1).cast("int").alias(f"at_{c}") for c in columns]
+    return found.select("path_key", F.coalesce(F.col("_widest") <= F.col("_width"), F.lit(True)).alias("readable"), *positions)
 
 
 def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -65,20 +86,14 @@ def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...])
 
     Files may order their columns differently, so the position of each column travels with the
     file: the per-file table is written once and joined to the lines. It is broadcast only if
-    its written size allows it; otherwise the join shuffles and splits skewed files.
+    its written size allows it; otherwise the join shuffles and splits skewed files. A file with
+    a record wider than its header cannot be read as a table and is left out as a whole.
     Adds `has_<column>` for every column.
     """
-    names = F.split(F.regexp_replace("header_line", '"', ""), ",", -1)
-    at = {c: F.nullif(F.array_position(names, c), F.lit(0)).cast("int") for c in columns}
-    files = manifest.join(file_headers(lines), "path_key").where("readable")
     files = materialise(
-        files.select(
-            *manifest.columns, "header_line", *[(at[c] - 1).alias(f"at_{c}") for c in columns]
-        ),
-        "log-files",
+        manifest.join(file_headers(lines, columns), "path_key").where("readable").drop("readable"), "log-files"
     )
-    # A record that repeats the header holds no usable value in any numeric column.
-    records = lines.join(files, "path_key").where(F.col("line") != F.col("header_line"))
+    records = lines.where(~_names_any(F.col("line"), columns)).join(files, "path_key")
     fields = records.withColumn("_fields", split_csv_line(F.col("line")))
     return fields.select(
         *manifest.columns,
@@ -88,15 +103,13 @@ def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...])
     )
 
 
-def tidy_gpu(records: DataFrame, staged: bool = False) -> DataFrame:
+def tidy_gpu(records: DataFrame) -> DataFrame:
     """GPU samples in UTC from mapped records; see `gpu_samples`.
 
-    With `staged` the parsed samples are written once, so that later passes read a few Parquet
-    columns instead of parsing the text again.
+    The parsed samples are written once, so that finding clock changes and every later pass read
+    a few Parquet columns instead of parsing the text again.
     """
-    samples = gpu_samples(records)
-    if staged:
-        samples = materialise(samples, "gpu-samples")
+    samples = materialise(gpu_samples(records), "gpu-samples")
     series = ["job_id", "path_key", "gpu_index"]
     return series_to_utc(samples, series).drop("path_key", "pos", "wall_s")
 
@@ -147,18 +160,19 @@ def series_to_utc(samples: DataFrame, series: list[str]) -> DataFrame:
     offset = wall_offset(F.col("wall_s"))
     crossing = (
         samples.groupBy(*series)
-        .agg(
-            F.min(offset).alias("_least"),
-            F.max(offset).alias("_most"),
-            F.min_by(offset, "pos").alias("_first_offset"),
-        )
+        .agg(F.min(offset).alias("_least"), F.max(offset).alias("_most"))
         .where(F.col("_least") != F.col("_most"))
-        .select(*series, "_first_offset")
+        .select(*series)
     )
     crossing = materialise(crossing, "clock-change-series")
     if crossing.isEmpty():
         return samples.withColumn("ts", from_epoch(F.col("wall_s") - offset))
-    joined = samples.join(crossing, series, "left")
+    first = (
+        samples.join(crossing, series, "left_semi")
+        .groupBy(*series)
+        .agg(F.min_by(offset, "pos").alias("_first_offset"))
+    )
+    joined = samples.join(materialise(first, "clock-change-offsets"), series, "left")
     shift = F.coalesce(F.col("_first_offset"), offset)
     return joined.withColumn("ts", from_epoch(F.col("wall_s") - shift)).drop("_first_offset")
 

@@ -327,7 +327,7 @@ FROM (SELECT event_id, date_trunc('second', ts) AS w FROM events) e""",
     "gpu_log_samples": f"""WITH s AS (
   SELECT *, CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS BIGINT) AS gpu_index,
          first_value(l_shipdate) OVER (PARTITION BY l_suppkey, l_linenumber, l_returnflag
-           ORDER BY l_orderkey, l_partkey, CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR)) AS first_wall
+           ORDER BY l_orderkey * 100000 + l_partkey) AS first_wall
   FROM lineitem WHERE l_partkey % 50 <> 0)
 SELECT l_suppkey AS job_id, concat('r', l_linenumber) AS node_id, gpu_index, count(*) AS samples,
   {r("sum(l_quantity * 2)", "util_sum")}, {r("sum(round(l_discount * 1000))", "mem_util_sum")},

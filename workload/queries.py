@@ -10,6 +10,7 @@ from jobmetrics.operators.ranking import batch_numbers
 from jobmetrics.operators.series import QUARTILES, Metric, average_over_series, series_stats
 from jobmetrics.plans import cpu, gpu, metadata, reports, runs
 from jobmetrics.plans.summary import job_summary
+from jobmetrics.session import materialise
 from jobmetrics.sources import index as file_index
 from jobmetrics.sources import logs, store
 from workload import tables
@@ -310,19 +311,21 @@ def _gpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
     def joined(names: list[str]) -> Column:
         return F.concat_ws(",", *[cells[n] for n in names])
 
-    order = F.struct(F.lit(1), F.col("l_orderkey"), F.col("l_partkey"), seconds.alias("s"), gpu_index.alias("g"))
     body = items.select(
         path.alias("path_key"),
-        order.alias("pos"),
+        _position(F.col("l_orderkey") * 100000 + F.col("l_partkey") + 1),
         F.when(odd, joined(turned)).otherwise(joined(straight)).alias("line"),
     )
-    head_order = F.struct(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(""), F.lit(""))
     heads = items.select("l_suppkey", "l_linenumber").distinct().select(
         path.alias("path_key"),
-        head_order.cast(body.schema["pos"].dataType).alias("pos"),
+        _position(F.lit(0)),
         F.when(odd, ",".join(turned)).otherwise(",".join(straight)).alias("line"),
     )
-    return heads.unionByName(body)
+    return materialise(heads.unionByName(body), "gpu-lines")
+
+
+def _position(row: Column) -> Column:
+    return F.struct(F.lit(0).cast("bigint").alias("block"), row.cast("bigint").alias("row")).alias("pos")
 
 
 def gpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
@@ -357,15 +360,11 @@ def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
     rss = (F.floor("value") * 10).cast("string")
     cells = [step, node, seconds, F.floor("value").cast("string"), rss, k, k, (F.col("event_id") % 100).cast("string")]
     path = F.concat(F.lit("/cpu/"), F.col("user_id").cast("string"), F.lit("-timeseries.csv"))
-    body = events.select(
-        path.alias("path_key"), F.struct(F.lit(1), F.col("event_id")).alias("pos"), F.concat_ws(",", *cells).alias("line")
-    )
+    body = events.select(path.alias("path_key"), _position(F.col("event_id") + 1), F.concat_ws(",", *cells).alias("line"))
     heads = events.select("user_id").distinct().select(
-        path.alias("path_key"),
-        F.struct(F.lit(0), F.lit(0).cast("bigint")).cast(body.schema["pos"].dataType).alias("pos"),
-        F.lit(",".join(logs.CPU_COLUMNS)).alias("line"),
+        path.alias("path_key"), _position(F.lit(0)), F.lit(",".join(logs.CPU_COLUMNS)).alias("line")
     )
-    return heads.unionByName(body)
+    return materialise(heads.unionByName(body), "cpu-lines")
 
 
 def cpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
