@@ -94,12 +94,12 @@ def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...])
         manifest.join(file_headers(lines, columns), "path_key").where("readable").drop("readable"), "log-files"
     )
     records = lines.where(~_names_any(F.col("line"), columns)).join(files, "path_key")
+    # Generated cells are values that later filters cannot be pushed through; otherwise every
+    # condition on a cell would split the line again.
     fields = records.withColumn("_fields", split_csv_line(F.col("line")))
+    cells = F.inline(F.array(F.struct(*[F.get("_fields", F.col(f"at_{c}")).alias(c) for c in columns])))
     return fields.select(
-        *manifest.columns,
-        "pos",
-        *[F.get("_fields", F.col(f"at_{c}")).alias(c) for c in columns],
-        *[F.col(f"at_{c}").isNotNull().alias(f"has_{c}") for c in columns],
+        *manifest.columns, "pos", *[F.col(f"at_{c}").isNotNull().alias(f"has_{c}") for c in columns], cells
     )
 
 
