@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -180,7 +181,7 @@ def scan_logs(spark: SparkSession, files: DataFrame, base_uri: str) -> DataFrame
     if not listed:
         return spark.createDataFrame([], LINE_TYPE)
     if len(listed) <= LISTED_FILES:
-        paths = "{" + ",".join(_glob_literal(row.uri) for row in listed) + "}"
+        paths = _one_glob([row.uri for row in listed])
     elif base_uri:
         paths = base_uri
     else:
@@ -194,6 +195,14 @@ def scan_logs(spark: SparkSession, files: DataFrame, base_uri: str) -> DataFrame
         return spark.createDataFrame([], LINE_TYPE)
 
 
+def _one_glob(uris: list[str]) -> str:
+    """Glob naming exactly `uris`, their common folder first, as a glob cannot open with a brace."""
+    common = os.path.commonprefix(uris)
+    folder = common[: common.rfind("/") + 1]
+    names = ",".join(_glob_literal(u[len(folder) :]) for u in uris)
+    return f"{_glob_literal(folder)}{{{names}}}"
+
+
 def _glob_literal(path: str) -> str:
     return "".join(f"\\{c}" if c in "{}[]*?,\\" else c for c in path)
 
