@@ -44,9 +44,10 @@ def series_stats(
 ) -> DataFrame:
     """One row per series (`keys`) with the statistics of every metric and the `extra` aggregates.
 
-    Everything is one aggregation with map-side partials, so a series holding a large share of
-    all rows is reduced before the shuffle. Only quantiles need the values themselves: series
-    longer than `long_series_rows` get theirs from `ranked_quantiles`.
+    All but the quantiles is one hash aggregation on numbers with map-side partials, so a series
+    holding a large share of all rows is reduced before the shuffle. Quantiles need the values
+    themselves and are a second aggregation over just their columns; its result is partitioned
+    like the first one, so joining the two moves nothing. Series with a NULL key get none.
     """
     metrics = list(metrics)
     aggregates = list(extra)
@@ -57,27 +58,34 @@ def series_stats(
         aggregates += [share_above(x, t).alias(name) for name, t in m.above.items()]
 
     with_quantiles = [m for m in metrics if m.quantiles]
-    if not with_quantiles:
-        return df.groupBy(*keys).agg(*aggregates)
-
-    arrays = [quantile_array(F.col(m.column), m.quantiles).alias(f"q_{m.column}") for m in with_quantiles]
-    long_keys = long_series(df, keys, long_series_rows)
+    quantiles = _series_quantiles(df, keys, with_quantiles, long_series_rows) if with_quantiles else None
+    if not aggregates:
+        return quantiles
+    stats = df.groupBy(*keys).agg(*aggregates)
+    return stats if quantiles is None else stats.join(quantiles, keys, "left")
+
+
+def _series_quantiles(df: DataFrame, keys: list[str], metrics: list[Metric], long_series_rows: int) -> DataFrame:
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    samples = df.where(present).select(*keys, *dict.fromkeys(m.column for m in metrics))
+    arrays = [quantile_array(F.col(m.column), m.quantiles).alias(f"q_{m.column}") for m in metrics]
+    long_keys = long_series(samples, keys, long_series_rows)
     if long_keys is None:
-        stats = df.groupBy(*keys).agg(*aggregates, *arrays)
+        quantiles = samples.groupBy(*keys).agg(*arrays)
     else:
-        wanted = {m.column: m.quantiles for m in with_quantiles}
-        short = df.join(long_keys, keys, "left_anti").groupBy(*keys).agg(*arrays)
-        ranked = ranked_quantiles(df.join(long_keys, keys, "left_semi"), keys, wanted)
-        quantiles = short.unionByName(ranked)
-        stats = df.groupBy(*keys).agg(*aggregates).join(quantiles, keys, "left")
-
-    kept = [c for c in stats.columns if not c.startswith("q_")]
-    spread = [
+        short = samples.join(long_keys, keys, "left_anti").groupBy(*keys).agg(*arrays)
+        long_samples = samples.join(long_keys, keys, "left_semi")
+        quantiles = short.unionByName(
+            ranked_quantiles(long_samples, keys, {m.column: m.quantiles for m in metrics})
+        )
+    named = [
         F.get(F.col(f"q_{m.column}"), F.lit(i)).alias(name)
-        for m in with_quantiles
+        for m in metrics
         for i, name in enumerate(m.quantile_names())
     ]
-    return stats.select(*kept, *spread)
+    return quantiles.select(*keys, *named)
 
 
 def average_over_series(names: Iterable[str], active: Column | None = None) -> list[Column]:

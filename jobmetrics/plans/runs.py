@@ -28,7 +28,7 @@ from jobmetrics.sources.scheduler import read_scheduler_csv
 
 logger = logging.getLogger(__name__)
 
-# Up to this many log files are named one by one; beyond it the whole log folder is scanned.
+# Up to this many log files (or else folders) are named one by one.
 LISTED_FILES = 10_000
 LINE_TYPE = "path_key string, pos struct<block:bigint,row:bigint>, line string"
 
@@ -122,10 +122,10 @@ def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame) -> list
             return []
         batches = [typed]
         if cfg.batch_size:
-            numbered = materialise(
-                batch_numbers(typed, [F.col("time_submit").isNull(), "time_submit"], "job_id", cfg.batch_size),
-                "batches",
-            )
+            order = [F.col("time_submit").isNull(), "time_submit"]
+            numbered = batch_numbers(typed, order, "job_id", cfg.batch_size)
+            # Sorted by batch, so that reading one batch skips the files and row groups of others.
+            numbered = materialise(numbered.repartitionByRange("batch").sortWithinPartitions("batch"), "batches")
             count = numbered.agg(F.max("batch")).first()[0] + 1
             batches = [numbered.where(F.col("batch") == b).drop("batch") for b in range(count)]
         written = []
@@ -174,24 +174,28 @@ def summarise(spark: SparkSession, cfg: RunConfig, jobs: DataFrame) -> DataFrame
 def scan_logs(spark: SparkSession, files: DataFrame, base_uri: str) -> DataFrame:
     """Lines of the manifest's files; a file that is not there contributes nothing.
 
-    A short manifest is read file by file through one glob, which skips missing names. A long
-    one is never brought to the driver: the log folder is scanned and joined with it.
+    A short manifest is read file by file through one glob, which skips missing names. A longer
+    one is never brought to the driver: its folders are scanned, or if even those are too many
+    the whole log store, and the scan is joined with the manifest.
     """
-    listed = files.select("uri").distinct().limit(LISTED_FILES + 1).collect()
-    if not listed:
-        return spark.createDataFrame([], LINE_TYPE)
-    if len(listed) <= LISTED_FILES:
-        paths = _one_glob([row.uri for row in listed])
-    elif base_uri:
-        paths = base_uri
-    else:
+    folder = F.regexp_replace("uri", "/[^/]*$", "")
+    paths = None
+    for names in (files.select("uri"), files.where(F.col("uri").contains("/")).select(folder.alias("uri"))):
+        listed = [row.uri for row in names.distinct().limit(LISTED_FILES + 1).collect()]
+        if not listed:
+            return spark.createDataFrame([], LINE_TYPE)
+        if len(listed) <= LISTED_FILES:
+            paths = _one_glob(listed)
+            break
+    paths = paths or base_uri
+    if not paths:
         raise ValueError("base_uri is needed to scan the logs of this many files")
     try:
         return read_log_lines(spark, paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        logger.warning("none of the %d log files of this batch exists", len(listed))
+        logger.warning("no log of this batch was found at %s", paths[:500])
         return spark.createDataFrame([], LINE_TYPE)
 
 

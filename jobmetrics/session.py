@@ -16,9 +16,6 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Exact percentiles aggregate per series. A task sees many short series, and below this many
-    # keys the hash variant avoids sorting the raw samples first.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
