@@ -18,8 +18,8 @@ def long_series(df: DataFrame, keys: list[str], limit: int = LONG_SERIES_ROWS) -
     Reads the key columns only; there can be at most rows / limit such series.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    found = materialise(counts.where(F.col("n") > F.lit(limit)).select(*keys), "long-series")
-    return None if found.isEmpty() else found
+    found = counts.where(F.col("n") > F.lit(limit)).select(*keys)
+    return None if found.isEmpty() else materialise(found, "long-series")
 
 
 def quantile_array(x: Column, quantiles: tuple[float, ...]) -> Column:

@@ -88,6 +88,13 @@ def _series_quantiles(df: DataFrame, keys: list[str], metrics: list[Metric], lon
     return quantiles.select(*keys, *named)
 
 
-def average_over_series(names: Iterable[str], active: Column | None = None) -> list[Column]:
+def series_averages(names: Iterable[str], active: Column | None = None) -> list[Column]:
     """Aggregates that average per-series statistics, over the `active` series if given."""
     return [F.avg(F.col(n) if active is None else F.when(active, F.col(n))).alias(n) for n in names]
+
+
+def average_over_series(
+    stats: DataFrame, keys: list[str], names: Iterable[str], active: Column | None = None
+) -> DataFrame:
+    """One row per `keys` with the statistics `names` averaged over its (active) series."""
+    return stats.groupBy(*keys).agg(*series_averages(names, active))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.operators.imbalance import imbalance
 from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
-from jobmetrics.operators.series import QUARTILES, Metric, average_over_series, series_stats
+from jobmetrics.operators.series import QUARTILES, Metric, series_averages, series_stats
 
 # Thresholds of the time-above shares (percent, and a ratio).
 BUSY_PCT = 50.0
@@ -78,7 +78,7 @@ def cpu_summary(cpu_ts: DataFrame, long_series_rows: int = LONG_SERIES_ROWS) ->
     on_node = F.col("node_id").isNotNull()
     averaged = [n for m in METRICS for n in m.outputs()]
     return series.groupBy(JOB).agg(
-        *average_over_series(averaged, on_node),
+        *series_averages(averaged, on_node),
         memory_pressure().alias("mem_pressure"),
         *io_totals(),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobmetrics.functions.clock import seconds_between
 from jobmetrics.operators.imbalance import imbalance, node_signal
 from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
-from jobmetrics.operators.series import QUARTILES, Metric, average_over_series, series_stats
+from jobmetrics.operators.series import QUARTILES, Metric, series_averages, series_stats
 
 # Fixed value: a device is active when its mean utilisation exceeds this many percent.
 BUSY_PCT = 2.0
@@ -108,7 +108,7 @@ def gpu_summary(
         flags += [F.max(flag).alias(flag) for flag in FILE_FLAGS[1:]]
     return series.groupBy(JOB).agg(
         *device_counts(active),
-        *average_over_series(averaged, active),
+        *series_averages(averaged, active),
         sum_over_active("gpu_mem_used_kib_mean", active).alias("gpu_mem_used_kib_sum"),
         *power_totals(active),
         *power_variability(active),

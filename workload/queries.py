@@ -55,21 +55,21 @@ def gpu_job_stats(spark: SparkSession, d: str) -> DataFrame:
     metrics = [Metric(m.column, m.prefix) for m in gpu.gpu_metrics(BUSY_PCT)]
     series = gpu.gpu_series(tables.gpu_ts(spark, d), BUSY_PCT, metrics)
     names = [n for m in metrics for n in m.outputs()]
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names, gpu.is_active(BUSY_PCT))))
+    return rounded(average_over_series(series, ["job_id"], names, gpu.is_active(BUSY_PCT)))
 
 
 def gpu_percentiles(spark: SparkSession, d: str) -> DataFrame:
     metrics = [Metric("util_pct", "gpu_util", ("mean",), QUARTILES), Metric("mem_util_pct", "gpu_mem_util", (), QUARTILES)]
     series = gpu.gpu_series(tables.gpu_ts(spark, d), BUSY_PCT, metrics)
     names = [n for m in metrics for n in m.quantile_names()]
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names, gpu.is_active(BUSY_PCT))))
+    return rounded(average_over_series(series, ["job_id"], names, gpu.is_active(BUSY_PCT)))
 
 
 def gpu_time_above(spark: SparkSession, d: str) -> DataFrame:
     name = "gpu_time_above_threshold_pct"
     metrics = [Metric("util_pct", "gpu_util", ("mean",), above={name: BUSY_PCT})]
     series = gpu.gpu_series(tables.gpu_ts(spark, d), BUSY_PCT, metrics)
-    return rounded(series.groupBy("job_id").agg(*average_over_series([name], gpu.is_active(BUSY_PCT))))
+    return rounded(average_over_series(series, ["job_id"], [name], gpu.is_active(BUSY_PCT)))
 
 
 def _with_jobs(spark: SparkSession, d: str, part: DataFrame) -> DataFrame:
@@ -135,21 +135,21 @@ def cpu_job_stats(spark: SparkSession, d: str) -> DataFrame:
     metrics = [Metric(m.column, m.prefix) for m in cpu.METRICS]
     names = [n for m in metrics for n in m.outputs()]
     series = cpu.cpu_series(tables.cpu_ts(spark, d), metrics)
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names, F.col("node_id").isNotNull())))
+    return rounded(average_over_series(series, ["job_id"], names, F.col("node_id").isNotNull()))
 
 
 def cpu_percentiles(spark: SparkSession, d: str) -> DataFrame:
     metrics = [Metric(m.column, m.prefix, (), m.quantiles) for m in cpu.METRICS if m.quantiles]
     names = [n for m in metrics for n in m.outputs()]
     series = cpu.cpu_series(tables.cpu_ts(spark, d), metrics)
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names, F.col("node_id").isNotNull())))
+    return rounded(average_over_series(series, ["job_id"], names, F.col("node_id").isNotNull()))
 
 
 def cpu_time_above(spark: SparkSession, d: str) -> DataFrame:
     metrics = [Metric(m.column, m.prefix, (), above=m.above) for m in cpu.METRICS if m.above]
     names = [n for m in metrics for n in m.outputs()]
     series = cpu.cpu_series(tables.cpu_ts(spark, d), metrics)
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names, F.col("node_id").isNotNull())))
+    return rounded(average_over_series(series, ["job_id"], names, F.col("node_id").isNotNull()))
 
 
 def cpu_normalised_util(spark: SparkSession, d: str) -> DataFrame:
@@ -161,7 +161,7 @@ def cpu_normalised_util(spark: SparkSession, d: str) -> DataFrame:
     normal = samples.withColumn("cpu_util_pct", util)
     series = cpu.cpu_series(normal, [Metric("cpu_util_pct", "cpu_util", ("mean", "max"), above={"cpu_time_above_50pct": 50.0})])
     names = ["cpu_util_mean", "cpu_util_max", "cpu_time_above_50pct"]
-    return rounded(series.groupBy("job_id").agg(*average_over_series(names)))
+    return rounded(average_over_series(series, ["job_id"], names))
 
 
 def cpu_io_totals(spark: SparkSession, d: str) -> DataFrame:
