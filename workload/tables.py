@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.plans.metadata import job_metadata
+from jobmetrics.functions.text import allocated_gpus, gpu_type, to_text
+from jobmetrics.plans.metadata import add_resource_hours, cpus_per_node
 from jobmetrics.plans.reports import job_overview
 from jobmetrics.session import configure
 
@@ -53,32 +54,51 @@ def cpu_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scheduler_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as scheduler rows, every column as text like a scheduler export."""
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the end and the node count their line items give them."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").alias("end_ts"), F.countDistinct("l_suppkey").alias("nodes")
     )
-    orders = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    key = F.col("o_orderkey")
+    return (
+        table(spark, sf_dir, "orders")
+        .join(lines, "o_orderkey", "left")
+        .select(
+            "o_orderkey",
+            "o_orderstatus",
+            F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("start_s"),
+            F.unix_seconds(F.col("end_ts").cast("timestamp")).alias("end_s"),
+            "nodes",
+            F.concat(
+                F.lit("cpu=8,mem=16G,100"), (key % 4).cast("string"), F.lit("="), (key % 5).cast("string")
+            ).alias("tres_alloc"),
+            F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("partition"),
+            F.when(F.col("o_orderstatus") == "O", "0")
+            .when(F.col("o_orderstatus") == "F", "1")
+            .otherwise("n/a")
+            .alias("exit_code"),
+            F.col("o_custkey").cast("string").alias("id_user"),
+        )
+    )
 
-    def epoch(column: str):
-        return F.unix_seconds(F.col(column).cast("timestamp")).cast("string")
 
-    key = F.col("o_orderkey")
-    exit_code = F.when(F.col("o_orderstatus") == "O", "0").when(F.col("o_orderstatus") == "F", "1").otherwise("n/a")
-    return orders.select(
-        key.cast("string").alias("id_job"),
-        epoch("o_orderdate").alias("time_submit"),
-        epoch("o_orderdate").alias("time_start"),
-        epoch("end_ts").alias("time_end"),
-        F.col("nodes").cast("string").alias("nodes_alloc"),
-        (key % 17).cast("string").alias("cpus_req"),
-        F.concat(
-            F.lit("cpu=8,mem=16G,100"), (key % 4).cast("string"), F.lit("="), (key % 5).cast("string")
-        ).alias("tres_alloc"),
-        F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("partition"),
-        exit_code.alias("exit_code"),
-        F.col("o_custkey").cast("string").alias("id_user"),
-        "o_orderstatus",
+def scheduler_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as scheduler rows, every column as text like a scheduler export."""
+
+    def string(name: str, alias: str):
+        return F.col(name).cast("string").alias(alias)
+
+    return _orders(spark, sf_dir).select(
+        string("o_orderkey", "id_job"),
+        string("start_s", "time_submit"),
+        string("start_s", "time_start"),
+        string("end_s", "time_end"),
+        string("nodes", "nodes_alloc"),
+        (F.col("o_orderkey") % 17).cast("string").alias("cpus_req"),
+        "tres_alloc",
+        "partition",
+        "exit_code",
+        "id_user",
     )
 
 
@@ -92,8 +112,23 @@ def resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scheduler_rows(spark, sf_dir).withColumn("job_id", F.col("id_job").cast("bigint"))
-    return job_metadata(raw, carry=["o_orderstatus"])
+    """The same jobs with typed metadata, as a run keeps them."""
+    typed = _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("job_id"),
+        "o_orderstatus",
+        F.timestamp_seconds("start_s").alias("start_timestamp"),
+        F.timestamp_seconds("end_s").alias("end_timestamp"),
+        F.coalesce(F.col("end_s") - F.col("start_s"), F.lit(0)).alias("runtime_seconds"),
+        F.col("nodes").cast("double").alias("num_nodes"),
+        allocated_gpus(F.col("tres_alloc")).alias("num_alloc_gpus"),
+        gpu_type(F.col("tres_alloc")).alias("gpu_type"),
+        F.col("id_user").alias("user_id"),
+        F.col("partition").alias("queue_name"),
+        to_text(F.col("exit_code")).alias("exit_code"),
+        (F.col("o_orderkey") % 17).cast("double").alias("cpus_req"),
+        F.col("start_s").cast("double").alias("time_submit"),
+    )
+    return add_resource_hours(typed).withColumn("cpus_per_node", cpus_per_node())
 
 
 def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
