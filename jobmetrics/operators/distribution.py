@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.operators.quantiles import quantiles_of_counts
 from jobmetrics.operators.ranking import running_total
+from jobmetrics.session import materialise
 
 
 def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
@@ -34,9 +35,10 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """`bins` equal-width bins over [min, max]; the last one is closed. Empty bins are kept.
 
     A value counts for the bin whose computed edges enclose it. A single distinct value gets a
-    range of one around it.
+    range of one around it. The table is reduced to its distinct values once; range and bins are
+    both taken from those.
     """
-    counts = value_counts(df, value)
+    counts = materialise(value_counts(df, value), "value-counts")
     range_ = counts.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     single = F.col("lo") == F.col("hi")
     edges = range_.select(
@@ -70,7 +72,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def log_histogram_density(df: DataFrame, value: str, by: str, edges: int, floor: float) -> DataFrame:
     """Density per group over `edges` log-spaced edges shared by all groups, from `floor` to the
     largest value plus one. Values below `floor` are outside; density integrates to 1 per group."""
-    counts = value_counts(df, value, [by])
+    counts = materialise(value_counts(df, value, [by]), "value-counts")
     top = counts.agg(F.max(value)).scalar()
     lo = F.log10(F.lit(float(floor)))
     bins = edges - 1

@@ -9,6 +9,7 @@ from jobmetrics.session import child_names, path_exists
 LEDGER_SCHEMA = "job_id bigint, status string, error string, run_id bigint"
 DONE, SKIPPED, FAILED = "done", "skipped", "failed"
 RUN_PREFIX = "run_id="
+FINISHED = "_SUCCESS"  # left by Spark's file committer
 
 
 def summary_path(store: str) -> str:
@@ -32,12 +33,17 @@ def append_ledger(entries: DataFrame, store: str, run_id: int) -> None:
 
 
 def read_summaries(spark: SparkSession, store: str) -> DataFrame | None:
-    """All runs' rows united by column name, or None before the first run. Files that cannot be
-    read are skipped."""
-    if not run_ids(spark, summary_path(store)):
+    """All finished runs' rows united by column name, or None before the first one.
+
+    A run folder whose write did not finish is left out; files that cannot be read are skipped.
+    """
+    root = summary_path(store)
+    folders = [f"{root}/{RUN_PREFIX}{n}" for n in run_ids(spark, root)]
+    finished = [f for f in folders if path_exists(spark, f"{f}/{FINISHED}")]
+    if not finished:
         return None
     reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
-    return reader.parquet(summary_path(store))
+    return reader.option("basePath", root).parquet(*finished)
 
 
 def read_ledger(spark: SparkSession, store: str) -> DataFrame:

@@ -197,5 +197,7 @@ def test_runs_are_united_by_column_name(spark, tmp_path):
     rows = {r.job_id: (r.a, r.b, r.run_id) for r in store.read_summaries(spark, where).collect()}
     assert rows == {0: (1.5, None, 1), 1: (1.5, None, 1), 2: (None, "x", 4)}
     assert store.next_run_id(spark, where) == 5
+    os.makedirs(f"{where}/summary/run_id=7/_temporary")  # a write that was cut short
+    assert store.read_summaries(spark, where).count() == 3 and store.next_run_id(spark, where) == 8
     with pytest.raises(Exception, match="(?i)exists"):
         store.write_summary(spark.range(1).selectExpr("id AS job_id"), where, 4)
