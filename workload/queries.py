@@ -321,7 +321,13 @@ def _gpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
         _position(F.lit(0)),
         F.when(odd, ",".join(turned)).otherwise(",".join(straight)).alias("line"),
     )
-    return materialise(heads.unionByName(body), "gpu-lines")
+    return _written(heads.unionByName(body), "gpu-lines")
+
+
+def _written(lines: DataFrame, label: str) -> DataFrame:
+    """Log lines on disk in many files, as logs are."""
+    files = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(lines.repartition(files), label)
 
 
 def _position(row: Column) -> Column:
@@ -364,7 +370,7 @@ def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
     heads = events.select("user_id").distinct().select(
         path.alias("path_key"), _position(F.lit(0)), F.lit(",".join(logs.CPU_COLUMNS)).alias("line")
     )
-    return materialise(heads.unionByName(body), "cpu-lines")
+    return _written(heads.unionByName(body), "cpu-lines")
 
 
 def cpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
