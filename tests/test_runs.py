@@ -126,9 +126,10 @@ def test_batches_and_crash_between_the_two_writes(spark, site, monkeypatch):
     assert run_plan(spark, cfg).first().to_process == 1
 
 
-def test_many_files_are_scanned_by_folder(spark, site, monkeypatch):
+@pytest.mark.parametrize("listed", [1, 0])  # by folder, and the whole log store
+def test_many_files_are_not_listed(spark, site, monkeypatch, listed):
     path, _ = site
-    monkeypatch.setattr(runs, "LISTED_FILES", 1)
+    monkeypatch.setattr(runs, "LISTED_FILES", listed)
     run(spark, config(path))
     rows = {r.job_id: r for r in spark.read.parquet(str(path / "out")).collect()}
     assert rows[1].gpu_util_mean == 60.0 and rows[2].cpu_util_mean == 75.0 and rows[4].cpu_util_mean is None
