@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -42,3 +42,14 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch as Python strings; null counts as empty."""
     return [x if x is not None else "" for x in batch.column(column).to_pylist()]
+
+
+def label_split(doc_id: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo; null for a null id."""
+    return F.crc32(F.col(doc_id).cast("string")) % modulus
+
+
+def one_label(labels: DataFrame, label: str) -> DataFrame:
+    """One row per labelled id; of repeated rows the larger label counts, null ids and labels do not."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    return known.groupBy("doc_id").agg(F.max(label).alias("label"))

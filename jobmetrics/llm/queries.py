@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import bpe, packing, pii, quality_rules, url_filter
+from jobmetrics.llm import bpe, packing, pii, quality_model, quality_rules, toxicity, url_filter
 from jobmetrics.llm.common import table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -32,6 +32,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -44,6 +52,8 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_pii": op6_pii,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_url_filter": op10_url_filter,
 }
