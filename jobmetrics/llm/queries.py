@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import bpe, packing, pii, quality_model, quality_rules, toxicity, url_filter
+from jobmetrics.llm import ann, bpe, packing, pii, quality_model, quality_rules, toxicity, url_filter
 from jobmetrics.llm.common import table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -21,6 +21,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_documents(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -50,6 +55,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_quality_rules": op4_quality_rules,
     "op6_pii": op6_pii,
     "op7_quality_classifier": op7_quality_classifier,
