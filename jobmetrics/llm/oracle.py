@@ -71,4 +71,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN rejected ON judged.source IS NOT DISTINCT FROM rejected.source
 """
 
-ORACLES = {"op4_quality_rules": OP4, "op10_url_filter": OP10}
+# Every window of 13 words, the smallest document it starts in, and the words of the others covered.
+OP1 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS content
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)
+),
+again AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY content) < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM again, range(13) AS r(k)),
+words AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op10_url_filter": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import ann, bpe, packing, pii, quality_model, quality_rules, toxicity, url_filter
+from jobmetrics.llm import ann, bpe, packing, pii, quality_model, quality_rules, substrings, toxicity, url_filter
 from jobmetrics.llm.common import table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -15,6 +15,11 @@ SEQUENCE_TOKENS = 1024
 END_ID = 2
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"), length=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), RANKS, PATTERN, END_ID, SEQUENCE_TOKENS)
     # The ids themselves need not be shuffled: a piece is known by where it starts.
@@ -54,6 +59,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_quality_rules": op4_quality_rules,
