@@ -93,4 +93,35 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op10_url_filter": OP10}
+# Pairs that share a shingle, their similarity, and the smallest document reachable.
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM documents
+),
+tokens AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3
+    THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS token FROM w
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 90 * (x.n + y.n - k)
+),
+linked AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, linked.b FROM reach JOIN linked ON linked.a = reach.b
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(reach.b) AS component_id
+FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+ORACLES = {"op5_jaccard_join": OP5, "op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op10_url_filter": OP10}

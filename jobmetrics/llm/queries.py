@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import ann, bpe, packing, pii, quality_model, quality_rules, substrings, toxicity, url_filter
+from jobmetrics.llm import ann, bpe, jaccard, packing, pii, quality_model, quality_rules, substrings, toxicity, url_filter
 from jobmetrics.llm.common import table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -38,6 +38,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_quality_rules": op4_quality_rules,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_pii": op6_pii,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_toxicity": op8_toxicity,
