@@ -1,22 +1,58 @@
-"""A corpus pipeline from raw documents to packed training sequences; every stage is one operator."""
+"""A corpus pipeline from raw documents to packed training sequences; every stage is one operator.
+
+Null texts go through every stage (as texts without words). Documents keep their columns until the
+last stage, whose rows are the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import packing, pii
+from jobmetrics.llm import jaccard, packing, pii, substrings, toxicity
 from jobmetrics.llm.common import DOCUMENT_COLUMNS, table
 from jobmetrics.llm.queries import END_ID, PATTERN, RANKS, SEQUENCE_TOKENS
 from jobmetrics.session import scratch_dir
-from pyspark.sql import functions as F
+
+TOXIC_SCORE = 0.7
+
+
+def _documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of documents, with n_chars as the text now is."""
+    sized = rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return sized.select(*DOCUMENT_COLUMNS)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, model, DOCUMENT_COLUMNS, score="_score")
+    return scored.where(F.col("_score") < TOXIC_SCORE).drop("_score")
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, and of its rows all.
+
+    Ids to be kept are narrow and join the documents on the id, which is unique or nearly so.
+    """
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    groups = jaccard.similar_documents(docs.select("doc_id", "text"))
+    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go from the texts; a text without any stays as it is, line breaks included."""
+    done = substrings.remove_repeats(docs.select(*DOCUMENT_COLUMNS), carry=("text", "lang", "source", "n_chars"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return _documents(done.withColumn("text", text), docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; every document stays."""
-    done = pii.mask_personal_data(docs.select(*DOCUMENT_COLUMNS))
-    return done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return _documents(pii.mask_personal_data(docs.select(*DOCUMENT_COLUMNS)), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +62,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("jaccard_join", jaccard_stage),
+    ("substring_dedup", substring_stage),
     ("pii", pii_stage),
     ("best_fit_packing", packing_stage),
 ]

@@ -158,7 +158,8 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW_WORDS, carry: tuple[str
     bits = max(0, int(chars // CHUNK_CHARS).bit_length())
     kinds = dict(docs.dtypes)
     chunk_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << bits))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry, chunk_of.alias("chunk"))
+    also = [name for name in carry if name != "text"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also, chunk_of.alias("chunk"))
     asked_as = "spot long, chunk long, h binary, c binary, low binary, more binary"
     answered_as = "chunk long, h binary, c binary, first binary"
     lengths = levels(length)
