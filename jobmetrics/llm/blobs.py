@@ -36,6 +36,9 @@ def joined(column: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
+_shared: WordHashes | None = None
+
+
 class WordHashes(dict):
     """64-bit hashes of words."""
 
@@ -45,6 +48,14 @@ class WordHashes(dict):
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
 
+    @classmethod
+    def shared(cls) -> WordHashes:
+        """The one of this Python worker, which serves several tasks."""
+        global _shared
+        if _shared is None:
+            _shared = cls()
+        return _shared
+
     def of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

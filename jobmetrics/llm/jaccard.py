@@ -39,12 +39,16 @@ FREQUENT = 32
 BLOCK_ROWS = 2_000
 GROUP_ROWS = 20_000
 LEADER_ROUNDS = 2
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+def _lower(text: str) -> str:
+    """A-Z lower-cased, nothing else: what bytes.lower() does."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def shingles(text: str, hashes: WordHashes) -> np.ndarray:
     """The sorted set; fewer words than a shingle are one shingle of their own kind."""
-    words = hashes.of_text(text.translate(_LOWER))
+    words = hashes.of_text(_lower(text))
     if len(words) >= SHINGLE_WORDS:
         return np.unique(windows(words, SHINGLE_WORDS))
     return mixed(windows(words, len(words)) + np.uint64(len(words))) if len(words) else words
@@ -125,7 +129,7 @@ def _chunk_id(table: pa.Table) -> int:
 def _entries(table: pa.Table, firsts: pa.Table):
     """(id, set) of the chunk's documents that stand for all with their set."""
     wanted = set(joined(firsts.filter(pa.compute.equal(firsts.column("kind"), 0)).column("h")).tolist())
-    hashes, seen = WordHashes(), set()
+    hashes, seen = WordHashes.shared(), set()
     for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text")):
         if doc in wanted and text.is_valid:
             s = shingles(text.as_py(), hashes)
@@ -136,7 +140,7 @@ def _entries(table: pa.Table, firsts: pa.Table):
 
 def _describe(table: pa.Table) -> pa.Table:
     """Size of every document's set, and two sums that stand for its content."""
-    hashes, n, one, two = WordHashes(), [], [], []
+    hashes, n, one, two = WordHashes.shared(), [], [], []
     for text in table.column("text"):
         s = shingles(text.as_py() or "", hashes)
         n.append(len(s))

@@ -49,7 +49,7 @@ class Chunk:
     def __init__(self, table: pa.Table):
         ids = table.column("doc_id").to_pylist()
         self.rows = sorted((k for k, x in enumerate(ids) if x is not None), key=lambda k: ids[k])
-        texts, hashes = table.column("text"), WordHashes()
+        texts, hashes = table.column("text"), WordHashes.shared()
         parts = [hashes.of_text(texts[k].as_py() or "") for k in self.rows]
         self.counts = np.array([len(p) for p in parts], dtype=np.int64)
         self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
