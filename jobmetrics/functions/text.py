@@ -27,6 +27,13 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def to_integer(text: Column) -> Column:
+    """BIGINT value of `text`, exact for every whole number; forms like `12.0` count, others are NULL."""
+    whole = F.trim(text)
+    exact = F.when(whole.rlike(r"^[+-]?[0-9]+$"), whole.try_cast("bigint"))
+    return F.when(whole.rlike(r"^[+-]?[0-9]+$"), exact).otherwise(to_number(text).try_cast("bigint"))
+
+
 def to_text(text: Column) -> Column:
     """String value with the usual missing-value markers turned into NULL."""
     return F.when(~text.isin(*MISSING_TEXT), text)

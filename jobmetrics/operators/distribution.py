@@ -82,10 +82,13 @@ def log_histogram_density(df: DataFrame, value: str, by: str, edges: int, floor:
         .withColumn("bin", F.least(F.floor((F.log10(value) - lo) / F.col("_step")), F.lit(bins - 1)).cast("int"))
     )
     filled = placed.groupBy(by, "bin").agg(F.sum("count").alias("count"), F.max("_step").alias("_step"))
-    sizes = filled.groupBy(by).agg(F.sum("count").alias("_n"))
+    # Every group has all bins, also the empty ones.
+    sizes = filled.groupBy(by).agg(F.sum("count").alias("_n"), F.max("_step").alias("_step"))
+    every = sizes.select(by, "_n", "_step", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    filled = every.join(filled.select(by, "bin", "count"), [by, "bin"], "left").fillna(0, ["count"])
     lower = F.pow(F.lit(10.0), lo + F.col("bin") * F.col("_step"))
     upper = F.pow(F.lit(10.0), lo + (F.col("bin") + 1) * F.col("_step"))
-    return filled.join(sizes, by).select(
+    return filled.select(
         by,
         "bin",
         lower.alias("lower"),

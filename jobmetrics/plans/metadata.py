@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.functions.clock import from_epoch
-from jobmetrics.functions.text import allocated_gpus, gpu_type, is_unparseable, to_number, to_text
+from jobmetrics.functions.text import allocated_gpus, gpu_type, is_unparseable, to_integer, to_number, to_text
 
 # Fixed value: jobs that ran for at most this many seconds are skipped.
 SHORTEST_RUNTIME_S = 10
@@ -21,8 +21,8 @@ def latest_rows(raw: DataFrame) -> DataFrame:
     """One row per `id_job`: the one submitted last. A partial aggregation, not a sort per job."""
     row = F.struct(to_number(F.col("time_submit")).alias("_submitted"), *raw.columns)
     return (
-        raw.where(to_number(F.col("id_job")).isNotNull())
-        .groupBy(to_number(F.col("id_job")).cast("bigint").alias("job_id"))
+        raw.where(to_integer(F.col("id_job")).isNotNull())
+        .groupBy(to_integer(F.col("id_job")).alias("job_id"))
         .agg(F.max(row).alias("_row"))
         .select("job_id", *[F.col(f"_row.{c}").alias(c) for c in raw.columns])
     )
@@ -35,7 +35,7 @@ def job_metadata(raw: DataFrame, carry: list[str] | None = None) -> DataFrame:
     the CPU part, and `cpus_per_node` for normalising CPU samples.
     """
     start, end = to_number(F.col("time_start")), to_number(F.col("time_end"))
-    runtime = F.coalesce((end - start).cast("bigint"), F.lit(0).cast("bigint"))
+    runtime = F.coalesce((end - start).try_cast("bigint"), F.lit(0).cast("bigint"))
     typed = raw.select(
         "job_id",
         *(carry or []),

@@ -110,8 +110,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> list[int]:
     return written
 
 
-def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame) -> list[int]:
-    """Process the pending jobs among those in `index`."""
+def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame, raise_errors: bool = False) -> list[int]:
+    """Process the pending jobs among those in `index`.
+
+    A failed batch leaves the others their turn; with `raise_errors` the first error follows them.
+    """
     repair_ledger(spark, cfg.store)
     with scratch_scope(spark):
         jobs = latest_rows(read_scheduler_csv(spark, cfg.scheduler_csv))
@@ -128,15 +131,18 @@ def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame) -> list
             numbered = materialise(numbered.repartitionByRange("batch").sortWithinPartitions("batch"), "batches")
             count = numbered.agg(F.max("batch")).first()[0] + 1
             batches = [numbered.where(F.col("batch") == b).drop("batch") for b in range(count)]
-        written = []
+        written, failures = [], []
         for i, batch in enumerate(batches):
             run_id = results.next_run_id(spark, cfg.store)
             try:
                 with scratch_scope(spark):
                     process_batch(spark, cfg, batch, run_id)
                 written.append(run_id)
-            except Exception:
+            except Exception as error:
                 logger.exception("batch %d of %d failed; run again to resume", i + 1, len(batches))
+                failures.append(error)
+        if failures and raise_errors:
+            raise failures[0]
         return written
 
 

@@ -45,11 +45,21 @@ def parse_index_pieces(pieces: DataFrame) -> DataFrame:
 
 def read_index_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Index stored as JSON lines `{"job_id": ..., "cpu": [...], "gpu": [...]}`."""
-    return typed_index(spark.read.schema(LINE_TYPE).json(path))
+    rows = spark.read.schema(LINE_TYPE).json(path)
+    landed = F.struct("_metadata.file_modification_time", "_metadata.file_path", F.monotonically_increasing_id().alias("row"))
+    return typed_index(rows.select("*", landed.alias("_landed")), "_landed")
 
 
-def typed_index(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("job_id").try_cast("bigint").alias("job_id"), "cpu", "gpu")
+def typed_index(raw: DataFrame, order: str) -> DataFrame:
+    """One row per job; of several entries of a job the last one along `order` counts."""
+    entry = F.struct(F.col("cpu"), F.col("gpu"))
+    return (
+        raw.select(F.col("job_id").try_cast("bigint").alias("job_id"), entry.alias("entry"), order)
+        .where(F.col("job_id").isNotNull())
+        .groupBy("job_id")
+        .agg(F.max_by("entry", order).alias("entry"))
+        .select("job_id", "entry.cpu", "entry.gpu")
+    )
 
 
 def index_counts(index: DataFrame) -> DataFrame:

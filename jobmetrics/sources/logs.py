@@ -122,6 +122,7 @@ def gpu_samples(records: DataFrame) -> DataFrame:
     """
     number = {c: to_number(F.col(c)) for c in GPU_COLUMNS}
     core = ("timestamp", "gpu_index", "utilization_gpu_pct")
+    number["gpu_index"] = number["gpu_index"].try_cast("bigint")
     usable = None
     for c in core:
         kept = number[c].isNotNull() | ~F.col(f"has_{c}")
@@ -132,7 +133,7 @@ def gpu_samples(records: DataFrame) -> DataFrame:
     return records.where(usable).select(
         "job_id",
         "node_id",
-        number["gpu_index"].cast("bigint").alias("gpu_index"),
+        number["gpu_index"].alias("gpu_index"),
         number["timestamp"].alias("wall_s"),
         number["utilization_gpu_pct"].alias("util_pct"),
         number["utilization_memory_pct"].alias("mem_util_pct"),

@@ -35,14 +35,14 @@ def append_ledger(entries: DataFrame, store: str, run_id: int) -> None:
 def read_summaries(spark: SparkSession, store: str) -> DataFrame | None:
     """All finished runs' rows united by column name, or None before the first one.
 
-    A run folder whose write did not finish is left out; files that cannot be read are skipped.
+    A run folder whose write did not finish is left out; one whose files are damaged fails the read, so no row is lost silently.
     """
     root = summary_path(store)
     folders = [f"{root}/{RUN_PREFIX}{n}" for n in run_ids(spark, root)]
     finished = [f for f in folders if path_exists(spark, f"{f}/{FINISHED}")]
     if not finished:
         return None
-    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
+    reader = spark.read.option("mergeSchema", True)
     return reader.option("basePath", root).parquet(*finished)
 
 

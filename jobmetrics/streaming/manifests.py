@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobmetrics.plans.runs import RunConfig, process_index
 from jobmetrics.session import configure
@@ -17,7 +17,8 @@ def process_new_manifests(
 
     A job's logs are complete once it is indexed, so no event-time state is needed: each
     micro-batch is an ordinary batch run over its new index rows. A replayed micro-batch finds
-    its jobs done already and writes nothing twice.
+    its jobs done already and writes nothing twice. A failure is raised, so that the micro-batch
+    is not committed and comes again with the next call.
     """
     configure(spark)
     reader = spark.readStream.schema(LINE_TYPE)
@@ -25,8 +26,8 @@ def process_new_manifests(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def process(rows: DataFrame, _batch_id: int) -> None:
-        index = typed_index(rows).dropDuplicates(["job_id"])
-        process_index(rows.sparkSession, cfg, index)
+        index = typed_index(rows.withColumn("_landed", F.monotonically_increasing_id()), "_landed")
+        process_index(rows.sparkSession, cfg, index, raise_errors=True)
 
     query = (
         reader.json(manifest_dir)

@@ -19,8 +19,7 @@ CPU_TS = """cpu_ts AS (
          floor(value) * 10.0::DOUBLE AS mem_rss_kb, k * 100 AS mem_avail_kb,
          CASE WHEN k > 0 THEN floor(value) * 10.0::DOUBLE / (k * 100) END AS mem_pct_utilization,
          k * 1024.0::DOUBLE AS read_kb, CAST(event_id % 100 AS DOUBLE) * 1024 AS write_kb
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) e
-  WHERE event_type <> 'signup')"""
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) e)"""
 
 JOBS = """jobs AS (
   SELECT *, CASE WHEN runtime_seconds > 0 THEN num_nodes * runtime_seconds / 3600.0::DOUBLE END AS node_hours,
@@ -372,7 +371,7 @@ FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey IN (SELECT l_orderkey FROM
 WHERE o_orderstatus <> 'F' AND o_orderkey IN (SELECT l_orderkey FROM lineitem) ORDER BY submit_s, job_id""",
     "union_chunks": with_(JOBS)
     + f"""SELECT job_id, runtime_seconds, {r("CASE WHEN o_orderstatus = 'F' THEN num_nodes END", "num_nodes")},
-  CASE WHEN o_orderstatus = 'O' THEN queue_name END AS queue_name FROM jobs WHERE o_orderstatus IN ('F', 'O')""",
+  CASE WHEN o_orderstatus <> 'F' THEN queue_name END AS queue_name FROM jobs""",
     "ledger_repair": with_(JOBS) + "SELECT job_id FROM jobs WHERE runtime_seconds > 10 AND o_orderstatus = 'P'",
     "done_set": with_(JOBS) + "SELECT job_id FROM jobs WHERE runtime_seconds > 10 OR o_orderstatus = 'F'",
     "ledger_states": with_(JOBS)
@@ -473,9 +472,10 @@ FROM d WINDOW w AS (ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""",
   FROM range(59) t(i), e)""",
         "n AS (SELECT is_gpu_job, count(*) AS total FROM p GROUP BY is_gpu_job)",
     )
-    + f"""SELECT is_gpu_job, bin, {r("lower", "lower")}, {r("upper", "upper")}, {COUNTED},
-  {r("count(*) / (total * (upper - lower))", "density")}
-FROM p JOIN b ON x >= lower AND (x < upper OR bin = 58) JOIN n USING (is_gpu_job) GROUP BY is_gpu_job, bin, lower, upper, total""",
+    + f"""SELECT n.is_gpu_job, bin, {r("lower", "lower")}, {r("upper", "upper")}, count(x) AS "count",
+  {r("count(x) / (total * (upper - lower))", "density")}
+FROM n CROSS JOIN b LEFT JOIN p ON p.is_gpu_job = n.is_gpu_job AND x >= lower AND (x < upper OR bin = 58)
+GROUP BY n.is_gpu_job, bin, lower, upper, total""",
     "runtime_cdf_by_type": with_(JOBS, OVERVIEW, "p AS (SELECT * FROM ov WHERE runtime_hours > 0)", cdf("p", "runtime_hours", "is_gpu_job"))
     + f"""SELECT is_gpu_job, {r("runtime_hours", "runtime_hours")}, n AS "count", {r("upto / CAST(total AS DOUBLE)", "cdf")} FROM c""",
     "runtime_quantiles_by_type": report(

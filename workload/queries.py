@@ -456,7 +456,7 @@ def union_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Rows of runs with different columns united by name."""
     jobs = tables.jobs(spark, d)
     first = jobs.where("o_orderstatus = 'F'").select("job_id", "runtime_seconds", "num_nodes")
-    second = jobs.where("o_orderstatus = 'O'").select("job_id", "queue_name", "runtime_seconds")
+    second = jobs.where("o_orderstatus <> 'F'").select("job_id", "queue_name", "runtime_seconds")
     return first.unionByName(second, allowMissingColumns=True)
 
 
