@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobmetrics.session import materialise
 
-# Rows that one task may safely order on its own.
-SINGLE_TASK_ROWS = 1_000_000
-
 
 def running_total(
     df: DataFrame,
@@ -17,23 +14,15 @@ def running_total(
     by: list[str] | None = None,
     out: str = "running",
     total_out: str = "total",
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add the running sum of `weight` along `order` within `by`, and the sum over all of `by`.
 
-    `by + order` must identify rows. The input is written once; if it is small the sum is one
-    plain window. Otherwise rows are range-partitioned on `by + order`, which splits a large
-    group over many partitions, each partition sums its own piece, and every piece is shifted by
-    the total of the pieces before it.
+    `by + order` must identify rows. Rows are range-partitioned on `by + order`, which splits a
+    large group over many partitions, each partition sums its own piece, and every piece is
+    shifted by the total of the pieces before it.
     """
     by = by or []
-    rows = materialise(df.withColumn("_weight", weight), "ranked")
-    if rows.count() <= single_task_rows:
-        window = Window.partitionBy(*by).orderBy(*order)
-        running = F.sum("_weight").over(window.rowsBetween(Window.unboundedPreceding, 0))
-        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return rows.select("*", running.alias(out), F.sum("_weight").over(whole).alias(total_out)).drop("_weight")
-
+    rows = df.withColumn("_weight", weight)
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The piece number is stored, so both reads below see the same split.

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.operators.ranking import batch_numbers
+from jobmetrics.operators.ranking import batch_numbers, running_total
 from jobmetrics.plans.gpu import BUSY_PCT
 from jobmetrics.plans.metadata import job_metadata, latest_rows, ran_long_enough
 from jobmetrics.plans.summary import job_summary
@@ -28,8 +28,8 @@ from jobmetrics.sources.scheduler import read_scheduler_csv
 
 logger = logging.getLogger(__name__)
 
-# Up to this many log files (or else folders) are named one by one.
-LISTED_FILES = 10_000
+# Pending jobs are committed in splits of about this many log files, whose names the driver lists.
+FILES_PER_SPLIT = 10_000
 LINE_TYPE = "path_key string, pos struct<block:bigint,row:bigint>, line string"
 
 
@@ -101,7 +101,7 @@ def run_plan(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 def run(spark: SparkSession, cfg: RunConfig) -> list[int]:
     """Process all pending jobs, then assemble the output. Returns the run ids written.
 
-    A batch that fails is logged and left pending; the others go on.
+    A job that fails is recorded with its error and left pending; the others go on.
     """
     configure(spark)
     written = process_index(spark, cfg, load_index(spark, cfg))
@@ -113,7 +113,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> list[int]:
 def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame, raise_errors: bool = False) -> list[int]:
     """Process the pending jobs among those in `index`.
 
-    A failed batch leaves the others their turn; with `raise_errors` the first error follows them.
+    A failed job leaves the others their turn; with `raise_errors` the first error follows them.
     """
     repair_ledger(spark, cfg.store)
     with scratch_scope(spark):
@@ -123,29 +123,63 @@ def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame, raise_e
         if typed.isEmpty():
             logger.info("nothing to process")
             return []
-        batches = [typed]
-        if cfg.batch_size:
-            order = [F.col("time_submit").isNull(), "time_submit"]
-            numbered = batch_numbers(typed, order, "job_id", cfg.batch_size)
-            # Sorted by batch, so that reading one batch skips the files and row groups of others.
-            numbered = materialise(numbered.repartitionByRange("batch").sortWithinPartitions("batch"), "batches")
-            count = numbered.agg(F.max("batch")).first()[0] + 1
-            batches = [numbered.where(F.col("batch") == b).drop("batch") for b in range(count)]
+        numbered = split_by_files(typed, cfg.batch_size, FILES_PER_SPLIT)
+        # Sorted by split, so that reading one skips the files and row groups of others.
+        numbered = numbered.repartitionByRange("batch", "split").sortWithinPartitions("batch", "split")
+        numbered = materialise(numbered, "batches")
         written, failures = [], []
-        for i, batch in enumerate(batches):
-            run_id = results.next_run_id(spark, cfg.store)
-            try:
-                with scratch_scope(spark):
-                    process_batch(spark, cfg, batch, run_id)
-                written.append(run_id)
-            except Exception as error:
-                logger.exception("batch %d of %d failed; run again to resume", i + 1, len(batches))
-                failures.append(error)
+        for row in numbered.select("batch", "split").distinct().orderBy("batch", "split").collect():
+            mine = (F.col("batch") == row.batch) & (F.col("split") == row.split)
+            _process_or_halve(spark, cfg, numbered.where(mine).drop("batch", "split"), written, failures)
         if failures and raise_errors:
             raise failures[0]
         return written
 
 
+def split_by_files(jobs: DataFrame, batch_size: int | None, files: int) -> DataFrame:
+    """Add `batch` (jobs in submission order, `batch_size` at a time) and within it `split`, which
+    closes once it has `files` log files, so one split exceeds them by less than one job's."""
+    batched = jobs.withColumn("batch", F.lit(0).cast("bigint"))
+    if batch_size:
+        batched = batch_numbers(jobs, [F.col("time_submit").isNull(), "time_submit"], "job_id", batch_size)
+    logs = F.least(F.coalesce(F.size("cpu"), F.lit(0)), F.lit(1)) + F.coalesce(F.size("gpu"), F.lit(0))
+    summed = running_total(batched, logs.cast("bigint"), ["job_id"], ["batch"], out="_files", total_out="_all_files")
+    before = F.col("_files") - logs
+    return summed.withColumn("split", F.floor(before / F.lit(files))).drop("_files", "_all_files")
+
+
+def _process_or_halve(
+    spark: SparkSession, cfg: RunConfig, batch: DataFrame, written: list[int], failures: list[Exception]
+) -> None:
+    """Process a batch; if it fails, its halves, so that only the jobs at fault stay failed.
+
+    An error after the rows were written is not repeated: the next run repairs the ledger.
+    """
+    run_id = results.next_run_id(spark, cfg.store)
+    try:
+        with scratch_scope(spark):
+            process_batch(spark, cfg, batch, run_id)
+        written.append(run_id)
+        return
+    except Exception as error:
+        logger.exception("run %d failed", run_id)
+        failure = error
+    if results.summary_finished(spark, cfg.store, run_id):
+        failures.append(failure)
+        return
+    size, middle = batch.agg(F.count(F.lit(1)), F.percentile_approx("job_id", 0.5)).first()
+    if size > 1:
+        for half in (F.col("job_id") <= middle, F.col("job_id") > middle):
+            _process_or_halve(spark, cfg, batch.where(half), written, failures)
+        return
+    failures.append(failure)
+    try:
+        entry = batch.select("job_id", F.lit(results.FAILED).alias("status"), F.lit(str(failure)).alias("error"))
+        results.append_ledger(entry, cfg.store, results.next_run_id(spark, cfg.store))
+    except Exception:
+        logger.exception("the failed job could not be recorded; it stays pending")
+
+
 def process_batch(spark: SparkSession, cfg: RunConfig, batch: DataFrame, run_id: int) -> None:
     """Summarise one batch of pending jobs: results first, then the ledger."""
     bad = F.col("metadata_error").isNotNull()
@@ -169,33 +203,24 @@ def summarise(spark: SparkSession, cfg: RunConfig, jobs: DataFrame) -> DataFrame
         manifest.where(F.col("kind") == "cpu").select("job_id", "path_key", "uri").join(attributes, "job_id"),
         "cpu-manifest",
     )
-    gpu_records = map_columns(scan_logs(spark, gpu_files, cfg.base_uri), gpu_files.drop("uri"), GPU_COLUMNS)
-    cpu_records = map_columns(scan_logs(spark, cpu_files, cfg.base_uri), cpu_files.drop("uri"), CPU_COLUMNS)
+    gpu_records = map_columns(scan_logs(spark, gpu_files), gpu_files.drop("uri"), GPU_COLUMNS)
+    cpu_records = map_columns(scan_logs(spark, cpu_files), cpu_files.drop("uri"), CPU_COLUMNS)
     cpu_ts = materialise(tidy_cpu(cpu_records), "cpu-samples")
     gpu_ts = tidy_gpu(gpu_records)
     described = jobs.withColumn("has_gpu_logs", has_files("gpu"))
     return job_summary(described, cpu_ts, gpu_ts, cfg.busy_pct)
 
 
-def scan_logs(spark: SparkSession, files: DataFrame, base_uri: str) -> DataFrame:
-    """Lines of the manifest's files; a file that is not there contributes nothing.
+def scan_logs(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of exactly the files in the manifest of one split; one that is not there contributes nothing.
 
-    A short manifest is read file by file through one glob, which skips missing names. A longer
-    one is never brought to the driver: its folders are scanned, or if even those are too many
-    the whole log store, and the scan is joined with the manifest.
+    The names are listed by the driver, FILES_PER_SPLIT and those of one job at most, and read
+    through one glob, which skips missing names.
     """
-    folder = F.regexp_replace("uri", "/[^/]*$", "")
-    paths = None
-    for names in (files.select("uri"), files.where(F.col("uri").contains("/")).select(folder.alias("uri"))):
-        listed = [row.uri for row in names.distinct().limit(LISTED_FILES + 1).collect()]
-        if not listed:
-            return spark.createDataFrame([], LINE_TYPE)
-        if len(listed) <= LISTED_FILES:
-            paths = _one_glob(listed)
-            break
-    paths = paths or base_uri
-    if not paths:
-        raise ValueError("base_uri is needed to scan the logs of this many files")
+    listed = [row.uri for row in files.select("uri").distinct().collect()]
+    if not listed:
+        return spark.createDataFrame([], LINE_TYPE)
+    paths = _one_glob(listed)
     try:
         return read_log_lines(spark, paths)
     except AnalysisException as error:

@@ -24,15 +24,17 @@ GPU_COLUMNS = (
 )
 GPU_REQUIRED = ("timestamp", "gpu_index", "memory_used_MiB", "memory_free_MiB")
 KIB_PER_MIB = 1024.0
+# More than the fields of any header; see `file_headers`.
+FIELDS = 1 << 16
 
 
 def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of log files: `path_key`, `pos` (order within the file) and `line`.
 
-    `paths` may be folders, files or globs. Blank lines are dropped; files that vanish or cannot
-    be decoded contribute nothing.
+    `paths` may be folders, files or globs. Blank lines are dropped. Files that vanish contribute
+    nothing; a damaged file fails the read, so that no part of it passes for the whole.
     """
-    reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    reader = spark.read.option("ignoreMissingFiles", True)
     lines = reader.option("recursiveFileLookup", True).text(paths)
     return lines.select(
         scanned_path(F.col("_metadata.file_path")).alias("path_key"),
@@ -51,7 +53,8 @@ def _field_count(line: Column) -> Column:
 
 
 def _names_any(line: Column, columns: tuple[str, ...]) -> Column:
-    """True for lines that look like a header: values of a log never spell a column name."""
+    """True for lines that may be a header. A record may contain a name too, so this only saves
+    splitting the other lines; what counts is being the first line."""
     named = None
     for c in columns:
         named = line.contains(c) if named is None else named | line.contains(c)
@@ -59,26 +62,40 @@ def _names_any(line: Column, columns: tuple[str, ...]) -> Column:
 
 
 def file_headers(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One row per file: `at_<column>`, the position of every column in its header (NULL if the
-    header lacks it), and `readable`: no record has more fields than the header.
+    """One row per file: `header_row`, the row number of its first line, which is the header;
+    `at_<column>`, the position of every column in it (NULL if the header lacks it); and
+    `readable`: no record has more fields than the header.
 
-    All buffers are numbers, so this is a hash aggregation with partials: no text is shuffled or
-    sorted, and a file of any size is reduced where it is read.
+    A number taken from the first line is the smallest of `row * FIELDS + number` over the block
+    that opens the file. All buffers are numbers, so this is a hash aggregation with partials: no
+    text is shuffled or sorted, and a file of any size is reduced where it is read.
     """
-    line, opening = F.col("line"), F.col("pos.block") == 0
-    header = _names_any(line, columns)
+    line, opening, row = F.col("line"), F.col("pos.block") == 0, F.col("pos.row")
+    named = opening & _names_any(line, columns)
     fields = split_csv_line(line)
-    first = F.min(F.when(opening, F.col("pos.row")))
-    has_header = F.min(F.when(opening & header, F.col("pos.row"))) == first
+    # The upper bits of the row number are the task's; one task reads the whole opening block.
+    within = row.bitwiseAND(F.lit((1 << 33) - 1))
+
+    def of_first(condition: Column, number: Column) -> Column:
+        return F.min(F.when(condition, within * F.lit(FIELDS) + number))
+
     found = lines.groupBy("path_key").agg(
-        has_header.alias("_has_header"),
-        F.max(F.when(opening & header, _field_count(line))).alias("_width"),
+        F.min(F.when(opening, row)).alias("header_row"),
+        F.min(F.when(named, row)).alias("_named_row"),
+        of_first(opening, _field_count(line)).alias("_width"),
         F.max(_field_count(line)).alias("_widest"),
-        *[F.max(F.when(opening & header, F.array_position(fields, c))).alias(f"_{c}") for c in columns],
+        *[of_first(named, F.array_position(fields, c)).alias(f"_{c}") for c in columns],
     )
-    known = F.coalesce(F.col("_has_header"), F.lit(False))
-    positions = [F.when(known & (F.col(f"_{c}") > 0), F.col(f"_{c}") - 1).cast("int").alias(f"at_{c}") for c in columns]
-    return found.select("path_key", F.coalesce(F.col("_widest") <= F.col("_width"), F.lit(True)).alias("readable"), *positions)
+    known = F.col("_named_row") == F.col("header_row")
+
+    def number(name: str) -> Column:
+        return F.col(name) % F.lit(FIELDS)
+
+    positions = [
+        F.when(known & (number(f"_{c}") > 0), number(f"_{c}") - 1).cast("int").alias(f"at_{c}") for c in columns
+    ]
+    readable = F.coalesce(F.col("_widest") <= number("_width"), F.lit(True))
+    return found.select("path_key", "header_row", readable.alias("readable"), *positions)
 
 
 def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -93,7 +110,8 @@ def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...])
     files = materialise(
         manifest.join(file_headers(lines, columns), "path_key").where("readable").drop("readable"), "log-files"
     )
-    records = lines.where(~_names_any(F.col("line"), columns)).join(files, "path_key")
+    header = (F.col("pos.block") == 0) & (F.col("pos.row") == F.col("header_row"))
+    records = lines.join(files, "path_key").where(~header)
     # Generated cells are values that later filters cannot be pushed through; otherwise every
     # condition on a cell would split the line again.
     fields = records.withColumn("_fields", split_csv_line(F.col("line")))

@@ -26,6 +26,10 @@ def write_summary(summary: DataFrame, store: str, run_id: int) -> None:
     summary.write.mode("errorifexists").option("compression", "zstd").parquet(target)
 
 
+def summary_finished(spark: SparkSession, store: str, run_id: int) -> bool:
+    return path_exists(spark, f"{summary_path(store)}/{RUN_PREFIX}{run_id}/{FINISHED}")
+
+
 def append_ledger(entries: DataFrame, store: str, run_id: int) -> None:
     """Record (job_id, status, error) of a run, after its summary has been written."""
     target = f"{ledger_path(store)}/{RUN_PREFIX}{run_id}"

@@ -13,17 +13,15 @@ def test_running_total_without_a_single_task(spark):
         weights = [w for gg, _, w in rows if gg == g]
         for i, total in enumerate(np.cumsum(weights)):
             expected[(g, i)] = (int(total), sum(weights))
-    for limit in (10, 10_000):
-        out = running_total(df, F.col("w"), ["x"], ["g"], single_task_rows=limit).collect()
-        assert {(r.g, r.x): (r.running, r.total) for r in out} == expected
-        assert set(out[0].asDict()) == {"g", "x", "w", "running", "total"}
+    out = running_total(df, F.col("w"), ["x"], ["g"]).collect()
+    assert {(r.g, r.x): (r.running, r.total) for r in out} == expected
+    assert set(out[0].asDict()) == {"g", "x", "w", "running", "total"}
 
 
 def test_running_total_over_the_whole_table(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"))
-    for limit in (10, 10_000):
-        out = running_total(df, F.lit(1), ["x"], single_task_rows=limit)
-        assert out.where("running <> x + 1 OR total <> 1000").count() == 0
+    out = running_total(df, F.lit(1), ["x"])
+    assert out.where("running <> x + 1 OR total <> 1000").count() == 0
 
 
 def test_batches_follow_the_order(spark):

@@ -23,17 +23,17 @@ def write(path, *lines):
         f.write("\n".join(lines) + "\n")
 
 
-def gpu_line(t, gpu=0, util="80.0", power="250.0"):
-    return f"{t},{gpu},{util},50.0,4096,4096,65,60,{power},16"
+def gpu_line(t, gpu=0, util="64.0", power="180.0"):
+    return f"{t},{gpu},{util},12.5,3072,5120,48,44,{power},8"
 
 
 @pytest.fixture
 def site(tmp_path):
     """A small log store with every kind of oddity."""
     base = str(tmp_path / "logs")
-    write(f"{base}/gpu/1-n1.csv", GPU_HEADER, gpu_line(1620000000), gpu_line(1620000010, util="N/A"), gpu_line(1620000020, power="[N/A]"))
+    write(f"{base}/gpu/1-n1.csv", GPU_HEADER, gpu_line(1620000000, power="[N/A]"), gpu_line(1620000007), gpu_line(1620000019, util="unknown"))
     reordered = ",".join(reversed(GPU_HEADER.split(",")))
-    write(f"{base}/gpu/1-n2.csv", reordered, ",".join(reversed(gpu_line(1620000000, util="40.0").split(","))))
+    write(f"{base}/gpu/1-n2.csv", reordered, ",".join(reversed(gpu_line(1620000000, util="32.0").split(","))))
     write(f"{base}/gpu/2.csv", GPU_HEADER, gpu_line(1620000000))  # no node in the name
     write(f"{base}/gpu/5-n1.csv", GPU_HEADER, gpu_line(1620000000), gpu_line(1620000010) + ",9,9")  # too wide
     cpu = ["0,a,1620000000,400,100,200,1,2", "-4,a,1620000010,9999,1,1,9,9", ",a,1620000020,200,100,0,1,2", "0,a,x,1,1,1,1,1", "0,,1620000030,1,400,200,5,5"]
@@ -83,8 +83,8 @@ def test_run_end_to_end(spark, site):
     assert sorted(rows) == [1, 2, 3, 4, 5]
     one = rows[1]
     assert one.is_gpu_job and one.num_gpus_used == 2 and one.num_gpus_total_in_logs == 2
-    assert one.gpu_util_mean == 60.0 and one.gpu_power_mean_total_w == 500.0 and one.gpu_mem_used_kib_sum == 2 * 4096 * 1024
-    assert one.gpu_energy_total_wh == 500.0 and one.time_to_gpu_use_s == 0.0
+    assert one.gpu_util_mean == 48.0 and one.gpu_power_mean_total_w == 360.0 and one.gpu_mem_used_kib_sum == 2 * 3072 * 1024
+    assert one.gpu_energy_total_wh == 360.0 and one.time_to_gpu_use_s == 0.0
     assert one.cpu_util_mean == 75.0 and one.cpu_util_max == 100.0  # over 8 / 2 CPUs
     assert one.mem_pct_util_mean == 0.5 and one.read_kb_total == 7 * 1024.0
     assert one.ri_spatial_gpu_util == 0.25
@@ -126,13 +126,12 @@ def test_batches_and_crash_between_the_two_writes(spark, site, monkeypatch):
     assert run_plan(spark, cfg).first().to_process == 1
 
 
-@pytest.mark.parametrize("listed", [1, 0])  # by folder, and the whole log store
-def test_many_files_are_not_listed(spark, site, monkeypatch, listed):
+def test_jobs_are_split_by_their_files(spark, site, monkeypatch):
     path, _ = site
-    monkeypatch.setattr(runs, "LISTED_FILES", listed)
-    run(spark, config(path))
+    monkeypatch.setattr(runs, "FILES_PER_SPLIT", 4)
+    assert len(run(spark, config(path))) > 1
     rows = {r.job_id: r for r in spark.read.parquet(str(path / "out")).collect()}
-    assert rows[1].gpu_util_mean == 60.0 and rows[2].cpu_util_mean == 75.0 and rows[4].cpu_util_mean is None
+    assert rows[1].gpu_util_mean == 48.0 and rows[2].cpu_util_mean == 75.0 and rows[4].cpu_util_mean is None
 
 
 def test_stream_of_manifests(spark, site):

@@ -16,22 +16,27 @@ from jobmetrics.plans.summary import SUMMARY_COLUMNS, job_summary
 
 GPU = "job_id bigint, node_id string, gpu_index bigint, ts timestamp, util_pct double, mem_util_pct double, mem_used_kib double, power_w double, temperature double"
 CPU = "job_id bigint, node_id string, ts timestamp, cpu_util_pct double, mem_rss_kb double, mem_avail_kb double, mem_pct_utilization double, read_kb double, write_kb double"
-START = datetime(2021, 5, 1, tzinfo=timezone.utc)
+START = datetime(2023, 2, 11, 6, tzinfo=timezone.utc)
+STEP = timedelta(seconds=15)
 
 
-def gpu_rows(node, index, util, power=None, mem=None, job=1):
-    power, mem = power or [100.0] * len(util), mem or [1024.0] * len(util)
-    return [
-        (job, node, index, START + timedelta(seconds=10 * i), u, 0.0, mem[i], power[i], 60.0) for i, u in enumerate(util)
-    ]
+def column(values, n):
+    """A list as it is, or one value for all `n` samples."""
+    return values if isinstance(values, list) else [values] * n
 
 
-def cpu_rows(node, util, rss=None, read=None, job=1):
-    rss, read = rss or [512.0] * len(util), read or [0.0] * len(util)
-    return [
-        (job, node, START + timedelta(seconds=10 * i), u, rss[i], 1024.0, None if rss[i] is None else rss[i] / 1024, read[i], 0.0)
-        for i, u in enumerate(util)
-    ]
+def gpu_trace(node, device, util, watts=75.0, kib=2048.0, job=1):
+    n = len(util)
+    cells = zip(util, column(kib, n), column(watts, n))
+    return [(job, node, device, START + k * STEP, u, 12.0, m, w, 41.0) for k, (u, m, w) in enumerate(cells)]
+
+
+def cpu_trace(node, util, rss=256.0, read=0.0, job=1):
+    n, rows = len(util), []
+    for k, (u, used, kb) in enumerate(zip(util, column(rss, n), column(read, n))):
+        ratio = used / 1024 if used is not None else None
+        rows.append((job, node, START + k * STEP, u, used, 1024.0, ratio, kb, 0.0))
+    return rows
 
 
 def gpu_job(spark, *series, **kw):
@@ -89,29 +94,29 @@ def test_ranked_quantiles_match_numpy(spark, groups):
 
 
 def test_idle_devices_are_left_out(spark):
-    row = gpu_job(spark, gpu_rows("n", 0, [1.0, 1.0]), gpu_rows("n", 1, [80.0, 80.0]))
+    row = gpu_job(spark, gpu_trace("n", 0, [1.0, 1.0]), gpu_trace("n", 1, [80.0, 80.0]))
     assert (row.num_gpus_used, row.num_gpus_total_in_logs, row.gpu_util_mean) == (1, 2, 80.0)
 
 
 def test_threshold_is_strict(spark):
-    row = gpu_job(spark, gpu_rows("n", 0, [2.0, 2.0]))
+    row = gpu_job(spark, gpu_trace("n", 0, [2.0, 2.0]))
     assert row.num_gpus_used == 0
     assert row.gpu_util_mean is None and row.gpu_power_mean_total_w is None and row.gpu_mem_used_kib_sum is None
-    assert row.gpu_power_mean_total_including_idle_w == 100.0
+    assert row.gpu_power_mean_total_including_idle_w == 75.0
 
 
 def test_steady_devices_do_not_vary(spark):
-    row = gpu_job(spark, gpu_rows("n", 0, [80.0] * 5), gpu_rows("n", 1, [20.0] * 5))
+    row = gpu_job(spark, gpu_trace("n", 0, [80.0] * 5), gpu_trace("n", 1, [20.0] * 5))
     assert (row.gpu_util_std, row.gpu_util_mean) == (0.0, 50.0)
-    assert gpu_job(spark, gpu_rows("n", 0, [0.0, 100.0] * 5)).gpu_util_std > 40
+    assert gpu_job(spark, gpu_trace("n", 0, [0.0, 100.0] * 5)).gpu_util_std > 40
 
 
 def test_power_and_memory_totals(spark):
     row = gpu_job(
         spark,
-        gpu_rows("a", 0, [90.0] * 2, [200.0] * 2, [4096.0] * 2),
-        gpu_rows("b", 0, [90.0] * 2, [100.0, 200.0], [4096.0] * 2),
-        gpu_rows("b", 1, [0.0] * 2, [80.0] * 2),
+        gpu_trace("a", 0, [90.0] * 2, [200.0] * 2, [4096.0] * 2),
+        gpu_trace("b", 0, [90.0] * 2, [100.0, 200.0], [4096.0] * 2),
+        gpu_trace("b", 1, [0.0] * 2, [80.0] * 2),
     )
     assert (row.gpu_power_mean_total_w, row.gpu_power_peak_w) == (350.0, 400.0)
     assert row.gpu_power_mean_total_including_idle_w == 430.0
@@ -119,7 +124,7 @@ def test_power_and_memory_totals(spark):
 
 
 def test_active_device_without_power_counts_zero(spark):
-    row = gpu_job(spark, gpu_rows("a", 0, [90.0], [None]))
+    row = gpu_job(spark, gpu_trace("a", 0, [90.0], [None]))
     assert (row.gpu_power_mean_total_w, row.gpu_power_mean_total_including_idle_w) == (0.0, 0.0)
     assert row.gpu_power_std_w is None
 
@@ -132,30 +137,30 @@ def test_energy_and_idle_ratio(spark):
 
 
 def test_time_to_first_use_counts_all_devices(spark):
-    row = gpu_job(spark, gpu_rows("a", 0, [0.0, 0.0, 3.0, 0.0]), gpu_rows("b", 0, [0.0] * 4))
-    assert (row.time_to_gpu_use_s, row.minutes_to_gpu_use) == (20.0, 20.0 / 60)
-    assert gpu_job(spark, gpu_rows("a", 0, [0.0])).time_to_gpu_use_s is None
+    row = gpu_job(spark, gpu_trace("a", 0, [0.0, 0.0, 3.0, 0.0]), gpu_trace("b", 0, [0.0] * 4))
+    assert (row.time_to_gpu_use_s, row.minutes_to_gpu_use) == (30.0, 0.5)
+    assert gpu_job(spark, gpu_trace("a", 0, [0.0])).time_to_gpu_use_s is None
 
 
 def test_active_semi_join(spark):
-    df = spark.createDataFrame(gpu_rows("a", 0, [1.0] * 3) + gpu_rows("a", 1, [9.0] * 4), GPU)
+    df = spark.createDataFrame(gpu_trace("a", 0, [1.0] * 3) + gpu_trace("a", 1, [9.0] * 4), GPU)
     assert active_samples(df, 2.0).count() == 4
 
 
 def test_cpu_statistics_average_over_nodes(spark):
-    row = cpu_job(spark, cpu_rows("a", [90.0] * 10), cpu_rows("b", [10.0] * 2))
+    row = cpu_job(spark, cpu_trace("a", [90.0] * 10), cpu_trace("b", [10.0] * 2))
     assert (row.cpu_util_mean, row.cpu_util_std, row.cpu_util_p75, row.cpu_time_above_50pct) == (50.0, 0.0, 50.0, 0.5)
 
 
 def test_cpu_totals_include_samples_without_node(spark):
-    row = cpu_job(spark, cpu_rows("a", [1.0, 1.0], [100.0, 300.0], [100.0, 200.0]), cpu_rows(None, [99.0], [2048.0], [200.0]))
+    row = cpu_job(spark, cpu_trace("a", [1.0, 1.0], [100.0, 300.0], [100.0, 200.0]), cpu_trace(None, [99.0], [2048.0], [200.0]))
     assert (row.read_kb_total, row.write_kb_total) == (500.0, 0.0)
     assert row.cpu_util_mean == 1.0 and row.mem_pressure == 2.0
-    assert cpu_imbalance(spark.createDataFrame(cpu_rows(None, [9.0]), CPU)).count() == 0
+    assert cpu_imbalance(spark.createDataFrame(cpu_trace(None, [9.0]), CPU)).count() == 0
 
 
 def test_all_null_totals_are_zero(spark):
-    row = cpu_job(spark, cpu_rows("a", [1.0], [None], [None]))
+    row = cpu_job(spark, cpu_trace("a", [1.0], [None], [None]))
     assert row.read_kb_total == 0.0 and row.mem_pressure is None and row.mem_rss_kb_mean is None
 
 
@@ -186,7 +191,7 @@ def test_imbalance(spark, nodes, temporal, spatial):
 
 
 def test_gpu_imbalance_averages_devices_first(spark):
-    rows = gpu_rows("a", 0, [100.0, 0.0]) + gpu_rows("a", 1, [0.0, 100.0]) + gpu_rows("b", 0, [25.0, 25.0])
+    rows = gpu_trace("a", 0, [100.0, 0.0]) + gpu_trace("a", 1, [0.0, 100.0]) + gpu_trace("b", 0, [25.0, 25.0])
     row = gpu_imbalance(spark.createDataFrame(rows, GPU)).first()
     assert (row.ri_temporal_gpu_util, row.ri_spatial_gpu_util) == (0.0, 0.25)
 
@@ -195,8 +200,8 @@ def test_wide_row(spark):
     meta = "job_id bigint, start_timestamp timestamp, end_timestamp timestamp, runtime_seconds bigint, node_hours double, gpu_hours double, num_nodes double, num_alloc_gpus int, gpu_type string, user_id string, queue_name string, exit_code string, cpus_req double, project_id string, domain string, subdomain string, has_gpu_logs boolean"
     rest = (START, START, 3600, 1.0, 2.0, 1.0, 2, "volta", "u", "q", "0", 4.0, None, None, None)
     jobs = spark.createDataFrame([(1, *rest, True), (2, *rest, False), (3, *rest, True)], meta)
-    gpu_ts = spark.createDataFrame(gpu_rows("a", 0, [50.0, 60.0], [100.0, 200.0]) + gpu_rows("a", 0, [50.0], job=2), GPU)
-    cpu_ts = spark.createDataFrame(cpu_rows("a", [10.0, 20.0], job=2), CPU)
+    gpu_ts = spark.createDataFrame(gpu_trace("a", 0, [50.0, 60.0], [100.0, 200.0]) + gpu_trace("a", 0, [50.0], job=2), GPU)
+    cpu_ts = spark.createDataFrame(cpu_trace("a", [10.0, 20.0], job=2), CPU)
     wide = job_summary(jobs, cpu_ts, gpu_ts)
     assert wide.columns == SUMMARY_COLUMNS and len(wide.columns) == 145
     rows = {r.job_id: r for r in wide.collect()}
