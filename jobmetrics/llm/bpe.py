@@ -24,8 +24,10 @@ from jobmetrics.llm.common import map_batches, texts_of
 
 # Halves of at most this many bytes are encoded by plain merging.
 LEAF_BYTES = 32
+# Strings of at most this many bytes are merged by scanning all pairs, longer ones with a heap.
+SCAN_BYTES = 48
 # Entries of the caches of a task; at this size they are emptied, which changes no result.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 # Tokens that one leaf of the decoding tree looks up.
 LEAF_TOKENS = 4096
 
@@ -39,6 +41,7 @@ class TreeEncoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.none = max(ranks.values(), default=0) + 1  # stands for a pair without rank
         self._calm: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -46,6 +49,8 @@ class TreeEncoder:
         n = len(data)
         if n == 1:
             return [self.ranks[data]]
+        if n <= SCAN_BYTES:
+            return self._scan(data)
         ranks = self.ranks
         after = list(range(1, n + 1))  # where the part that begins here ends
         before = list(range(-1, n))  # where the part before it begins
@@ -79,6 +84,20 @@ class TreeEncoder:
             i = after[i]
         return ids
 
+    def _scan(self, data: bytes) -> list[int]:
+        """Plain merging of a short string: the ranks of all pairs are looked through each time."""
+        rank_of, none = self.ranks.get, self.none
+        cuts = list(range(len(data) + 1))
+        pairs = [rank_of(data[i : i + 2], none) for i in cuts[:-2]]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
+            del pairs[i], cuts[i + 1]
+            if i < len(pairs):
+                pairs[i] = rank_of(data[cuts[i] : cuts[i + 2]], none)
+            if i:
+                pairs[i - 1] = rank_of(data[cuts[i - 1] : cuts[i + 1]], none)
+        return [self.ranks[data[a:b]] for a, b in zip(cuts, cuts[1:])]
+
     def calm(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens gives these two tokens again."""
         pair = (left, right)
@@ -125,26 +144,32 @@ class TreeEncoder:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
+class PieceCache(dict):
+    """Ids of matches of the pattern as little-endian unsigned 32-bit integers; a new match is encoded when asked for."""
+
+    def __init__(self, tree: TreeEncoder):
+        super().__init__()
+        self.tree = tree
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        found = self.tree.encode(piece.encode("utf-8"))
+        ids = self[piece] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+
 class TextEncoder:
     """Whole texts: every match of the pattern is encoded for itself; equal matches are encoded once."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.tree = TreeEncoder(ranks)
         self.split = regex.compile(pattern).findall
-        self._packed: dict[str, bytes] = {}
+        self._ids_of = PieceCache(self.tree).__getitem__
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        known, out = self._packed, []
-        for piece in self.split(text):
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
-                found = self.tree.encode(piece.encode("utf-8"))
-                ids = known[piece] = struct.pack(f"<{len(found)}I", *found)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self._ids_of, self.split(text)))
 
     def unpacked(self, ids: bytes) -> bytes:
         return self.tree.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
