@@ -161,6 +161,15 @@ def test_bpe_long_runs():
         assert np.frombuffer(ENCODER.packed(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
 
 
+def test_bpe_merging_by_scan_and_by_heap(monkeypatch):
+    rng, tree = random.Random(5), ENCODER.tree
+    strings = ["".join(rng.choice("etaoin shré=1") for _ in range(rng.randint(1, 90))).encode() for _ in range(800)]
+    by_length = [tree.merge(x) for x in strings]
+    for limit in (0, 10**6):
+        monkeypatch.setattr(bpe, "SCAN_BYTES", limit)
+        assert [tree.merge(x) for x in strings] == by_length
+
+
 def test_bpe_query(spark, texts):
     rows = {r.doc_id: r for r in bpe.digests(frame(spark, texts), RANKS, PATTERN).collect()}
     for k, t in enumerate(texts):
