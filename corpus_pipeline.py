@@ -16,6 +16,8 @@ from jobmetrics.llm.queries import END_ID, PATTERN, RANKS, SEQUENCE_TOKENS
 from jobmetrics.session import scratch_dir
 
 TOXIC_SCORE = 0.7
+# Near duplicates: words of a shingle, and the least Jaccard similarity.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
 def _documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -38,7 +40,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Ids to be kept are narrow and join the documents on the id, which is unique or nearly so.
     """
     docs = docs.select(*DOCUMENT_COLUMNS)
-    groups = jaccard.similar_documents(docs.select("doc_id", "text"))
+    groups = jaccard.similar_documents(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_SIMILARITY)
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
 

@@ -1,14 +1,16 @@
 """Jaccard self-join of documents and its components, with token-combination prefixes.
 
-A document is the set of its distinct three-word shingles (64-bit hashes). Two documents link at a
-Jaccard similarity of 0.9 or more. Documents with equal sets are one entry from the first step on.
+A document is the set of its distinct shingles of some words (64-bit hashes). Two documents link at a
+Jaccard similarity of a threshold or more; everything below follows from the two (`Measure`).
+Documents with equal sets are one entry from the first step on.
 
-Prefixes: tokens have one order for all documents: a quarter of them (by hash) by document
-frequency, which is counted over all documents, then the others by hash. Similar documents share a
-token among the first floor(n / 10) + 1. A shared token that is rare is an index key by itself. If
+Prefixes: tokens have one order for all documents: a share of them (by hash; a quarter at 0.9) by
+document frequency, which is counted over all documents, then the others by hash. Similar documents
+share a token among the first floor(n * (1 - threshold)) + 1. A shared token that is rare is an index key by itself. If
 a prefix holds a frequent token, the prefix is extended to the whole set and combinations of its
 tokens are indexed: the set is dealt into more buckets than similar sets of this size can differ
-in tokens, so similar sets have the same combination in one bucket at least.
+in tokens, so similar sets have the same combination in one bucket at least. Where a set fills more
+buckets than that, its empty ones have no key: a bucket that it fills is the same already.
 
 Candidates: members of a key are first compared with one leader of the key, in two rounds; what
 these link needs no other comparison. All remaining pairs of a key in different components follow,
@@ -21,19 +23,19 @@ no component. Rows with one id are one document for links. An empty table gives
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.llm.blobs import WordHashes, joined, mixed, packed, unpacked, windows
 from jobmetrics.llm.common import map_batches, small_batches
 from jobmetrics.session import materialise
 
-SHINGLE_WORDS = 3
 CHUNK_CHARS = 8_000_000
-# One token in so many is counted and comes first in the order.
-COUNTED = np.uint64(4)
 # A token in more sets than this is frequent; a key with more members is compared block by block.
 FREQUENT = 32
 BLOCK_ROWS = 2_000
@@ -46,52 +48,98 @@ def _lower(text: str) -> str:
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
-def shingles(text: str, hashes: WordHashes) -> np.ndarray:
-    """The sorted set; fewer words than a shingle are one shingle of their own kind."""
-    words = hashes.of_text(_lower(text))
-    if len(words) >= SHINGLE_WORDS:
-        return np.unique(windows(words, SHINGLE_WORDS))
-    return mixed(windows(words, len(words)) + np.uint64(len(words))) if len(words) else words
-
-
-def allowed_difference(a: np.ndarray | int, b: np.ndarray | int):
-    """Largest symmetric difference of linked sets of these sizes; negative if they cannot link."""
-    total = a + b
-    return total - 2 * np.maximum(-(-9 * total // 19), 0)
-
-
-def band_edges(largest: int) -> list[int]:
-    """Sizes at which bands begin: linked sets are in the same band or in neighbouring ones."""
-    edges = [1]
-    while edges[-1] <= largest:
-        edges.append(edges[-1] * 10 // 9 + 1)
-    return [*edges, edges[-1] * 10 // 9 + 1]
-
-
-def combinations(s: np.ndarray) -> np.ndarray:
-    """One key per bucket and band, for the set's own band and the next one."""
-    edges, out = band_edges(len(s)), []
-    own = int(np.searchsorted(edges, len(s), side="right")) - 1
-    spread = mixed(s ^ np.uint64(0xA0761D6478BD642F))
-    for band in (own, own + 1):
-        top = edges[band + 1] if band + 1 < len(edges) else edges[-1] * 10 // 9 + 1
-        buckets = (top - 1) // 9 + 1
+@dataclass(frozen=True)
+class Measure:
+    """Words of a shingle, and the threshold p / q, above 0 and below 1, in whole numbers."""
+
+    words: int
+    p: int
+    q: int
+
+    @classmethod
+    def of(cls, words: int, threshold: float) -> Measure:
+        share = Fraction(str(threshold))
+        if words < 1 or not 0 < share < 1:
+            raise ValueError("shingles need a word, and the threshold lies between 0 and 1")
+        return cls(words, share.numerator, share.denominator)
+
+    @property
+    def counted(self) -> np.uint64:
+        """One token in so many is counted and comes first in the order: more for longer prefixes."""
+        return np.uint64(max(1, 2 * self.q // (5 * (self.q - self.p))))
+
+    def shingles(self, text: str, hashes: WordHashes) -> np.ndarray:
+        """The sorted set; fewer words than a shingle are one shingle of their own kind."""
+        words = hashes.of_text(_lower(text))
+        if len(words) >= self.words:
+            return np.unique(windows(words, self.words))
+        return mixed(windows(words, len(words)) + np.uint64(len(words))) if len(words) else words
+
+    def links(self, common: int, union: int) -> bool:
+        return self.q * common >= self.p * union
+
+    def largest_partner(self, n):
+        """Size of the largest set that can link with one of this size."""
+        return n * self.q // self.p
+
+    def allowed_difference(self, a: np.ndarray | int, b: np.ndarray | int):
+        """Largest symmetric difference of linked sets of these sizes; negative if they cannot link."""
+        total = a + b
+        return total - 2 * np.maximum(-(-self.p * total // (self.p + self.q)), 0)
+
+    def prefix(self, n: int) -> int:
+        """Linked sets share a token among so many first ones."""
+        return n * (self.q - self.p) // self.q + 1
+
+    def band_edges(self, largest: int) -> list[int]:
+        """Sizes at which bands begin: linked sets are in the same band or in neighbouring ones."""
+        edges = [1]
+        while edges[-1] <= largest:
+            edges.append(self.largest_partner(edges[-1]) + 1)
+        return [*edges, self.largest_partner(edges[-1]) + 1]
+
+    def combinations(self, s: np.ndarray) -> np.ndarray:
+        """One key per bucket and band, for the set's own band and the next one."""
+        edges, out = self.band_edges(len(s)), []
+        own = int(np.searchsorted(edges, len(s), side="right")) - 1
+        spread = mixed(s ^ np.uint64(0xA0761D6478BD642F))
+        for band in (own, own + 1):
+            top = edges[band + 1] if band + 1 < len(edges) else self.largest_partner(edges[-1]) + 1
+            buckets = (top - 1) * (self.q - self.p) // self.p + 1
+            sums = np.zeros(buckets, np.uint64)
+            at = ((spread >> np.uint64(20)) % np.uint64(buckets)).astype(int)
+            np.add.at(sums, at, spread)
+            place = np.arange(buckets, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)
+            keys = mixed(sums ^ mixed(place))
+            filled = np.unique(at)
+            out.append(keys[filled] if len(filled) > self.allowed_difference(top - 1, top - 1) else keys)
+        return np.concatenate(out)
+
+    def fingerprint(self, s: np.ndarray) -> np.ndarray:
+        """Sums of tokens by bucket, modulo 2**16; a power of two of buckets, more for larger sets."""
+        buckets = 64
+        while buckets * self.p < 4 * (self.q - self.p) * len(s):
+            buckets *= 2
+        spread = mixed(s ^ np.uint64(0xE7037ED1A0B428DB))
         sums = np.zeros(buckets, np.uint64)
-        np.add.at(sums, ((spread >> np.uint64(20)) % np.uint64(buckets)).astype(int), spread)
-        place = np.arange(buckets, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)
-        out.append(mixed(sums ^ mixed(place)))
-    return np.concatenate(out)
-
-
-def fingerprint(s: np.ndarray) -> np.ndarray:
-    """Sums of tokens by bucket, modulo 2**16; a power of two of buckets, more for larger sets."""
-    buckets = 64
-    while buckets * 9 < 4 * len(s):
-        buckets *= 2
-    spread = mixed(s ^ np.uint64(0xE7037ED1A0B428DB))
-    sums = np.zeros(buckets, np.uint64)
-    np.add.at(sums, (spread & np.uint64(buckets - 1)).astype(int), spread >> np.uint64(32))
-    return (sums & np.uint64(0xFFFF)).astype(np.uint16)
+        np.add.at(sums, (spread & np.uint64(buckets - 1)).astype(int), spread >> np.uint64(32))
+        return (sums & np.uint64(0xFFFF)).astype(np.uint16)
+
+    def prefix_keys(self, s: np.ndarray, frequencies: dict[int, int]) -> tuple[list[int], bool]:
+        """Keys of the rare tokens in the prefix, and whether it holds a frequent one."""
+        need = self.prefix(len(s))
+        counted = s[s % self.counted == 0]
+        known = [frequencies.get(h, 1) for h in counted.tolist()]
+        order = np.lexsort((counted, np.array(known, dtype=np.int64)))[:need]
+        keys, frequent = [], False
+        for k in order.tolist():
+            if known[k] > FREQUENT:
+                frequent = True
+            elif known[k] > 1:
+                keys.append(int(counted[k]))
+        if len(order) < need:
+            keys += s[s % self.counted != 0][: need - len(order)].tolist()
+        return keys, frequent
 
 
 def folded(v: np.ndarray, buckets: int) -> np.ndarray:
@@ -101,23 +149,6 @@ def folded(v: np.ndarray, buckets: int) -> np.ndarray:
     return v
 
 
-def prefix_keys(s: np.ndarray, frequencies: dict[int, int]) -> tuple[list[int], bool]:
-    """Keys of the rare tokens in the prefix, and whether it holds a frequent one."""
-    need = len(s) // 10 + 1
-    counted = s[s % COUNTED == 0]
-    known = [frequencies.get(h, 1) for h in counted.tolist()]
-    order = np.lexsort((counted, np.array(known, dtype=np.int64)))[:need]
-    keys, frequent = [], False
-    for k in order.tolist():
-        if known[k] > FREQUENT:
-            frequent = True
-        elif known[k] > 1:
-            keys.append(int(counted[k]))
-    if len(order) < need:
-        keys += s[s % COUNTED != 0][: need - len(order)].tolist()
-    return keys, frequent
-
-
 def _signed(h: np.ndarray) -> np.ndarray:
     return np.asarray(h, dtype=np.uint64).view(np.int64)
 
@@ -126,23 +157,23 @@ def _chunk_id(table: pa.Table) -> int:
     return table.column("chunk")[0].as_py()
 
 
-def _entries(table: pa.Table, firsts: pa.Table):
+def _entries(measure: Measure, table: pa.Table, firsts: pa.Table):
     """(id, set) of the chunk's documents that stand for all with their set."""
     wanted = set(joined(firsts.filter(pa.compute.equal(firsts.column("kind"), 0)).column("h")).tolist())
     hashes, seen = WordHashes.shared(), set()
     for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text")):
         if doc in wanted and text.is_valid:
-            s = shingles(text.as_py(), hashes)
+            s = measure.shingles(text.as_py(), hashes)
             if len(s) and (doc, s[0].item(), len(s)) not in seen:
                 seen.add((doc, s[0].item(), len(s)))
                 yield doc, s
 
 
-def _describe(table: pa.Table) -> pa.Table:
+def _describe(measure: Measure, table: pa.Table) -> pa.Table:
     """Size of every document's set, and two sums that stand for its content."""
     hashes, n, one, two = WordHashes.shared(), [], [], []
     for text in table.column("text"):
-        s = shingles(text.as_py() or "", hashes)
+        s = measure.shingles(text.as_py() or "", hashes)
         n.append(len(s))
         one.append(np.bitwise_xor.reduce(mixed(s)) if len(s) else np.uint64(0))
         two.append(np.add.reduce(mixed(s ^ np.uint64(0x589965CC75374CC3))) if len(s) else np.uint64(0))
@@ -161,11 +192,12 @@ _ASKED = "spot long, chunk long, h binary, count binary"
 _ANSWER = "chunk long, kind int, h binary, count binary"
 
 
-def _ask(bits: int):
+def _ask(measure: Measure, bits: int):
     """Counted tokens of the chunk's sets with the number of sets that hold them, by range of hashes."""
 
     def run(table: pa.Table, firsts: pa.Table) -> pa.Table:
-        parts = [s[s % COUNTED == 0] for _, s in _entries(table, firsts)] if table.num_rows and firsts.num_rows else []
+        have = table.num_rows and firsts.num_rows
+        parts = [s[s % measure.counted == 0] for _, s in _entries(measure, table, firsts)] if have else []
         h, count = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
         spot = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
         cuts = np.r_[np.flatnonzero(np.r_[True, spot[1:] != spot[:-1]]), len(h)] if len(h) else np.zeros(1, int)
@@ -203,24 +235,24 @@ def _answer(table: pa.Table) -> pa.Table:
     )
 
 
-def _index(table: pa.Table, answers: pa.Table) -> pa.Table:
+def _index(measure: Measure, table: pa.Table, answers: pa.Table) -> pa.Table:
     """Keys of every set that has any (kind 1), and the set with its fingerprint (kind 0)."""
     kind, doc_id, size, key, cell, print_ = [], [], [], [], [], []
     if table.num_rows and answers.num_rows:
         told = answers.filter(pa.compute.equal(answers.column("kind"), 1))
         frequencies = dict(zip(joined(told.column("h")).tolist(), joined(told.column("count")).tolist()))
-        for doc, s in _entries(table, answers):
-            keys, frequent = prefix_keys(s, frequencies)
+        for doc, s in _entries(measure, table, answers):
+            keys, frequent = measure.prefix_keys(s, frequencies)
             every = np.array(keys, dtype=np.uint64)
             if frequent:
-                every = np.concatenate([every, combinations(s)])
+                every = np.concatenate([every, measure.combinations(s)])
             if len(every):
                 kind += [0] + [1] * len(every)
                 doc_id += [doc] * (len(every) + 1)
                 size += [len(s)] * (len(every) + 1)
                 key += [0, *_signed(every).tolist()]
                 cell += [packed(s)] + [None] * len(every)
-                print_ += [fingerprint(s).tobytes()] + [None] * len(every)
+                print_ += [measure.fingerprint(s).tobytes()] + [None] * len(every)
     return pa.table(
         {
             "kind": pa.array(kind, pa.int32()),
@@ -233,7 +265,7 @@ def _index(table: pa.Table, answers: pa.Table) -> pa.Table:
     )
 
 
-def _pruned(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+def _pruned(measure: Measure, pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """The pairs (a, b) whose fingerprints differ in no more buckets than linked sets can."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -241,7 +273,7 @@ def _pruned(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         for p, q, n, m in zip(*(batch.column(c).to_pylist() for c in ("pa", "pb", "na", "nb"))):
             x, y = np.frombuffer(p, np.uint16), np.frombuffer(q, np.uint16)
             least = min(len(x), len(y))
-            keep.append(int((folded(x, least) != folded(y, least)).sum()) <= allowed_difference(n, m))
+            keep.append(int((folded(x, least) != folded(y, least)).sum()) <= measure.allowed_difference(n, m))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = entries.select("doc", "n", "print")
@@ -249,7 +281,7 @@ def _pruned(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     return map_batches(both, lambda: step, "a long, b long")
 
 
-def _linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+def _linked(measure: Measure, pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """The pairs that link, by the whole sets."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -257,11 +289,11 @@ def _linked(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         for p, q in zip(batch.column("ca").to_pylist(), batch.column("cb").to_pylist()):
             x, y = unpacked(p), unpacked(q)
             common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= 90 * (len(x) + len(y) - common))
+            keep.append(measure.links(common, len(x) + len(y) - common))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     sets = entries.select("doc", "cell")
-    both = _pruned(pairs, entries).join(sets.toDF("a", "ca"), "a").join(sets.toDF("b", "cb"), "b")
+    both = _pruned(measure, pairs, entries).join(sets.toDF("a", "ca"), "a").join(sets.toDF("b", "cb"), "b")
     return map_batches(both, lambda: step, "a long, b long")
 
 
@@ -282,7 +314,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.toDF("doc", "label")
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
+def _in_blocks(measure: Measure, rows: DataFrame) -> DataFrame:
     """Pairs of large keys' members in different components that pass the fingerprint test.
 
     `rows` has key, i, j, blk, doc, n, label, print. One call compares the blocks i and j of a key.
@@ -300,10 +332,10 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
             rows_ = order[a:b]
             sizes = n[rows_]
             width = np.array([len(prints[r]) for r in rows_])
-            # Members are sorted by size: partners of a row follow it, with as many buckets or twice as many.
+            # Members are sorted by size: partners of a row follow it, with as many buckets or more.
             matrix = {int(w): np.stack([folded(prints[r], int(w)) for r in rows_[width >= w]]) for w in np.unique(width)}
             offset = {w: int((width < w).sum()) for w in matrix}
-            ends = np.searchsorted(sizes, sizes * 10 // 9, side="right")
+            ends = np.searchsorted(sizes, measure.largest_partner(sizes), side="right")
             for k in range(len(rows_)):
                 end = ends[k]
                 if end <= k + 1:
@@ -311,7 +343,7 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
                 r, others, w = rows_[k], rows_[k + 1 : end], int(width[k])
                 m, base = matrix[w], offset[w]
                 apart = (m[k + 1 - base : end - base] != m[k - base]).sum(1)
-                good = (apart <= allowed_difference(sizes[k], sizes[k + 1 : end])) & (label[others] != label[r])
+                good = (apart <= measure.allowed_difference(sizes[k], sizes[k + 1 : end])) & (label[others] != label[r])
                 if i[r] != j[r]:
                     good &= block[others] != block[r]
                 for o in others[good].tolist():
@@ -324,7 +356,11 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("spot").applyInArrow(run, "a long, b long")
 
 
-def _remaining(keys: DataFrame, entries: DataFrame, labels: DataFrame) -> DataFrame:
+def _sizes_fit(measure: Measure, a: Column, b: Column) -> Column:
+    return (a * measure.p <= b * measure.q) & (b * measure.p <= a * measure.q)
+
+
+def _remaining(measure: Measure, keys: DataFrame, entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Every pair with a common key in different components, but for those the fingerprints exclude."""
     labelled = materialise(
         keys.join(labels, "doc", "left").select("key", "doc", "n", F.coalesce("label", "doc").alias("label")), "keys"
@@ -335,7 +371,7 @@ def _remaining(keys: DataFrame, entries: DataFrame, labels: DataFrame) -> DataFr
     open_keys = materialise(labelled.join(sizes, "key"), "open-keys")
     few = open_keys.where(F.col("size") <= FREQUENT)
     other = few.select("key", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    fits = (F.col("n") * 9 <= F.col("nb") * 10) & (F.col("nb") * 9 <= F.col("n") * 10)
+    fits = _sizes_fit(measure, F.col("n"), F.col("nb"))
     pairs = (
         few.withColumnRenamed("doc", "a")
         .join(other, "key")
@@ -356,12 +392,13 @@ def _remaining(keys: DataFrame, entries: DataFrame, labels: DataFrame) -> DataFr
     )
     rows = open_keys.count()
     spot = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, rows // GROUP_ROWS * 4 + 1)))
-    large = _in_blocks(spread.select("key", "i", "j", "blk", "doc", "n", "label", "print", spot.alias("spot")))
+    large = _in_blocks(measure, spread.select("key", "i", "j", "blk", "doc", "n", "label", "print", spot.alias("spot")))
     return pairs.union(large).distinct()
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame, shingle_words: int = 3, threshold: float = 0.9) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
+    measure = Measure.of(shingle_words, threshold)
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -369,8 +406,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << bits)).alias("chunk")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", chunk)
+
+    def describe_step(table: pa.Table) -> pa.Table:
+        return _describe(measure, table)
+
     described = materialise(
-        rows.groupBy("chunk").applyInArrow(_describe, "doc_id long, chunk long, n long, s1 long, s2 long"), "sets"
+        rows.groupBy("chunk").applyInArrow(describe_step, "doc_id long, chunk long, n long, s1 long, s2 long"), "sets"
     )
     content = ["n", "s1", "s2"]
     known = described.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -387,13 +428,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             }
         )
 
+    def index_step(table: pa.Table, answers: pa.Table) -> pa.Table:
+        return _index(measure, table, answers)
+
     listed = firsts.select("first.doc_id", "first.chunk").groupBy("chunk").applyInArrow(list_firsts, _ANSWER)
-    asked = rows.groupBy("chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_ask(bits), _ASKED)
+    asked = rows.groupBy("chunk").cogroup(listed.groupBy("chunk")).applyInArrow(_ask(measure, bits), _ASKED)
     answers = asked.groupBy("spot").applyInArrow(_answer, _ANSWER)
     indexed = materialise(
         rows.groupBy("chunk")
         .cogroup(listed.union(answers).groupBy("chunk"))
-        .applyInArrow(_index, "kind int, doc long, n long, key long, cell binary, print binary"),
+        .applyInArrow(index_step, "kind int, doc long, n long, key long, cell binary, print binary"),
         "index",
     )
     entries = indexed.where(F.col("kind") == 0)
@@ -405,16 +449,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         leaders = keys.groupBy("key").agg(F.min(rank).alias("_lead")).select(
             "key", F.col("_lead.doc").alias("lead"), F.col("_lead.n").alias("lead_n")
         )
-        fits = (F.col("n") * 9 <= F.col("lead_n") * 10) & (F.col("lead_n") * 9 <= F.col("n") * 10)
+        fits = _sizes_fit(measure, F.col("n"), F.col("lead_n"))
         pairs = keys.join(leaders, "key").where((F.col("doc") != F.col("lead")) & fits).select(
             F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b")
         ).distinct()
         if turn:
             pairs = _apart(pairs, labels)
-        edges = materialise(edges.union(_linked(materialise(pairs, "pairs"), entries)), "links")
+        edges = materialise(edges.union(_linked(measure, materialise(pairs, "pairs"), entries)), "links")
         labels = components(edges)
-    rest = materialise(_remaining(keys, entries, labels), "pairs")
-    edges = materialise(edges.union(_linked(rest, entries)), "links")
+    rest = materialise(_remaining(measure, keys, entries, labels), "pairs")
+    edges = materialise(edges.union(_linked(measure, rest, entries)), "links")
     labels = components(edges)
     by_content = firsts.select(*content, F.col("first.doc_id").alias("doc")).join(labels, "doc", "left")
     found = by_content.select(*content, F.coalesce("label", "doc").alias("label"))

@@ -39,7 +39,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, threshold=0.9)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,59 @@ def test_jaccard_components(spark, texts, monkeypatch):
     assert got[None][1] is None
 
 
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+def test_jaccard_settings(spark, texts, monkeypatch, words, percent):
+    import corpus_pipeline
+
+    assert (corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_SIMILARITY) == (5, 0.8)
+    rng, near = random.Random(7), []
+    for n in (40, 120, 300, 500, 1000):
+        base = prose(n, n, 10**6).split(" ")
+        near.append(" ".join(base))
+        for part in (10, 18, 25, 45, 50, 55, 70):
+            gone = set(rng.sample(range(n), max(1, n // part)))
+            near.append(" ".join("new%d" % rng.randrange(10**6) if k in gone else w for k, w in enumerate(base)))
+    lower = {c: c + 32 for c in range(65, 91)}
+    every = [*texts, *near]
+    sets = []
+    for t in every:
+        w = WORD.findall((t or "").translate(lower))
+        sets.append(set(zip(*[w[k:] for k in range(words)])) if len(w) >= words else ({tuple(w)} if w else set()))
+    label = list(range(len(sets)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            low, high = sorted((label[a], label[b]))
+            label = [low if x == high else x for x in label]
+    want = {i: (len(s), label[i]) for i, s in enumerate(sets)}
+    for frequent in (32, 2):
+        monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+        got = jaccard.similar_documents(frame(spark, every), words, percent / 100).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    if words == 5:
+        kept = corpus_pipeline.jaccard_stage(spark, frame(spark, every), "").collect()
+        assert {r.doc_id for r in kept} == {i for i, x in enumerate(label) if i == x}
+
+
+@pytest.mark.parametrize("words, threshold", [(3, 0.9), (5, 0.8), (5, 0.55)])
+def test_jaccard_bounds(words, threshold):
+    """Linked sets have a combination in common and pass the size and fingerprint filters."""
+    measure, rng = jaccard.Measure.of(words, threshold), np.random.default_rng(3)
+    for n in [*range(1, 40), 100, 333, 1000]:
+        s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for m in {n, measure.largest_partner(n), (n + measure.largest_partner(n)) // 2}:
+            d = max(0, int(measure.allowed_difference(n, m)))
+            gone = (d - (m - n)) // 2
+            t = np.unique(np.concatenate([s[gone:], rng.integers(0, 2**63, m - n + gone).astype(np.uint64)]))
+            common = len(np.intersect1d(s, t))
+            if not measure.links(common, len(s) + len(t) - common):
+                continue
+            assert np.intersect1d(measure.combinations(s), measure.combinations(t)).size
+            x, y = measure.fingerprint(s), measure.fingerprint(t)
+            least = min(len(x), len(y))
+            assert (jaccard.folded(x, least) != jaccard.folded(y, least)).sum() <= measure.allowed_difference(n, m)
+            assert np.intersect1d(s[: measure.prefix(n)], t[: measure.prefix(m)]).size
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
