@@ -1,125 +1,30 @@
-"""Nearest neighbours by inner product: a forest of random-projection trees, then exact ranking.
+"""Nearest neighbours by inner product: every query is ranked against every vector, block by block.
 
-The trees are grown on the driver from a bounded sample (`SAMPLE_ROWS` vectors of the smallest
-hashes) and broadcast; every vector is put into one leaf of each tree. A query walks all trees with
-one priority queue: the branch with the best worst margin comes next, until `probes` leaves are
-found. The vectors in those leaves are ranked by their exact inner product in double precision.
+Vectors and queries are dealt into blocks, and one call ranks one block of queries against one block
+of vectors. A matrix product finds the pairs that can be among the best; these are scored again by
+sums in a fixed order in double precision. The result is exact. The pairs grow with the square of the
+table where the queries are a share of it: for vectors without structure (64 components, nearly
+isotropic) trees have to look at about half of all rows for a recall of 0.9, so they save nothing.
 
-An inner product becomes an angle by giving every vector one more component, so that all have the
-length of the longest. Equal vectors are one entry with its smallest ids, of which more than k + 1
-can never be in a result, so many copies of one vector are neither a large leaf nor many queries.
+Equal vectors are one entry with its smallest ids, of which more than k + 1
+can never be in a result, so many copies of one vector are neither a large block nor many queries.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of
 another than the most frequent length, nor rows without id. Of rows with the same id the smallest
-vector counts. Ties go to the smaller id. Fewer candidates than k give fewer rows.
+vector counts. Ties go to the smaller id. Fewer vectors than k give fewer rows.
 """
 
 from __future__ import annotations
 
-import heapq
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from jobmetrics.llm.common import map_batches
 from jobmetrics.session import materialise
 
-SAMPLE_ROWS = 20_000
-TREES = 12
-LEAF_ROWS = 256  # wanted in a leaf
-LEAST_SAMPLE = 8  # sampled vectors a node must hold to be split
-PROBES = 208  # leaves a query visits, over all trees
-GROUP_ROWS = 20_000  # index rows that one call ranks, about
-SEED = 7
-
-
-@dataclass(frozen=True)
-class Tree:
-    """Inner nodes; a child below zero is the leaf -1 - child. A tree of one leaf has no nodes."""
-
-    directions: np.ndarray
-    thresholds: np.ndarray
-    children: np.ndarray
-    leaves: int
-
-
-def grow(sample: np.ndarray, depth: int, random: np.random.Generator) -> Tree:
-    directions, thresholds, children, leaves = [], [], [], 0
-
-    def split(rows: np.ndarray, level: int) -> int:
-        nonlocal leaves
-        if level < depth and len(rows) >= 2 * LEAST_SAMPLE:
-            for _ in range(5):
-                a, b = sample[random.choice(rows, 2, replace=False)]
-                way = a - b
-                length = np.sqrt(way @ way)
-                if length == 0:
-                    continue
-                way = way / length
-                along = sample[rows] @ way
-                middle = float(np.median(along))
-                left = along < middle
-                if LEAST_SAMPLE <= left.sum() <= len(rows) - LEAST_SAMPLE:
-                    me = len(directions)
-                    directions.append(way)
-                    thresholds.append(middle)
-                    children.append([0, 0])
-                    children[me] = [split(rows[left], level + 1), split(rows[~left], level + 1)]
-                    return me
-        leaves += 1
-        return -leaves
-
-    root = split(np.arange(len(sample)), 0)
-    width = sample.shape[1]
-    tree = Tree(
-        np.array(directions).reshape(-1, width), np.array(thresholds), np.array(children, dtype=int).reshape(-1, 2), leaves
-    )
-    assert root == (0 if directions else -1)
-    return tree
-
-
-@dataclass(frozen=True)
-class Forest:
-    trees: list[Tree]
-    longest: float
-
-    def lengthened(self, x: np.ndarray) -> np.ndarray:
-        """Vectors with the component that makes them as long as the longest."""
-        rest = np.sqrt(np.maximum(0.0, self.longest**2 - (x * x).sum(1)))
-        return np.hstack([x, rest[:, None]])
-
-    def leaves_of(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of every (lengthened) row in every tree."""
-        out = np.zeros((len(x), len(self.trees)), dtype=np.int64)
-        for t, tree in enumerate(self.trees):
-            at = np.zeros(len(x), dtype=int) if len(tree.thresholds) else np.full(len(x), -1)
-            while (inner := np.flatnonzero(at >= 0)).size:
-                node = at[inner]
-                right = (x[inner] * tree.directions[node]).sum(1) >= tree.thresholds[node]
-                at[inner] = tree.children[node, right.astype(int)]
-            out[:, t] = -1 - at
-        return out
-
-    def probe(self, query: np.ndarray, probes: int) -> list[tuple[int, int]]:
-        """(tree, leaf) pairs, best first, from one queue over all trees."""
-        length = np.sqrt(query @ query)
-        q = np.append(query * (self.longest / length), 0.0)
-        margins = [tree.directions @ q - tree.thresholds for tree in self.trees]
-        queue = [(-np.inf, t, 0 if len(tree.thresholds) else -1) for t, tree in enumerate(self.trees)]
-        heapq.heapify(queue)
-        found: list[tuple[int, int]] = []
-        while queue and len(found) < probes:
-            worst, t, node = heapq.heappop(queue)
-            if node < 0:
-                found.append((t, -1 - node))
-                continue
-            m = margins[t][node]
-            left, right = self.trees[t].children[node]
-            heapq.heappush(queue, (max(worst, m), t, int(left)))
-            heapq.heappush(queue, (max(worst, -m), t, int(right)))
-        return found
+LEAST_BLOCKS = 12  # blocks of vectors, so that small tables use several cores
+BLOCK_ROWS = 20_000  # vectors, and queries, that one call ranks
+PAIRS = 4_000_000  # pairs whose inner products are in memory at once
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -133,125 +38,77 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("v") == (common["n"] if common else -1)).groupBy("vid").agg(F.min("v").alias("v"))
 
 
-def norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-
-
-def fit(distinct: DataFrame, rows: int, width: int, trees: int, leaf_rows: int, sample_rows: int) -> Forest:
-    """Grow the forest from the vectors of the smallest hashes."""
-    longest = distinct.agg(F.max(norm(F.col("v")))).first()[0]
-    sampled = distinct.orderBy(F.xxhash64("vid"), "vid").limit(sample_rows).select("v").collect()
-    sample = np.array([r["v"] for r in sampled], dtype=float).reshape(-1, width)
-    forest = Forest([], longest)
-    depth = max(0, int(np.ceil(np.log2(max(1, rows / leaf_rows)))))
-    grown = [grow(forest.lengthened(sample), depth, np.random.default_rng([SEED, t])) for t in range(trees)]
-    return Forest(grown, longest)
-
-
 def _matrix(column: pa.ChunkedArray | pa.Array, rows: int) -> np.ndarray:
     flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
     return flat.to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
-def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Sums over the components in their order, so that equal pairs have equal scores everywhere."""
-    out = np.zeros((len(queries), len(vectors)))
-    for d in range(queries.shape[1]):
-        out += queries[:, d, None] * vectors[None, :, d]
+def inner_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of each pair of rows; sums over the components in their order, so that equal pairs have equal scores everywhere."""
+    out = np.zeros(len(x))
+    for d in range(x.shape[1]):
+        out += x[:, d] * y[:, d]
     return out
 
 
+def best_pairs(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of q and of x and their score, for the k best of each q and all that tie with the last."""
+    rough = q @ x.T
+    least = rough.min(1) if len(x) <= k else np.partition(rough, len(x) - k, axis=1)[:, len(x) - k]
+    # Both ways of summing are off by less than this.
+    slack = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
+    at, who = np.nonzero(rough >= (least - slack)[:, None])
+    return at, who, inner_products(q[at], x[who])
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    trees: int = TREES, leaf_rows: int = LEAF_ROWS, probes: int = PROBES, sample_rows: int = SAMPLE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: of each query the k nearest rows of `vectors` but its own."""
-    spark = vectors.sparkSession
     by_vector = Window.partitionBy("v").orderBy("vid")
     few = usable(vectors, id_col, vector_col).withColumn("_k", F.row_number().over(by_vector)).where(F.col("_k") <= k + 1)
     distinct = materialise(
         few.groupBy("v").agg(F.min("vid").alias("vid"), F.array_sort(F.collect_list("vid")).alias("ids")), "vectors"
     )
     asked = materialise(usable(queries, id_col, vector_col), "queries")
-    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
-    rows, width = size["n"], size["d"] or 1
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not rows:
-        return spark.createDataFrame([], schema)
-    forest = spark.sparkContext.broadcast(fit(distinct, rows, width, trees, leaf_rows, sample_rows))
-    leaves = max(tree.leaves for tree in forest.value.trees)
-    # A leaf larger than a call ranks at once (the sample bounds the leaves) is cut into blocks.
-    blocks = max(1, round(rows / leaves / GROUP_ROWS))
-    groups = max(1, rows * trees // GROUP_ROWS)
-    spot = F.pmod(F.xxhash64("bucket", "block"), F.lit(groups)).alias("spot")
+    asked_once = materialise(asked.groupBy("v").agg(F.min("vid").alias("vid")).select("vid", "v"), "asked")
+    # Of other lengths than the vectors' nothing is near.
+    width = distinct.agg(F.max(F.size("v"))).first()[0] or 0
+    rows, n_asked = distinct.count(), asked_once.count()
+    left = max(LEAST_BLOCKS, -(-rows // block_rows))
+    right = max(1, -(-n_asked // block_rows))
 
-    def index_step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        f = forest.value
-        leaf = f.leaves_of(f.lengthened(_matrix(batch.column("v"), batch.num_rows)))
-        bucket = (np.arange(len(f.trees)) * 2**40 + leaf).ravel()
-        take = pa.array(np.repeat(np.arange(batch.num_rows), len(f.trees)))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("vid").take(take), batch.column("v").take(take), pa.array(bucket)], names=["vid", "v", "bucket"]
-        )
+    def block(count: int):
+        return F.pmod(F.xxhash64("vid"), F.lit(count)).cast("int")
 
-    def probe_step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        f, row, bucket = forest.value, [], []
-        for r, q in enumerate(_matrix(batch.column("v"), batch.num_rows)):
-            for tree, leaf in f.probe(q, probes):
-                row.append(r)
-                bucket.append(tree * 2**40 + leaf)
-        take = pa.array(row, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("vid").take(take), batch.column("v").take(take), pa.array(bucket, pa.int64())],
-            names=["vid", "v", "bucket"],
-        )
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    shape = "vid long, v array<double>, bucket long"
-    index = map_batches(distinct.select("vid", "v"), lambda: index_step, shape).withColumn(
-        "block", F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int")
-    )
-    asked_once = asked.groupBy("v").agg(F.min("vid").alias("vid")).select("vid", "v")
-    probing = map_batches(asked_once, lambda: probe_step, shape).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
+    index = distinct.select("vid", "v", block(left).alias("i")).withColumn("j", every(right))
+    asking = asked_once.where(F.size("v") == width).withColumn("j", block(right)).withColumn("i", every(left))
 
-    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The best k + 1 of each query in each leaf."""
+    def rank(x_rows: pa.Table, q_rows: pa.Table) -> pa.Table:
+        """The best k + 1 of each query in a block of vectors."""
         out_q, out_v, out_s = [], [], []
-        if left.num_rows and right.num_rows:
-            x, q = _matrix(left.column("v"), left.num_rows), _matrix(right.column("v"), right.num_rows)
-            keys = [
-                t.column("bucket").to_numpy() * blocks + t.column("block").to_numpy() for t in (left, right)
-            ]
-            ids, asking = left.column("vid").to_numpy(), right.column("vid").to_numpy()
-            order, asks = np.argsort(keys[0], kind="stable"), np.argsort(keys[1], kind="stable")
-            for key in np.intersect1d(*keys):
-                xs = order[slice(*np.searchsorted(keys[0], [key, key + 1], sorter=order))]
-                every = asks[slice(*np.searchsorted(keys[1], [key, key + 1], sorter=asks))]
-                for qs in np.array_split(every, max(1, len(every) * len(xs) // 4_000_000)):
-                    scores = inner_products(q[qs], x[xs])
-                    least = scores.min(1) if len(xs) <= k + 1 else -np.partition(-scores, k, axis=1)[:, k]
-                    at, who = np.nonzero(scores >= least[:, None])  # ties with the last one come along
-                    out_q.append(asking[qs][at])
-                    out_v.append(ids[xs][who])
-                    out_s.append(scores[at, who])
+        if x_rows.num_rows and q_rows.num_rows:
+            x, q = _matrix(x_rows.column("v"), x_rows.num_rows), _matrix(q_rows.column("v"), q_rows.num_rows)
+            ids, who_asks = x_rows.column("vid").to_numpy(), q_rows.column("vid").to_numpy()
+            for part in np.array_split(np.arange(len(q)), -(-len(q) * len(x) // PAIRS)):
+                at, who, scores = best_pairs(q[part], x, k + 1)
+                out_q.append(who_asks[part][at])
+                out_v.append(ids[who])
+                out_s.append(scores)
         columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((out_q, "i8"), (out_v, "i8"), (out_s, "f8"))]
         return pa.table(dict(zip(("qid", "vid", "score"), columns)))
 
     found = (
-        index.withColumn("spot", spot)
-        .groupBy("spot")
-        .cogroup(probing.withColumn("spot", spot).groupBy("spot"))
+        index.groupBy("i", "j")
+        .cogroup(asking.groupBy("i", "j"))
         .applyInArrow(rank, "qid long, vid long, score double")
     )
     by_query = Window.partitionBy("qid").orderBy(F.desc("score"), "vid")
-    best = (
-        found.groupBy("qid", "vid")
-        .agg(F.max("score").alias("score"))
-        .withColumn("_k", F.row_number().over(by_query))
-        .where(F.col("_k") <= k + 1)
-        .drop("_k")
-    )
+    best = found.withColumn("_k", F.row_number().over(by_query)).where(F.col("_k") <= k + 1).drop("_k")
     hits = best.join(distinct.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id"))
     # Every query row takes the list of its vector.
     firsts = asked_once.select("v", F.col("vid").alias("qid"))

@@ -333,6 +333,25 @@ def test_nearest(spark):
         assert [(k, i) for k, i, _ in sorted(rows)] == [(k + 1, i) for k, (_, i) in enumerate(sorted(score)[:20])]
 
 
+def test_nearest_in_a_large_table(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng, n = np.random.default_rng(5), 80_000
+    x = rng.normal(size=(n, 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    column = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": column}), tmp_path / "x.parquet")
+    table, got = spark.read.parquet(str(tmp_path / "x.parquet")), {}
+    for r in ann.nearest(table, table.where(F.col("vec_id") % 2000 == 0), k=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert set(got) == set(range(0, n, 2000))
+    for q, rows in got.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        assert [v for _, v in sorted(rows)] == np.argsort(-score)[:20].tolist()
+
+
 def test_isotonic_and_label_model():
     fit = quality_model.isotonic(np.array([1.0, 1, 0, 1, 2]), np.array([0.0, 1, 0, 0, 2]))
     assert np.all(np.diff(fit) >= 0) and fit[0] == 0 and fit[-1] == 1
