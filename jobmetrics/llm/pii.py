@@ -98,7 +98,7 @@ _AT = re.compile(
 _DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+(?:dot|point)\s+(?=[A-Za-z0-9])")
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\s+@\s*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[A-Za-z0-9-]+\.[A-Za-z0-9])")
 _PLUS = re.compile(r"(?i)(?<![A-Za-z])plus\s+(?=[0-9])")
-_DISGUISE = re.compile(r"(?i)\bat\b.{0,80}?\bdot\b|[\[({<]\s*(?:at|dot|\.)\s*[\])}>]|\s@|@\s")
+_SIGNS = ((_AT, "@"), (_DOT, "."), (_SPACED_AT, "@"), (_PLUS, "+"))
 _LEAST_NUMBERS = 4
 
 
@@ -174,15 +174,23 @@ def _numbers(tape: Tape) -> None:
 
 
 def _signs(tape: Tape) -> None:
-    for pattern, sign in ((_AT, "@"), (_DOT, "."), (_SPACED_AT, "@"), (_PLUS, "+")):
+    for pattern, sign in _SIGNS:
         tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
 
 
+def _disguised(text: str) -> bool:
+    """Whether any transducer rewrites the text; the first one that does finds its pattern in the text as it is."""
+    if any(pattern.search(text) for pattern, _ in _SIGNS):
+        return True
+    if not text.isascii() and _ODD.search(text):
+        return True
+    return sum(1 for _ in _NUMBER.finditer(text)) >= _LEAST_NUMBERS
+
+
 def spans(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans, and all spans; both by kind and start."""
     plain = sorted(plain_spans(text))
-    odd = any(not c.isascii() for c in text) and _ODD.search(text)
-    if not odd and not _DISGUISE.search(text) and sum(1 for _ in _NUMBER.finditer(text)) < _LEAST_NUMBERS:
+    if not _disguised(text):
         return plain, plain
     tape = Tape(text)
     _glyphs(tape)

@@ -282,6 +282,19 @@ def test_disguised_personal_data(text, kind, shown):
     assert not [x for x in plain if text[x[1] : x[2]] == shown]
 
 
+@pytest.mark.parametrize(
+    "kind, shown",
+    [
+        ("email", "jane@example dot com"), ("ip", "192 dot 168 dot 0 dot 1"), ("ip", "192 point 168 point 0 point 1"),
+        ("phone", "plus 44 20 7946 0958"), ("email", "jane at\nexample dot com"), ("email", "jane@example point com"),
+        ("email", "jane @ example.com"), ("email", "jane[at]example.com"), ("email", "jane@example[.]com"),
+    ],
+)
+def test_each_disguise_alone(kind, shown):
+    for text in (shown, f"see {shown}; or not", f"see {shown}; or not \u3042"):
+        assert shown in [text[s:e] for k, s, e in pii.spans(text)[1] if pii.KINDS[k] == kind]
+
+
 def test_clean_texts_have_no_spans(spark, texts):
     rows = pii.find_personal_data(frame(spark, [*texts, "the one at home. Two dots at 5. one two", "élan à la carte – ok"]))
     assert {r.spans for r in rows.collect()} == {""}
