@@ -99,7 +99,10 @@ _DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\s+@\s*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[A-Za-z0-9-]+\.[A-Za-z0-9])")
 _PLUS = re.compile(r"(?i)(?<![A-Za-z])plus\s+(?=[0-9])")
 _SIGNS = ((_AT, "@"), (_DOT, "."), (_SPACED_AT, "@"), (_PLUS, "+"))
+# So many number words in a run are rewritten wherever they stand, fewer where they touch digits or a plus sign.
 _LEAST_NUMBERS = 4
+_DIGITS_BEFORE = re.compile(r"(?i)(?:[0-9][\s.,()\-]{0,3}(?:\b(?:dot|point)\s{1,3})?|\+[\s(]{0,3}|\bplus\s{1,3})\Z")
+_DIGITS_AFTER = re.compile(r"(?i)[\s.,()\-]{0,3}(?:\b(?:dot|point)\s{1,3})?[0-9]")
 
 
 class Tape:
@@ -151,6 +154,16 @@ def _glyphs(tape: Tape) -> None:
     tape.rewrite([x for x in found if x[2] != tape.text[x[0] : x[1]]])
 
 
+def _touches_digits(text: str, run: list[re.Match]) -> bool:
+    """Whether digits, or a plus sign in front, stand beside a run of number words or within it."""
+    start, end = run[0].start(), run[-1].end()
+    return bool(
+        _DIGITS_BEFORE.search(text, max(0, start - 16), start)
+        or _DIGITS_AFTER.match(text, end)
+        or _DIGIT.search(text, start, end)
+    )
+
+
 def _numbers(tape: Tape) -> None:
     """Number words become digits, where several follow each other or stand beside digits."""
     words = list(_NUMBER.finditer(tape.text))
@@ -163,7 +176,7 @@ def _numbers(tape: Tape) -> None:
             runs.append([word])
     changes = []
     for run in runs:
-        if len(run) < _LEAST_NUMBERS:
+        if len(run) < _LEAST_NUMBERS and not _touches_digits(tape.text, run):
             continue
         for k, word in enumerate(run):
             end = word.end()
@@ -184,7 +197,8 @@ def _disguised(text: str) -> bool:
         return True
     if not text.isascii() and _ODD.search(text):
         return True
-    return sum(1 for _ in _NUMBER.finditer(text)) >= _LEAST_NUMBERS
+    words = sum(1 for _ in _NUMBER.finditer(text))
+    return words >= _LEAST_NUMBERS or words > 0 and ("+" in text or _DIGIT.search(text) is not None)
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:

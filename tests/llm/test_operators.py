@@ -295,6 +295,19 @@ def test_each_disguise_alone(kind, shown):
         assert shown in [text[s:e] for k, s, e in pii.spans(text)[1] if pii.KINDS[k] == kind]
 
 
+@pytest.mark.parametrize(
+    "kind, shown",
+    [
+        ("phone", "+1 555 five five five 0199"), ("ip", "192.168.0.one"), ("ip", "one.168.0.1"), ("ip", "192.one.two.1"),
+        ("ip", "192 dot 168 dot 0 dot one"), ("phone", "+one 555 555 0199"), ("card", "4111 1111 1111 111 one"),
+    ],
+)
+def test_number_words_beside_digits(kind, shown):
+    for text in (shown, f"see {shown}; or not"):
+        assert shown in [text[s:e] for k, s, e in pii.spans(text)[1] if pii.KINDS[k] == kind]
+    assert not pii.spans("one of 3, or two. In 2019 three of us had 5 + one")[1]
+
+
 def test_clean_texts_have_no_spans(spark, texts):
     rows = pii.find_personal_data(frame(spark, [*texts, "the one at home. Two dots at 5. one two", "élan à la carte – ok"]))
     assert {r.spans for r in rows.collect()} == {""}
