@@ -157,6 +157,11 @@ def _chunk_id(table: pa.Table) -> int:
     return table.column("chunk")[0].as_py()
 
 
+def _content(s: np.ndarray) -> tuple[int, np.uint64, np.uint64]:
+    """Size, and two sums that stand for the content of a set; the sums of an empty one are 0."""
+    return len(s), np.bitwise_xor.reduce(mixed(s)), np.add.reduce(mixed(s ^ np.uint64(0x589965CC75374CC3)))
+
+
 def _entries(measure: Measure, table: pa.Table, firsts: pa.Table):
     """(id, set) of the chunk's documents that stand for all with their set."""
     wanted = set(joined(firsts.filter(pa.compute.equal(firsts.column("kind"), 0)).column("h")).tolist())
@@ -164,8 +169,8 @@ def _entries(measure: Measure, table: pa.Table, firsts: pa.Table):
     for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text")):
         if doc in wanted and text.is_valid:
             s = measure.shingles(text.as_py(), hashes)
-            if len(s) and (doc, s[0].item(), len(s)) not in seen:
-                seen.add((doc, s[0].item(), len(s)))
+            if len(s) and (doc, *_content(s)) not in seen:
+                seen.add((doc, *_content(s)))
                 yield doc, s
 
 
@@ -173,10 +178,10 @@ def _describe(measure: Measure, table: pa.Table) -> pa.Table:
     """Size of every document's set, and two sums that stand for its content."""
     hashes, n, one, two = WordHashes.shared(), [], [], []
     for text in table.column("text"):
-        s = measure.shingles(text.as_py() or "", hashes)
-        n.append(len(s))
-        one.append(np.bitwise_xor.reduce(mixed(s)) if len(s) else np.uint64(0))
-        two.append(np.add.reduce(mixed(s ^ np.uint64(0x589965CC75374CC3))) if len(s) else np.uint64(0))
+        size, first, second = _content(measure.shingles(text.as_py() or "", hashes))
+        n.append(size)
+        one.append(first)
+        two.append(second)
     return pa.table(
         {
             "doc_id": table.column("doc_id"),

@@ -129,6 +129,25 @@ def test_jaccard_settings(spark, texts, monkeypatch, words, percent):
         assert {r.doc_id for r in kept} == {i for i, x in enumerate(label) if i == x}
 
 
+def test_jaccard_two_texts_of_one_id(spark):
+    """Each of the two has a document that links with it alone."""
+
+    def changed(words, places, mark):
+        return [f"{mark}{k}" if k in places else w for k, w in enumerate(words)]
+
+    one = prose(3, 300, 10**6).split(" ")
+    two = changed(one, {150}, "x")
+    left, right = changed(one, {10, 30, 50, 70, 90}, "l"), changed(two, {210, 230, 250, 270, 290}, "r")
+    sets = [set(zip(w, w[1:], w[2:])) for w in (one, two, left, right)]
+    links = [[100 * len(a & b) >= 90 * len(a | b) for b in sets[2:]] for a in sets[:2]]
+    assert links == [[True, False], [False, True]]
+    firsts = [jaccard.Measure.of(3, 0.9).shingles(" ".join(w), jaccard.WordHashes())[0] for w in (one, two)]
+    assert firsts[0] == firsts[1]
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(left)), (3, " ".join(right))]
+    got = {(r.doc_id, r.component_id) for r in jaccard.similar_documents(frame(spark, rows)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+
+
 @pytest.mark.parametrize("words, threshold", [(3, 0.9), (5, 0.8), (5, 0.55)])
 def test_jaccard_bounds(words, threshold):
     """Linked sets have a combination in common and pass the size and fingerprint filters."""
