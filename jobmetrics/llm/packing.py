@@ -21,9 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.llm.common import map_batches, small_batches, texts_of
+from jobmetrics.session import materialise
 
 # Sequences kept open in a task.
 OPEN_SEQUENCES = 1024
+# Sequences that a task fills, about: many more than it keeps open.
+TASK_SEQUENCES = 4096
 # Sequence ids are task number * this + number in the task.
 SEQUENCES_PER_TASK = 1 << 40
 
@@ -136,12 +139,14 @@ def pack(pieces: DataFrame, capacity: int = 1024, open_sequences: int = OPEN_SEQ
     """`pieces` (with doc_id, piece, length) and the columns sequence_id and offset.
 
     Pieces of one task are sorted, so a task that is run again packs them the same way. The number
-    of tasks is the session's number of shuffle partitions: each leaves at most its open sequences
-    unfilled, and holds no more than those in memory.
+    of tasks follows from the total of tokens, for which the pieces are written first: each leaves at
+    most its open sequences unfilled, and holds no more than those in memory.
     """
     spark = pieces.sparkSession
     small_batches(spark)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = materialise(pieces, "pieces")
+    total = pieces.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // (capacity * TASK_SEQUENCES)))
     mix = F.xxhash64("doc_id", "piece")
     dealt = (
         pieces.withColumn("_mix", mix)

@@ -206,6 +206,12 @@ def test_packing(spark, texts):
         assert sum(r.length for r in pieces) <= 256
 
 
+def test_packing_of_a_small_table_together(spark):
+    pieces = spark.createDataFrame([(k, 0, 300 + k % 7) for k in range(60)], "doc_id long, piece int, length long")
+    rows = packing.pack(pieces, 1024).collect()
+    assert len(rows) == 60 and len({r.sequence_id for r in rows}) == 20
+
+
 def test_best_fit_takes_the_fullest():
     fit = packing.BestFit(10, 2)
     assert [fit.place(n) for n in (6, 7, 3, 4, 9, 1)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (2, 9)]
