@@ -124,4 +124,97 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(reach.b) A
 FROM documents d JOIN reach ON reach.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLES = {"op5_jaccard_join": OP5, "op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op10_url_filter": OP10}
+# The cuts are numbers of code points, and substring counts these.
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+),
+numbers AS (
+  SELECT doc_id, text, length(text) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t
+),
+cuts AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+),
+parts AS (
+  SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# Terms of whole texts, every group's share of every kept term, then all pairs of a language's sources.
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+),
+t AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+whole AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS p
+  FROM kept
+),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+dense AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n FROM g JOIN kept ON kept.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+),
+shares AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 2))
+    // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM dense
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((s.p - w.p) * (s.p - w.p)) // (s.p + w.p) AS value
+  FROM shares s JOIN whole w USING (lang, term) WHERE s.n > 0 AND s.p > w.p
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+# The turns as they are; the length of the formatted text from its parts.
+OP13 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) <> role, true) AS starts,
+    length(replace(replace(replace(role, '### ', '\### '), '<text>', '\<text>'), '</turn>', '\</turn>')) AS role_chars,
+    length(replace(replace(replace(text, '### ', '\### '), '<text>', '\<text>'), '</turn>', '\</turn>')) AS text_chars
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(8 + text_chars) + coalesce(sum(4 + role_chars + 9) FILTER (starts), 0))::BIGINT AS formatted_chars
+FROM ordered GROUP BY conv_id
+"""
+
+ORACLES = {
+    "op5_jaccard_join": OP5, "op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op10_url_filter": OP10,
+    "op11_fill_in_middle": OP11, "op12_source_divergence": OP12, "op13_chat_format": OP13,
+}

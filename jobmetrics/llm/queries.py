@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import ann, bpe, jaccard, packing, pii, quality_model, quality_rules, substrings, toxicity, url_filter
+from jobmetrics.llm import (
+    ann, bpe, chat, divergence, fim, jaccard, packing, pii, quality_model, quality_rules, substrings, toxicity, url_filter,
+)
 from jobmetrics.llm.common import table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -62,6 +64,38 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fim.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # One conversation more, whose texts hold the template's own strings behind an escape character.
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    done = chat.format_conversations(turns.unionByName(own))
+    read = done.select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_spans")), "").alias("learned"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -73,4 +107,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_url_filter": op10_url_filter,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_chat_format": op13_chat_format,
 }
