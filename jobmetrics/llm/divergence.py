@@ -2,7 +2,8 @@
 
 A chunk is a run without ASCII white space. Documents are gathered into blocks of a bounded size, and
 a block lists for each of its chunks the documents that hold it and how often. Every globally distinct
-chunk is cut into terms once, and the terms are joined back to the lists. The lists of one term in one
+chunk is cut into terms once, and the terms are joined back to the lists, except those whose chunks
+together are in too few documents for any language to keep them. The lists of one term in one
 block are united, which counts its distinct documents (of several chunks with one term) and its
 occurrences; sums over blocks follow. So no group grows with the corpus: a term that is everywhere
 has a row per block, and no document is ever needed by more than the tasks of its own block.
@@ -112,14 +113,15 @@ class Block:
         return [{"lang": l, "source": s, "upto": int(n)} for (l, s), n in zip(self.groups, sizes)]
 
 
-BLOCK_SCHEMA = "block long, chunk binary, entries binary, ends array<struct<lang: string, source: string, upto: int>>"
+BLOCK_SCHEMA = "block long, chunk binary, held int, entries binary, ends array<struct<lang: string, source: string, upto: int>>"
 
 
 def _block_batches(block: Block, number: int) -> Iterator[pa.RecordBatch]:
     """One row that names the groups, then one for each chunk."""
     ends = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("upto", pa.int32())]))
-    names = ["block", "chunk", "entries", "ends"]
-    head = [pa.array([number]), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([block.ends()], ends)]
+    names = ["block", "chunk", "held", "entries", "ends"]
+    nulls = [pa.nulls(1, t) for t in (pa.binary(), pa.int32(), pa.binary())]
+    head = [pa.array([number]), *nulls, pa.array([block.ends()], ends)]
     yield pa.RecordBatch.from_arrays(head, names=names)
     if not block.chunks:
         return
@@ -130,7 +132,7 @@ def _block_batches(block: Block, number: int) -> Iterator[pa.RecordBatch]:
         at = offsets[k : k + ROWS_AT_ONCE + 1]
         n = len(at) - 1
         buffers = [None, pa.py_buffer((at - at[0]).astype(np.int32)), pa.py_buffer(raw[at[0] : at[-1]])]
-        columns = [np.full(n, number), pa.array(keys[k : k + n], pa.binary())]
+        columns = [np.full(n, number), pa.array(keys[k : k + n], pa.binary()), sizes[k : k + n].astype(np.int32)]
         columns += [pa.Array.from_buffers(pa.binary(), n, buffers), pa.nulls(n, ends)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
@@ -183,16 +185,31 @@ def terms_of(chunk: Column) -> Column:
     return F.regexp_extract_all(F.translate(chunk, UPPER, LOWER), F.lit(TERM), F.lit(0))
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """lang, source, term, n_docs (documents of the group with the term) and n (occurrences), above zero."""
+def terms_of_chunks(lists: DataFrame, min_docs: int) -> DataFrame:
+    """chunk and term, for the terms that can be in `min_docs` documents: their chunks are in as many entries."""
+    found = lists.groupBy("chunk").agg(F.sum("held").alias("held"))
+    terms = terms_of(F.col("chunk").cast("string"))
+    cut = materialise(found.select("chunk", "held", terms.alias("terms")).where(F.size("terms") > 0), "chunks")
+    single = cut.select("held", F.explode(F.array_distinct("terms")).alias("term"))
+    frequent = single.groupBy("term").agg(F.sum("held").alias("held")).where(F.col("held") >= min_docs).select("term")
+    frequent = materialise(frequent, "frequent")
+    return materialise(cut.select("chunk", F.explode("terms").alias("term")).join(frequent, "term", "left_semi"), "terms")
+
+
+def term_counts(
+    docs: DataFrame, min_docs: int = 1, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+) -> DataFrame:
+    """lang, source, term, n_docs (documents of the group with the term) and n (occurrences), above zero.
+
+    Whole for every term in at least `min_docs` documents; of others some may be left out.
+    """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = docs.select(text.alias("text"), named(lang_col).alias("lang"), named(source_col).alias("source"))
     # Written once: the numbers of blocks and documents must not change when a task runs again.
     blocks = materialise(rows.mapInArrow(count_blocks, BLOCK_SCHEMA), "blocks")
     lists = blocks.where(F.col("chunk").isNotNull())
-    distinct = lists.select("chunk").distinct()
-    cut = distinct.select("chunk", terms_of(F.col("chunk").cast("string")).alias("terms")).where(F.size("terms") > 0)
-    joined = lists.select("block", "chunk", "entries").join(cut, "chunk").select("block", "entries", F.explode("terms").alias("term"))
+    terms = terms_of_chunks(lists, min_docs)
+    joined = lists.select("block", "chunk", "entries").join(terms, "chunk").select("block", "entries", "term")
     sliced = joined.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(SLICES)).cast("int"))
     heads = blocks.where(F.col("ends").isNotNull()).select(
         F.col("block").alias("block"), "ends", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice")
@@ -225,7 +242,7 @@ def source_divergence(
     text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """lang, source, part, item, value, rank: the other sources by divergence, and the most telling terms."""
-    counts = term_counts(docs, text_col, lang_col, source_col)
+    counts = term_counts(docs, min_docs, text_col, lang_col, source_col)
     in_lang = F.sum("n_docs").over(Window.partitionBy("lang", "term"))
     kept = materialise(counts.withColumn("in_lang", in_lang).where(F.col("in_lang") >= min_docs).drop("in_lang", "n_docs"), "kept")
     langs = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))

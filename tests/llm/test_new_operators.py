@@ -149,10 +149,9 @@ def chat_frame(spark, rows):
 
 
 def reread(spark, rows, **kw):
-    done = chat.format_conversations(chat_frame(spark, rows), **kw)
-    out = done.select(
-        "*", chat.read_turns(F.col("formatted")).alias("turns"), chat.masked_texts(F.col("formatted"), F.col("loss_spans")).alias("learned")
-    )
+    done, template = chat.format_conversations(chat_frame(spark, rows), **kw), kw.get("template", chat.Template())
+    learned = chat.masked_texts(F.col("formatted"), F.col("loss_spans"), template).alias("learned")
+    out = done.select("*", chat.read_turns(F.col("formatted"), template).alias("turns"), learned)
     return {r.conv_id: r for r in out.collect()}
 
 
