@@ -1,12 +1,12 @@
 """How the sources of a language differ: terms counted by chunk factorization, then exact divergences.
 
 A chunk is a run without ASCII white space. Documents are gathered into blocks of a bounded size, and
-a block lists for each of its chunks the documents that hold it and how often. Every globally distinct
-chunk is cut into terms once, and the terms are joined back to the lists, except those whose chunks
-together are in too few documents for any language to keep them. The lists of one term in one
-block are united, which counts its distinct documents (of several chunks with one term) and its
-occurrences; sums over blocks follow. So no group grows with the corpus: a term that is everywhere
-has a row per block, and no document is ever needed by more than the tasks of its own block.
+a block lists for each of its chunks the documents that hold it and how often. The lists are dealt by
+chunk, where every globally distinct chunk is cut into terms once, and go back by term and block. There
+the lists of one term are united, which counts its distinct documents (of several chunks with one term)
+and its occurrences; sums over blocks follow. Lists travel packed, many chunks in a row. No group grows
+with the corpus: the lists of a block are bounded, and buckets of chunks grow in number; a chunk or
+term that is everywhere is one entry for each block, and a task unites at most `STRIPE_BLOCKS` of them.
 
 The terms a language keeps are those in at least `min_docs` of its documents; rows are documents, so
 repeated rows count repeatedly. For every kept term a group (language and source), and a language as a
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +33,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from jobmetrics.session import materialise
 
 # Runs of ASCII letters and anything beyond ASCII; A-Z are lower-cased.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# As bytes: UTF-8 has bytes below 0x80 for ASCII only.
+TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 MIN_DOCS = 10
 TOP_TERMS = 10
 UNIT = 1_000_000_000
-# A block ends at so many bytes of text or documents; an entry has 16 bits for the document.
+# A block ends at so many bytes of text or documents; a document's number in it has 16 bits.
 BLOCK_BYTES = 1 << 24
 BLOCK_DOCS = 1 << 16
 PIECE_BYTES = 1 << 20  # of a text, split into chunks at once
-ROWS_AT_ONCE = 20_000  # handed to Spark
-SLICES = 8  # of the terms of a block, each united in a call of its own
-ENTRY = np.dtype([("doc", "<u2"), ("count", "<u2")])
+BUCKET_CHUNKS = 100_000  # chunks, counted once for each block, that are dealt to one bucket
+LEAST_BUCKETS = 64
+SLICES = 32  # of the terms, by hash
+STRIPE_BLOCKS = 64  # blocks whose lists of a slice go to one task
 MOST = np.iinfo(np.uint16).max
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -87,25 +90,27 @@ class Block:
     def full(self) -> bool:
         return self.bytes >= BLOCK_BYTES or len(self.group_of) >= BLOCK_DOCS
 
-    def entries(self) -> tuple[np.ndarray, np.ndarray]:
-        """The entries of all chunks one after the other, and how many each has.
+    def lists(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Chunks in the order of their hashes, how many entries each has, and the entries: documents and counts.
 
         Documents are numbered by group; a count beyond 16 bits takes several entries.
         """
         group_of = np.array(self.group_of)
         number = np.empty(len(group_of), np.int64)
         number[np.argsort(group_of, kind="stable")] = np.arange(len(group_of))
-        chunk = np.concatenate([p[0] for p in self.parts])
+        keys = sorted(self.chunks, key=crc32)
+        place = np.empty(len(keys), np.int64)
+        place[[self.chunks[k] for k in keys]] = np.arange(len(keys))
+        chunk = place[np.concatenate([p[0] for p in self.parts])]
         count = np.concatenate([p[1] for p in self.parts])
         doc = number[np.repeat([p[2] for p in self.parts], [len(p[0]) for p in self.parts])]
         order = np.argsort(chunk * BLOCK_DOCS + doc)
         chunk, doc, count = chunk[order], doc[order], count[order]
         times = -(-count // MOST)
-        last = np.cumsum(times) - 1
-        out = np.empty(int(times.sum()), ENTRY)
-        out["doc"], out["count"] = np.repeat(doc, times), MOST
-        out["count"][last] = count - (times - 1) * MOST
-        return out, np.bincount(np.repeat(chunk, times), minlength=len(self.chunks))
+        counts = np.full(int(times.sum()), MOST, np.uint16)
+        counts[np.cumsum(times) - 1] = count - (times - 1) * MOST
+        sizes = np.bincount(np.repeat(chunk, times), minlength=len(keys))
+        return keys, sizes.astype(np.uint32), np.repeat(doc, times).astype(np.uint16), counts
 
     def ends(self) -> list[dict]:
         """The groups in the order of their documents' numbers, and the number after each one's last."""
@@ -113,28 +118,17 @@ class Block:
         return [{"lang": l, "source": s, "upto": int(n)} for (l, s), n in zip(self.groups, sizes)]
 
 
-BLOCK_SCHEMA = "block long, chunk binary, held int, entries binary, ends array<struct<lang: string, source: string, upto: int>>"
+ENDS = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("upto", pa.int32())]))
+BLOCK_SCHEMA = """block long, n_chunks long, chunks binary, sizes binary, docs binary, counts binary,
+    ends array<struct<lang: string, source: string, upto: int>>"""
 
 
-def _block_batches(block: Block, number: int) -> Iterator[pa.RecordBatch]:
-    """One row that names the groups, then one for each chunk."""
-    ends = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("upto", pa.int32())]))
-    names = ["block", "chunk", "held", "entries", "ends"]
-    nulls = [pa.nulls(1, t) for t in (pa.binary(), pa.int32(), pa.binary())]
-    head = [pa.array([number]), *nulls, pa.array([block.ends()], ends)]
-    yield pa.RecordBatch.from_arrays(head, names=names)
-    if not block.chunks:
-        return
-    entries, sizes = block.entries()
-    raw, keys = entries.tobytes(), list(block.chunks)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64) * ENTRY.itemsize
-    for k in range(0, len(keys), ROWS_AT_ONCE):
-        at = offsets[k : k + ROWS_AT_ONCE + 1]
-        n = len(at) - 1
-        buffers = [None, pa.py_buffer((at - at[0]).astype(np.int32)), pa.py_buffer(raw[at[0] : at[-1]])]
-        columns = [np.full(n, number), pa.array(keys[k : k + n], pa.binary()), sizes[k : k + n].astype(np.int32)]
-        columns += [pa.Array.from_buffers(pa.binary(), n, buffers), pa.nulls(n, ends)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+def _block_row(block: Block, number: int) -> pa.RecordBatch:
+    keys, sizes, docs, counts = block.lists()
+    cells = {"chunks": b" ".join(keys), "sizes": sizes.tobytes(), "docs": docs.tobytes(), "counts": counts.tobytes()}
+    columns = {"block": pa.array([number]), "n_chunks": pa.array([len(keys)])}
+    columns |= {name: pa.array([cell], pa.binary()) for name, cell in cells.items()}
+    return pa.RecordBatch.from_pydict({**columns, "ends": pa.array([block.ends()], ENDS)})
 
 
 def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,81 +138,141 @@ def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, lang, source in zip(*columns):
             block.add(text, lang, source)
             if block.full():
-                yield from _block_batches(block, task << 32 | made)
+                yield _block_row(block, task << 32 | made)
                 made, block = made + 1, Block()
     if block.group_of:
-        yield from _block_batches(block, task << 32 | made)
+        yield _block_row(block, task << 32 | made)
 
 
-def unite(head: pa.Table, rows: pa.Table) -> pa.Table:
+class Lists:
+    """Names (chunks or terms, without spaces) and the entries of each, as a row has them."""
+
+    def __init__(self, names: list[bytes], sizes: np.ndarray, docs: np.ndarray, counts: np.ndarray):
+        self.names, self.sizes, self.docs, self.counts = names, sizes, docs, counts
+
+    @classmethod
+    def unpacked(cls, row: dict) -> Lists:
+        kinds = (("sizes", np.uint32), ("docs", np.uint16), ("counts", np.uint16))
+        return cls(row["names"].split(b" ") if row["names"] else [], *(np.frombuffer(row[c], k) for c, k in kinds))
+
+    def cut(self, bounds: np.ndarray) -> Iterator[tuple[int, dict]]:
+        """The parts between neighbouring bounds that hold a name, each as packed cells."""
+        at = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
+        for k in np.flatnonzero(np.diff(bounds)):
+            a, b = int(bounds[k]), int(bounds[k + 1])
+            entries = slice(at[a], at[b])
+            yield int(k), {
+                "names": b" ".join(self.names[a:b]), "sizes": self.sizes[a:b].tobytes(),
+                "docs": self.docs[entries].tobytes(), "counts": self.counts[entries].tobytes(),
+            }
+
+    def taken(self, rows: np.ndarray, names: list[bytes]) -> Lists:
+        """The entries of some rows, in their order, under other names."""
+        lengths = self.sizes[rows].astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])[rows]
+        at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+        return Lists(names, self.sizes[rows], self.docs[at], self.counts[at])
+
+
+PACKED = "names binary, sizes binary, docs binary, counts binary"
+PACKED_FIELDS = [pa.field(c, pa.binary()) for c in ("names", "sizes", "docs", "counts")]
+
+
+def _table(rows: list[dict], numbers: list[str]) -> pa.Table:
+    return pa.Table.from_pylist(rows, pa.schema([pa.field(c, pa.int64()) for c in numbers] + PACKED_FIELDS))
+
+
+def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The lists of every block cut into buckets by the chunks' hashes, in whose order they are."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            lists = Lists.unpacked({**row, "names": row["chunks"]})
+            bucket = np.fromiter((crc32(c) for c in lists.names), np.int64, len(lists.names)) * buckets >> 32
+            bounds = np.searchsorted(bucket, np.arange(buckets + 1))
+            out = [{"bucket": k, "block": row["block"], **cells} for k, cells in lists.cut(bounds)]
+            yield from _table(out, ["bucket", "block"]).to_batches(max_chunksize=1000)
+
+
+def terms_in(chunk: bytes) -> list[bytes]:
+    return TERM.findall(chunk.translate(LOWER))
+
+
+def cut_chunks(rows: pa.Table) -> pa.Table:
+    """The lists of a bucket's chunks under the names of their terms; each distinct chunk is cut once."""
+    ids, terms, blocks = _Numbers(), _Numbers(), []
+    for row in rows.to_pylist():
+        lists = Lists.unpacked(row)
+        blocks.append((row["block"], lists, np.fromiter((ids[c] for c in lists.names), np.int64, len(lists.names))))
+    cut = [[terms[t] for t in terms_in(chunk)] for chunk in ids]
+    many_of = np.array([len(c) for c in cut], np.int64)
+    flat, starts = np.array([t for c in cut for t in c], np.int64), np.cumsum(many_of) - many_of
+    named = list(terms)
+    of_slice = np.fromiter((crc32(t, 1) for t in named), np.int64, len(named)) % SLICES
+    out = []
+    for block, lists, mine in blocks:
+        many = many_of[mine]
+        term = flat[np.repeat(starts[mine] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+        order = np.argsort(of_slice[term], kind="stable")
+        term, chunk_row = term[order], np.repeat(np.arange(len(mine)), many)[order]
+        bounds = np.searchsorted(of_slice[term], np.arange(SLICES + 1))
+        renamed = lists.taken(chunk_row, [named[t] for t in term.tolist()])
+        out += [{"block": block, "slice": k, **cells} for k, cells in renamed.cut(bounds)]
+    return _table(out, ["block", "slice"])
+
+
+def unite(rows: pa.Table) -> pa.Table:
     """Distinct documents and occurrences of the terms of one slice of a block, by group."""
-    names = ["lang", "source", "term", "n_docs", "n"]
-    if not head.num_rows or not rows.num_rows:
-        return pa.table({c: pa.array([], pa.int64() if c.startswith("n") else pa.string()) for c in names})
-    ends = head.column("ends")[0].as_py()
-    lists = rows.column("entries").to_pylist()
-    entries = np.frombuffer(b"".join(lists), ENTRY)
-    terms = rows.column("term").combine_chunks().dictionary_encode()
-    code = np.repeat(terms.indices.to_numpy(), [len(x) // ENTRY.itemsize for x in lists]).astype(np.int64)
-    key = code * BLOCK_DOCS + entries["doc"]
+    cells = rows.to_pylist()
+    ends = next(r["ends"] for r in cells if r["ends"] is not None)
+    parts = [Lists.unpacked(r) for r in cells if r["ends"] is None]
+    terms = _Numbers()
+    code = [np.repeat(np.fromiter((terms[t] for t in p.names), np.int64, len(p.names)), p.sizes) for p in parts]
+    key = np.concatenate([c * BLOCK_DOCS + p.docs for c, p in zip(code, parts)] or [np.zeros(0, np.int64)])
+    count = np.concatenate([p.counts for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
     order = np.argsort(key)
-    key, count = key[order], entries["count"][order].astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    key, count = key[first], np.add.reduceat(count, first)
+    key, count = key[order], count[order]
+    first = _firsts(key)
+    key, count = key[first], np.add.reduceat(count, first) if len(first) else count
     group = np.searchsorted([e["upto"] for e in ends], key % BLOCK_DOCS, side="right")
     # Documents are numbered by group, so the rows of a term and group stand together.
     both = key // BLOCK_DOCS * len(ends) + group
-    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-    term, group = both[first] // len(ends), both[first] % len(ends)
-    named = [pa.array([e[c] for e in ends], pa.string()).take(pa.array(group)) for c in ("lang", "source")]
+    first = _firsts(both)
+    term, group = both[first] // len(ends), pa.array(both[first] % len(ends))
+    named = [pa.array([e[c] for e in ends], pa.string()).take(group) for c in ("lang", "source")]
     return pa.table({
-        "lang": named[0], "source": named[1], "term": terms.dictionary.take(pa.array(term)),
-        "n_docs": np.diff(np.append(first, len(both))).astype(np.int64), "n": np.add.reduceat(count, first),
+        "lang": named[0], "source": named[1],
+        "term": pa.array([t.decode("utf-8", "replace") for t in terms], pa.string()).take(pa.array(term)),
+        "n_docs": np.diff(np.append(first, len(both))).astype(np.int64),
+        "n": np.add.reduceat(count, first) if len(first) else count,
     })
 
 
-def named(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit("")).alias(column)
-
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
 
-def terms_of(chunk: Column) -> Column:
-    return F.regexp_extract_all(F.translate(chunk, UPPER, LOWER), F.lit(TERM), F.lit(0))
-
-
-def terms_of_chunks(lists: DataFrame, min_docs: int) -> DataFrame:
-    """chunk and term, for the terms that can be in `min_docs` documents: their chunks are in as many entries."""
-    found = lists.groupBy("chunk").agg(F.sum("held").alias("held"))
-    terms = terms_of(F.col("chunk").cast("string"))
-    cut = materialise(found.select("chunk", "held", terms.alias("terms")).where(F.size("terms") > 0), "chunks")
-    single = cut.select("held", F.explode(F.array_distinct("terms")).alias("term"))
-    frequent = single.groupBy("term").agg(F.sum("held").alias("held")).where(F.col("held") >= min_docs).select("term")
-    frequent = materialise(frequent, "frequent")
-    return materialise(cut.select("chunk", F.explode("terms").alias("term")).join(frequent, "term", "left_semi"), "terms")
 
+def named(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("")).alias(column)
 
-def term_counts(
-    docs: DataFrame, min_docs: int = 1, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
-) -> DataFrame:
-    """lang, source, term, n_docs (documents of the group with the term) and n (occurrences), above zero.
 
-    Whole for every term in at least `min_docs` documents; of others some may be left out.
-    """
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """lang, source, term, n_docs (documents of the group with the term) and n (occurrences), above zero."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = docs.select(text.alias("text"), named(lang_col).alias("lang"), named(source_col).alias("source"))
     # Written once: the numbers of blocks and documents must not change when a task runs again.
     blocks = materialise(rows.mapInArrow(count_blocks, BLOCK_SCHEMA), "blocks")
-    lists = blocks.where(F.col("chunk").isNotNull())
-    terms = terms_of_chunks(lists, min_docs)
-    joined = lists.select("block", "chunk", "entries").join(terms, "chunk").select("block", "entries", "term")
-    sliced = joined.withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(SLICES)).cast("int"))
-    heads = blocks.where(F.col("ends").isNotNull()).select(
-        F.col("block").alias("block"), "ends", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice")
-    )
-    united = (
-        heads.groupBy("block", "slice")
-        .cogroup(sliced.groupBy("block", "slice"))
-        .applyInArrow(unite, "lang string, source string, term string, n_docs long, n long")
-    )
+    size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("chunks")).first()
+    buckets = max(LEAST_BUCKETS, size["chunks"] // BUCKET_CHUNKS)
+    stripes = -(-size["blocks"] // STRIPE_BLOCKS) or 1
+    lists = blocks.where(F.col("n_chunks") > 0).select("block", "chunks", "sizes", "docs", "counts")
+    dealt = lists.mapInArrow(lambda batches: deal(batches, buckets), f"bucket long, block long, {PACKED}")
+    cut = dealt.groupBy("bucket").applyInArrow(cut_chunks, f"block long, slice long, {PACKED}")
+    heads = blocks.select(F.col("block").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))).alias("slice"), "ends")
+    both = cut.unionByName(heads, allowMissingColumns=True)
+    striped = both.withColumn("stripe", F.pmod(F.xxhash64("block"), F.lit(stripes)))
+    # One stripe of a slice is one task's, so its blocks' counts are summed before they are shuffled.
+    together = striped.repartition("slice", "stripe").groupBy("slice", "stripe", "block")
+    united = together.applyInArrow(unite, "lang string, source string, term string, n_docs long, n long")
     return united.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
 
 
@@ -242,7 +296,7 @@ def source_divergence(
     text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """lang, source, part, item, value, rank: the other sources by divergence, and the most telling terms."""
-    counts = term_counts(docs, min_docs, text_col, lang_col, source_col)
+    counts = term_counts(docs, text_col, lang_col, source_col)
     in_lang = F.sum("n_docs").over(Window.partitionBy("lang", "term"))
     kept = materialise(counts.withColumn("in_lang", in_lang).where(F.col("in_lang") >= min_docs).drop("in_lang", "n_docs"), "kept")
     langs = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
