@@ -71,6 +71,40 @@ class _Numbers(dict):
         return value
 
 
+class Lists:
+    """Names (chunks or terms, joined by spaces) and the entries of each: documents and counts."""
+
+    def __init__(self, blob: bytes, sizes: np.ndarray, docs: np.ndarray, counts: np.ndarray):
+        self.blob, self.sizes, self.docs, self.counts = blob, sizes, docs, counts
+        self.at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+    @classmethod
+    def unpacked(cls, row: dict) -> Lists:
+        kinds = (("sizes", np.uint32), ("docs", np.uint16), ("counts", np.uint16))
+        return cls(row["names"], *(np.frombuffer(row[c], k) for c, k in kinds))
+
+    def packed(self) -> dict:
+        return {"names": self.blob, "sizes": self.sizes.tobytes(), "docs": self.docs.tobytes(), "counts": self.counts.tobytes()}
+
+    def names(self) -> list[bytes]:
+        return self.blob.split(b" ") if len(self.sizes) else []
+
+    def cut(self, bounds: np.ndarray) -> Iterator[tuple[int, dict]]:
+        """The parts between neighbouring bounds that hold a name, each as packed cells."""
+        spaces = np.flatnonzero(np.frombuffer(self.blob, np.uint8) == 32)
+        begin, end = np.concatenate([[0], spaces + 1]).tolist(), [*spaces.tolist(), len(self.blob)]
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            a, b = int(bounds[k]), int(bounds[k + 1])
+            entries = slice(self.at[a], self.at[b])
+            yield k, Lists(self.blob[begin[a] : end[b - 1]], self.sizes[a:b], self.docs[entries], self.counts[entries]).packed()
+
+    def taken(self, rows: np.ndarray, blob: bytes) -> Lists:
+        """The entries of some rows, in their order, under other names."""
+        lengths = self.sizes[rows].astype(np.int64)
+        at = np.repeat(self.at[rows] - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+        return Lists(blob, self.sizes[rows], self.docs[at], self.counts[at])
+
+
 class Block:
     """The chunks of some documents."""
 
@@ -90,17 +124,20 @@ class Block:
     def full(self) -> bool:
         return self.bytes >= BLOCK_BYTES or len(self.group_of) >= BLOCK_DOCS
 
-    def lists(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Chunks in the order of their hashes, how many entries each has, and the entries: documents and counts.
+    def lists(self) -> tuple[Lists, np.ndarray]:
+        """The chunks in the order of their hashes with their documents and counts, and the hashes.
 
         Documents are numbered by group; a count beyond 16 bits takes several entries.
         """
         group_of = np.array(self.group_of)
         number = np.empty(len(group_of), np.int64)
         number[np.argsort(group_of, kind="stable")] = np.arange(len(group_of))
-        keys = sorted(self.chunks, key=crc32)
+        named = list(self.chunks)
+        hashes = np.fromiter(map(crc32, named), np.uint32, len(named))
+        by_hash = np.argsort(hashes, kind="stable")
+        keys = [named[k] for k in by_hash.tolist()]
         place = np.empty(len(keys), np.int64)
-        place[[self.chunks[k] for k in keys]] = np.arange(len(keys))
+        place[by_hash] = np.arange(len(keys))
         chunk = place[np.concatenate([p[0] for p in self.parts])]
         count = np.concatenate([p[1] for p in self.parts])
         doc = number[np.repeat([p[2] for p in self.parts], [len(p[0]) for p in self.parts])]
@@ -110,7 +147,8 @@ class Block:
         counts = np.full(int(times.sum()), MOST, np.uint16)
         counts[np.cumsum(times) - 1] = count - (times - 1) * MOST
         sizes = np.bincount(np.repeat(chunk, times), minlength=len(keys))
-        return keys, sizes.astype(np.uint32), np.repeat(doc, times).astype(np.uint16), counts
+        entries = np.repeat(doc, times).astype(np.uint16), counts
+        return Lists(b" ".join(keys), sizes.astype(np.uint32), *entries), hashes[by_hash]
 
     def ends(self) -> list[dict]:
         """The groups in the order of their documents' numbers, and the number after each one's last."""
@@ -119,15 +157,14 @@ class Block:
 
 
 ENDS = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("upto", pa.int32())]))
-BLOCK_SCHEMA = """block long, n_chunks long, chunks binary, sizes binary, docs binary, counts binary,
+BLOCK_SCHEMA = """block long, n_chunks long, hashes binary, names binary, sizes binary, docs binary, counts binary,
     ends array<struct<lang: string, source: string, upto: int>>"""
 
 
 def _block_row(block: Block, number: int) -> pa.RecordBatch:
-    keys, sizes, docs, counts = block.lists()
-    cells = {"chunks": b" ".join(keys), "sizes": sizes.tobytes(), "docs": docs.tobytes(), "counts": counts.tobytes()}
-    columns = {"block": pa.array([number]), "n_chunks": pa.array([len(keys)])}
-    columns |= {name: pa.array([cell], pa.binary()) for name, cell in cells.items()}
+    lists, hashes = block.lists()
+    columns = {"block": pa.array([number]), "n_chunks": pa.array([len(hashes)])}
+    columns |= {name: pa.array([cell], pa.binary()) for name, cell in {"hashes": hashes.tobytes(), **lists.packed()}.items()}
     return pa.RecordBatch.from_pydict({**columns, "ends": pa.array([block.ends()], ENDS)})
 
 
@@ -144,36 +181,6 @@ def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _block_row(block, task << 32 | made)
 
 
-class Lists:
-    """Names (chunks or terms, without spaces) and the entries of each, as a row has them."""
-
-    def __init__(self, names: list[bytes], sizes: np.ndarray, docs: np.ndarray, counts: np.ndarray):
-        self.names, self.sizes, self.docs, self.counts = names, sizes, docs, counts
-
-    @classmethod
-    def unpacked(cls, row: dict) -> Lists:
-        kinds = (("sizes", np.uint32), ("docs", np.uint16), ("counts", np.uint16))
-        return cls(row["names"].split(b" ") if row["names"] else [], *(np.frombuffer(row[c], k) for c, k in kinds))
-
-    def cut(self, bounds: np.ndarray) -> Iterator[tuple[int, dict]]:
-        """The parts between neighbouring bounds that hold a name, each as packed cells."""
-        at = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
-        for k in np.flatnonzero(np.diff(bounds)):
-            a, b = int(bounds[k]), int(bounds[k + 1])
-            entries = slice(at[a], at[b])
-            yield int(k), {
-                "names": b" ".join(self.names[a:b]), "sizes": self.sizes[a:b].tobytes(),
-                "docs": self.docs[entries].tobytes(), "counts": self.counts[entries].tobytes(),
-            }
-
-    def taken(self, rows: np.ndarray, names: list[bytes]) -> Lists:
-        """The entries of some rows, in their order, under other names."""
-        lengths = self.sizes[rows].astype(np.int64)
-        starts = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])[rows]
-        at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
-        return Lists(names, self.sizes[rows], self.docs[at], self.counts[at])
-
-
 PACKED = "names binary, sizes binary, docs binary, counts binary"
 PACKED_FIELDS = [pa.field(c, pa.binary()) for c in ("names", "sizes", "docs", "counts")]
 
@@ -186,10 +193,9 @@ def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
     """The lists of every block cut into buckets by the chunks' hashes, in whose order they are."""
     for batch in batches:
         for row in batch.to_pylist():
-            lists = Lists.unpacked({**row, "names": row["chunks"]})
-            bucket = np.fromiter((crc32(c) for c in lists.names), np.int64, len(lists.names)) * buckets >> 32
+            bucket = np.frombuffer(row["hashes"], np.uint32).astype(np.int64) * buckets >> 32
             bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-            out = [{"bucket": k, "block": row["block"], **cells} for k, cells in lists.cut(bounds)]
+            out = [{"bucket": k, "block": row["block"], **cells} for k, cells in Lists.unpacked(row).cut(bounds)]
             yield from _table(out, ["bucket", "block"]).to_batches(max_chunksize=1000)
 
 
@@ -202,7 +208,7 @@ def cut_chunks(rows: pa.Table) -> pa.Table:
     ids, terms, blocks = _Numbers(), _Numbers(), []
     for row in rows.to_pylist():
         lists = Lists.unpacked(row)
-        blocks.append((row["block"], lists, np.fromiter((ids[c] for c in lists.names), np.int64, len(lists.names))))
+        blocks.append((row["block"], lists, np.fromiter(map(ids.__getitem__, lists.names()), np.int64, len(lists.sizes))))
     cut = [[terms[t] for t in terms_in(chunk)] for chunk in ids]
     many_of = np.array([len(c) for c in cut], np.int64)
     flat, starts = np.array([t for c in cut for t in c], np.int64), np.cumsum(many_of) - many_of
@@ -215,36 +221,63 @@ def cut_chunks(rows: pa.Table) -> pa.Table:
         order = np.argsort(of_slice[term], kind="stable")
         term, chunk_row = term[order], np.repeat(np.arange(len(mine)), many)[order]
         bounds = np.searchsorted(of_slice[term], np.arange(SLICES + 1))
-        renamed = lists.taken(chunk_row, [named[t] for t in term.tolist()])
+        renamed = lists.taken(chunk_row, b" ".join([named[t] for t in term.tolist()]))
         out += [{"block": block, "slice": k, **cells} for k, cells in renamed.cut(bounds)]
     return _table(out, ["block", "slice"])
 
 
 def unite(rows: pa.Table) -> pa.Table:
-    """Distinct documents and occurrences of the terms of one slice of a block, by group."""
-    cells = rows.to_pylist()
-    ends = next(r["ends"] for r in cells if r["ends"] is not None)
-    parts = [Lists.unpacked(r) for r in cells if r["ends"] is None]
-    terms = _Numbers()
-    code = [np.repeat(np.fromiter((terms[t] for t in p.names), np.int64, len(p.names)), p.sizes) for p in parts]
-    key = np.concatenate([c * BLOCK_DOCS + p.docs for c, p in zip(code, parts)] or [np.zeros(0, np.int64)])
-    count = np.concatenate([p.counts for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
+    """Of the terms of one slice in several blocks: documents, and occurrences by source, for each language."""
+    terms, groups, blocks = _Numbers(), _Numbers(), {}
+    for row in rows.to_pylist():
+        ends, parts = blocks.setdefault(row["block"], ([], []))
+        if row["ends"] is None:
+            lists = Lists.unpacked(row)
+            code = np.fromiter(map(terms.__getitem__, lists.names()), np.int64, len(lists.sizes))
+            parts.append((np.repeat(code, lists.sizes) * BLOCK_DOCS + lists.docs, lists.counts))
+        else:
+            ends += row["ends"]
+    counted = []
+    for ends, parts in blocks.values():
+        if parts:
+            key = np.concatenate([p[0] for p in parts])
+            order = np.argsort(key)
+            key, count = key[order], np.concatenate([p[1] for p in parts]).astype(np.int64)[order]
+            first = _firsts(key)
+            of_end = np.array([groups[e["lang"], e["source"]] for e in ends])
+            group = of_end[np.searchsorted([e["upto"] for e in ends], key[first] % BLOCK_DOCS, side="right")]
+            counted.append((key[first] // BLOCK_DOCS, group, np.add.reduceat(count, first)))
+    if not counted:
+        return UNITED.empty_table()
+    term, group, count = (np.concatenate(c) for c in zip(*counted))
+    named = sorted(groups)
+    place = np.empty(len(named), np.int64)
+    place[[groups[g] for g in named]] = np.arange(len(named))
+    key = term * len(named) + place[group]
     order = np.argsort(key)
     key, count = key[order], count[order]
     first = _firsts(key)
-    key, count = key[first], np.add.reduceat(count, first) if len(first) else count
-    group = np.searchsorted([e["upto"] for e in ends], key % BLOCK_DOCS, side="right")
-    # Documents are numbered by group, so the rows of a term and group stand together.
-    both = key // BLOCK_DOCS * len(ends) + group
-    first = _firsts(both)
-    term, group = both[first] // len(ends), pa.array(both[first] % len(ends))
-    named = [pa.array([e[c] for e in ends], pa.string()).take(group) for c in ("lang", "source")]
-    return pa.table({
-        "lang": named[0], "source": named[1],
-        "term": pa.array([t.decode("utf-8", "replace") for t in terms], pa.string()).take(pa.array(term)),
-        "n_docs": np.diff(np.append(first, len(both))).astype(np.int64),
-        "n": np.add.reduceat(count, first) if len(first) else count,
-    })
+    docs, count, key = np.diff(np.append(first, len(key))), np.add.reduceat(count, first), key[first]
+    # The groups of a language follow one another, so its rows of a term do too.
+    langs = sorted({g[0] for g in named})
+    lang_of = np.array([langs.index(g[0]) for g in named])
+    term, group = key // len(named), key % len(named)
+    first = _firsts(term * len(langs) + lang_of[group])
+    pairs = pa.StructArray.from_arrays(
+        [pa.array([g[1] for g in named], pa.string()).take(pa.array(group)), pa.array(count)], names=["source", "n"]
+    )
+    texts = pa.array([t.decode("utf-8", "replace") for t in terms], pa.string())
+    columns = [
+        pa.array(langs, pa.string()).take(pa.array(lang_of[group[first]])), texts.take(pa.array(term[first])),
+        pa.array(np.add.reduceat(docs, first)), pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pairs),
+    ]
+    return pa.Table.from_arrays(columns, schema=UNITED)
+
+
+UNITED = pa.schema([
+    ("lang", pa.string()), ("term", pa.string()), ("n_docs", pa.int64()),
+    ("counts", pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))),
+])
 
 
 def _firsts(ordered: np.ndarray) -> np.ndarray:
@@ -255,8 +288,10 @@ def named(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).alias(column)
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """lang, source, term, n_docs (documents of the group with the term) and n (occurrences), above zero."""
+def kept_counts(
+    docs: DataFrame, min_docs: int = MIN_DOCS, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+) -> DataFrame:
+    """lang, source, term and n (occurrences, above zero) for the terms in at least `min_docs` documents of their language."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = docs.select(text.alias("text"), named(lang_col).alias("lang"), named(source_col).alias("source"))
     # Written once: the numbers of blocks and documents must not change when a task runs again.
@@ -264,16 +299,20 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("chunks")).first()
     buckets = max(LEAST_BUCKETS, size["chunks"] // BUCKET_CHUNKS)
     stripes = -(-size["blocks"] // STRIPE_BLOCKS) or 1
-    lists = blocks.where(F.col("n_chunks") > 0).select("block", "chunks", "sizes", "docs", "counts")
+    lists = blocks.where(F.col("n_chunks") > 0).drop("n_chunks", "ends")
     dealt = lists.mapInArrow(lambda batches: deal(batches, buckets), f"bucket long, block long, {PACKED}")
     cut = dealt.groupBy("bucket").applyInArrow(cut_chunks, f"block long, slice long, {PACKED}")
-    heads = blocks.select(F.col("block").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))).alias("slice"), "ends")
-    both = cut.unionByName(heads, allowMissingColumns=True)
-    striped = both.withColumn("stripe", F.pmod(F.xxhash64("block"), F.lit(stripes)))
-    # One stripe of a slice is one task's, so its blocks' counts are summed before they are shuffled.
-    together = striped.repartition("slice", "stripe").groupBy("slice", "stripe", "block")
-    united = together.applyInArrow(unite, "lang string, source string, term string, n_docs long, n long")
-    return united.groupBy("lang", "source", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    slices = F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))
+    heads = blocks.select(F.col("block").alias("block"), F.explode(slices).alias("slice"), "ends")
+    striped = cut.unionByName(heads, allowMissingColumns=True).withColumn("stripe", F.pmod(F.xxhash64("block"), F.lit(stripes)))
+    united = striped.groupBy("slice", "stripe").applyInArrow(
+        unite, "lang string, term string, n_docs long, counts array<struct<source: string, n: long>>"
+    )
+    united = materialise(united, "united")
+    frequent = united.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= min_docs)
+    frequent = materialise(frequent.select("lang", "term"), "frequent")
+    kept = united.join(frequent, ["lang", "term"], "left_semi").select("lang", "term", F.inline("counts"))
+    return kept.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -296,9 +335,7 @@ def source_divergence(
     text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """lang, source, part, item, value, rank: the other sources by divergence, and the most telling terms."""
-    counts = term_counts(docs, text_col, lang_col, source_col)
-    in_lang = F.sum("n_docs").over(Window.partitionBy("lang", "term"))
-    kept = materialise(counts.withColumn("in_lang", in_lang).where(F.col("in_lang") >= min_docs).drop("in_lang", "n_docs"), "kept")
+    kept = materialise(kept_counts(docs, min_docs, text_col, lang_col, source_col), "kept")
     langs = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     sizes = langs.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"))

@@ -123,8 +123,8 @@ def corpus(seed, n=150):
 @pytest.mark.parametrize("seed, min_docs", [(1, 10), (2, 2), (3, 1000)])
 def test_source_divergence(spark, monkeypatch, seed, min_docs):
     rows = [*corpus(seed), (None, None, "en", "empty"), (0, "", "fr", "only"), (9, "x X x", "en", "a"), (9, "x X x", "en", "a"), (5, "1 2", "it", "u"), (5, "...", "it", "v")]
-    monkeypatch.setattr(divergence, "BLOCK_DOCS", 16)  # several blocks in a task
-    got = divergence.source_divergence(frame(spark, rows).repartition(3), min_docs=min_docs).collect()
+    monkeypatch.setattr(divergence, "STRIPE_BLOCKS", 2)  # several stripes
+    got = divergence.source_divergence(frame(spark, rows).repartition(5), min_docs=min_docs).collect()
     assert sorted(map(tuple, got)) == brute_divergence(rows, min_docs, 10)
 
 
@@ -137,8 +137,9 @@ def test_blocks_of_long_texts(spark):
     text = b"aa bb\n" * 100_000 + b"c" * 3_000_000 + b" dd"
     assert b"".join(divergence.pieces(text, 1000)) == text and list(divergence.pieces(b"")) == [b""]
     rows = [(1, text.decode(), "en", "s"), (2, "aa", "en", "t")]
-    counts = {(r.source, r.term): (r.n_docs, r.n) for r in divergence.term_counts(frame(spark, rows)).collect()}
-    assert counts == {("s", "aa"): (1, 100_000), ("s", "bb"): (1, 100_000), ("s", "c" * 3_000_000): (1, 1), ("s", "dd"): (1, 1), ("t", "aa"): (1, 1)}
+    counts = {(r.source, r.term): r.n for r in divergence.kept_counts(frame(spark, rows), 1).collect()}
+    assert counts == {("s", "aa"): 100_000, ("s", "bb"): 100_000, ("s", "c" * 3_000_000): 1, ("s", "dd"): 1, ("t", "aa"): 1}
+    assert {(r.source, r.term): r.n for r in divergence.kept_counts(frame(spark, rows), 2).collect()} == {("s", "aa"): 100_000, ("t", "aa"): 1}
 
 
 CHAT = "conv_id long, turn long, role string, text string, id long, turns string, pieces int"
