@@ -40,7 +40,7 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 UNIT = 1_000_000_000
 # A block ends at so many bytes of text or documents; a document's number in it has 16 bits.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 12 << 20
 BLOCK_DOCS = 1 << 16
 PIECE_BYTES = 1 << 20  # of a text, split into chunks at once
 BUCKET_CHUNKS = 100_000  # chunks, counted once for each block, that are dealt to one bucket
@@ -118,8 +118,8 @@ class Block:
         self.bytes += len(text)
         for piece in pieces(text):
             words = piece.split()
-            ids, counts = np.unique(np.fromiter(map(self.chunks.__getitem__, words), np.int64, len(words)), return_counts=True)
-            self.parts.append((ids, counts, doc))
+            ids, counts = np.unique(np.fromiter(map(self.chunks.__getitem__, words), np.uint32, len(words)), return_counts=True)
+            self.parts.append((ids, counts.astype(np.uint32), doc))
 
     def full(self) -> bool:
         return self.bytes >= BLOCK_BYTES or len(self.group_of) >= BLOCK_DOCS
@@ -138,14 +138,16 @@ class Block:
         keys = [named[k] for k in by_hash.tolist()]
         place = np.empty(len(keys), np.int64)
         place[by_hash] = np.arange(len(keys))
-        chunk = place[np.concatenate([p[0] for p in self.parts])]
+        key = place[np.concatenate([p[0] for p in self.parts])] * BLOCK_DOCS
+        key += number[np.repeat([p[2] for p in self.parts], [len(p[0]) for p in self.parts])]
         count = np.concatenate([p[1] for p in self.parts])
-        doc = number[np.repeat([p[2] for p in self.parts], [len(p[0]) for p in self.parts])]
-        order = np.argsort(chunk * BLOCK_DOCS + doc)
-        chunk, doc, count = chunk[order], doc[order], count[order]
-        times = -(-count // MOST)
+        self.parts = []
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        chunk, doc = key // BLOCK_DOCS, key % BLOCK_DOCS
+        times = (count + np.uint32(MOST - 1)) // np.uint32(MOST)
         counts = np.full(int(times.sum()), MOST, np.uint16)
-        counts[np.cumsum(times) - 1] = count - (times - 1) * MOST
+        counts[np.cumsum(times) - 1] = count - (times - np.uint32(1)) * np.uint32(MOST)
         sizes = np.bincount(np.repeat(chunk, times), minlength=len(keys))
         entries = np.repeat(doc, times).astype(np.uint16), counts
         return Lists(b" ".join(keys), sizes.astype(np.uint32), *entries), hashes[by_hash]
@@ -171,9 +173,8 @@ def _block_row(block: Block, number: int) -> pa.RecordBatch:
 def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, made, block = TaskContext.get().partitionId(), 0, Block()
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("text", "lang", "source"))
-        for text, lang, source in zip(*columns):
-            block.add(text, lang, source)
+        for row in range(batch.num_rows):
+            block.add(*(batch.column(c)[row].as_py() for c in ("text", "lang", "source")))
             if block.full():
                 yield _block_row(block, task << 32 | made)
                 made, block = made + 1, Block()
