@@ -1,30 +1,139 @@
-"""Nearest neighbours by inner product: every query is ranked against every vector, block by block.
+"""Nearest neighbours by inner product: a forest of random-projection trees, then exact ranking.
 
-Vectors and queries are dealt into blocks, and one call ranks one block of queries against one block
-of vectors. A matrix product finds the pairs that can be among the best; these are scored again by
-sums in a fixed order in double precision. The result is exact. The pairs grow with the square of the
-table where the queries are a share of it: for vectors without structure (64 components, nearly
-isotropic) trees have to look at about half of all rows for a recall of 0.9, so they save nothing.
+The trees are grown on the driver from a bounded sample (`SAMPLE_ROWS` vectors of the smallest
+hashes) and broadcast. A query walks all trees with one priority queue: the branch with the best
+worst margin comes next, until a share of all leaves is found. Vectors are dealt into shards, where
+each finds its leaf in every tree, and a query meets only the vectors in its own leaves. Of these a
+matrix product picks the pairs that can be among the best, and sums in a fixed order in double
+precision rank them. The share, not a number, of leaves is fixed, so recall does not fall as the table
+grows, and work a query does grows with the table.
 
-Equal vectors are one entry with its smallest ids, of which more than k + 1
-can never be in a result, so many copies of one vector are neither a large block nor many queries.
+An inner product becomes an angle by giving every vector one more component, so that all have the
+length of the longest. Equal vectors are one entry with its smallest ids, of which more than k + 1
+can never be in a result, so many copies of one vector are neither a large leaf nor many queries.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of
 another than the most frequent length, nor rows without id. Of rows with the same id the smallest
-vector counts. Ties go to the smaller id. Fewer vectors than k give fewer rows.
+vector counts. Ties go to the smaller id. Fewer vectors than k give fewer rows. Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import heapq
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobmetrics.llm.common import map_batches
 from jobmetrics.session import materialise
 
-LEAST_BLOCKS = 12  # blocks of vectors, so that small tables use several cores
-BLOCK_ROWS = 20_000  # vectors, and queries, that one call ranks
+SAMPLE_ROWS = 20_000
+TREES = 10
+LEAF_ROWS = 1024  # at most wanted in a leaf, over all shards
+LEAST_DEPTH = 6  # of a tree, so that a share of the leaves of a small table is many of them
+LEAST_SAMPLE = 8  # sampled vectors a node must hold to be split
+PROBE_SHARE = 0.12  # of the leaves of all trees, which a query visits
+LEAST_SHARDS = 12  # so that small tables use several cores
+SHARD_ROWS = 20_000  # vectors, and queries, that one call ranks
 PAIRS = 4_000_000  # pairs whose inner products are in memory at once
+SEED = 7
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Inner nodes; a child below zero is the leaf -1 - child. A tree of one leaf has no nodes."""
+
+    directions: np.ndarray
+    thresholds: np.ndarray
+    children: np.ndarray
+    leaves: int
+
+
+def grow(sample: np.ndarray, depth: int, random: np.random.Generator) -> Tree:
+    directions, thresholds, children, leaves = [], [], [], 0
+
+    def split(rows: np.ndarray, level: int) -> int:
+        nonlocal leaves
+        if level < depth and len(rows) >= 2 * LEAST_SAMPLE:
+            for _ in range(5):
+                a, b = sample[random.choice(rows, 2, replace=False)]
+                way = a - b
+                length = np.sqrt(way @ way)
+                if length == 0:
+                    continue
+                way = way / length
+                along = sample[rows] @ way
+                middle = float(np.median(along))
+                left = along < middle
+                if LEAST_SAMPLE <= left.sum() <= len(rows) - LEAST_SAMPLE:
+                    me = len(directions)
+                    directions.append(way)
+                    thresholds.append(middle)
+                    children.append([0, 0])
+                    children[me] = [split(rows[left], level + 1), split(rows[~left], level + 1)]
+                    return me
+        leaves += 1
+        return -leaves
+
+    root = split(np.arange(len(sample)), 0)
+    width = sample.shape[1]
+    tree = Tree(
+        np.array(directions).reshape(-1, width), np.array(thresholds), np.array(children, dtype=int).reshape(-1, 2), leaves
+    )
+    assert root == (0 if directions else -1)
+    return tree
+
+
+@dataclass(frozen=True)
+class Forest:
+    trees: list[Tree]
+    longest: float
+
+    def lengthened(self, x: np.ndarray) -> np.ndarray:
+        """Vectors with the component that makes them as long as the longest."""
+        rest = np.sqrt(np.maximum(0.0, self.longest**2 - (x * x).sum(1)))
+        return np.hstack([x, rest[:, None]])
+
+    def leaves_of(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of every (lengthened) row in every tree."""
+        out = np.zeros((len(x), len(self.trees)), dtype=np.int64)
+        for t, tree in enumerate(self.trees):
+            at = np.zeros(len(x), dtype=int) if len(tree.thresholds) else np.full(len(x), -1)
+            while (inner := np.flatnonzero(at >= 0)).size:
+                node = at[inner]
+                right = (x[inner] * tree.directions[node]).sum(1) >= tree.thresholds[node]
+                at[inner] = tree.children[node, right.astype(int)]
+            out[:, t] = -1 - at
+        return out
+
+    def numbered(self) -> np.ndarray:
+        """The number of the first leaf of each tree, and after the last one the number of leaves."""
+        return np.concatenate([[0], np.cumsum([t.leaves for t in self.trees])]).astype(np.int64)
+
+    def probe(self, query: np.ndarray, share: float) -> np.ndarray:
+        """The numbers of the leaves to visit, best first, from one queue over all trees."""
+        first = self.numbered()
+        wanted = int(np.ceil(share * first[-1]))
+        length = np.sqrt(query @ query)
+        q = np.append(query * (self.longest / length), 0.0)
+        margins = [(tree.directions @ q - tree.thresholds).tolist() for tree in self.trees]
+        children = [tree.children.tolist() for tree in self.trees]
+        queue = [(-np.inf, t, 0 if len(tree.thresholds) else -1) for t, tree in enumerate(self.trees)]
+        heapq.heapify(queue)
+        found: list[int] = []
+        while queue and len(found) < wanted:
+            worst, t, node = heapq.heappop(queue)
+            while node >= 0:  # the better child is at least as good as what is left in the queue
+                m = margins[t][node]
+                left, right = children[t][node]
+                near, far = (right, left) if m >= 0 else (left, right)
+                heapq.heappush(queue, (max(worst, abs(m)), t, far))
+                node = near
+            found.append(int(first[t]) - 1 - node)
+        return np.array(found, np.int32)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -38,6 +147,21 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("v") == (common["n"] if common else -1)).groupBy("vid").agg(F.min("v").alias("v"))
 
 
+def norm(v: Column) -> Column:
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def fit(distinct: DataFrame, rows: int, width: int, trees: int, leaf_rows: int, sample_rows: int) -> Forest:
+    """Grow the forest from the vectors of the smallest hashes."""
+    longest = distinct.agg(F.max(norm(F.col("v")))).first()[0]
+    sampled = distinct.orderBy(F.xxhash64("vid"), "vid").limit(sample_rows).select("v").collect()
+    sample = np.array([r["v"] for r in sampled], dtype=float).reshape(-1, width)
+    forest = Forest([], longest)
+    depth = max(LEAST_DEPTH, int(np.ceil(np.log2(max(1, rows / leaf_rows)))))
+    grown = [grow(forest.lengthened(sample), depth, np.random.default_rng([SEED, t])) for t in range(trees)]
+    return Forest(grown, longest)
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array, rows: int) -> np.ndarray:
     flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
     return flat.to_numpy(zero_copy_only=False).reshape(rows, -1)
@@ -51,67 +175,102 @@ def inner_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_pairs(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of q and of x and their score, for the k best of each q and all that tie with the last."""
+def candidates(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of q and of x, for the k best of each q and all that may tie with the last."""
     rough = q @ x.T
     least = rough.min(1) if len(x) <= k else np.partition(rough, len(x) - k, axis=1)[:, len(x) - k]
     # Both ways of summing are off by less than this.
     slack = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
-    at, who = np.nonzero(rough >= (least - slack)[:, None])
-    return at, who, inner_products(q[at], x[who])
+    return np.nonzero(rough >= (least - slack)[:, None])
+
+
+def rank_in_leaves(
+    x: np.ndarray, leaf: np.ndarray, q: np.ndarray, visits: list[np.ndarray], k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of q and x with their score: of each query the k best (and ties) among the vectors in its leaves."""
+    flat = leaf.ravel()
+    by_leaf = np.argsort(flat, kind="stable")
+    rows, keys = by_leaf // leaf.shape[1], flat[by_leaf]
+    asked = np.concatenate(visits)
+    order = np.argsort(asked, kind="stable")
+    asking, asked = np.repeat(np.arange(len(visits)), [len(v) for v in visits])[order], asked[order]
+    pairs = [np.zeros(0, np.int64)]
+    for key in np.intersect1d(keys, asked):
+        xs = rows[slice(*np.searchsorted(keys, [key, key + 1]))]
+        every = asking[slice(*np.searchsorted(asked, [key, key + 1]))]
+        for qs in np.array_split(every, max(1, len(every) * len(xs) // PAIRS)):
+            at, who = candidates(q[qs], x[xs], k)
+            pairs.append(qs[at] * len(x) + xs[who])
+    # A vector may be in a query's leaves of several trees.
+    pair = np.unique(np.concatenate(pairs))
+    at, who = pair // len(x), pair % len(x)
+    scores = inner_products(q[at], x[who])
+    order = np.lexsort((-scores, at))
+    at, who, scores = at[order], who[order], scores[order]
+    first = np.searchsorted(at, np.arange(len(q)))
+    size = np.bincount(at, minlength=len(q))
+    last = np.minimum(first + k, first + size) - 1
+    least = np.where(size > 0, scores[np.maximum(last, 0)] if len(scores) else 0.0, 0.0)
+    kept = scores >= least[at]
+    return at[kept], who[kept], scores[kept]
 
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    block_rows: int = BLOCK_ROWS,
+    trees: int = TREES, leaf_rows: int = LEAF_ROWS, probe_share: float = PROBE_SHARE, sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: of each query the k nearest rows of `vectors` but its own."""
+    spark = vectors.sparkSession
     by_vector = Window.partitionBy("v").orderBy("vid")
     few = usable(vectors, id_col, vector_col).withColumn("_k", F.row_number().over(by_vector)).where(F.col("_k") <= k + 1)
     distinct = materialise(
         few.groupBy("v").agg(F.min("vid").alias("vid"), F.array_sort(F.collect_list("vid")).alias("ids")), "vectors"
     )
     asked = materialise(usable(queries, id_col, vector_col), "queries")
-    asked_once = materialise(asked.groupBy("v").agg(F.min("vid").alias("vid")).select("vid", "v"), "asked")
+    asked_once = asked.groupBy("v").agg(F.min("vid").alias("vid")).select("vid", "v")
+    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    rows, width = size["n"], size["d"] or 0
+    if not rows:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    forest = spark.sparkContext.broadcast(fit(distinct, rows, width, trees, leaf_rows, sample_rows))
+
+    def probe_step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        visits = [forest.value.probe(v, probe_share).tobytes() for v in _matrix(batch.column("v"), batch.num_rows)]
+        return pa.RecordBatch.from_arrays([batch.column("vid"), batch.column("v"), pa.array(visits, pa.binary())], names=["vid", "v", "visits"])
+
     # Of other lengths than the vectors' nothing is near.
-    width = distinct.agg(F.max(F.size("v"))).first()[0] or 0
-    rows, n_asked = distinct.count(), asked_once.count()
-    left = max(LEAST_BLOCKS, -(-rows // block_rows))
-    right = max(1, -(-n_asked // block_rows))
+    probing = map_batches(asked_once.where(F.size("v") == width), lambda: probe_step, "vid long, v array<double>, visits binary")
+    probing = materialise(probing, "asked")
+    left = max(LEAST_SHARDS, -(-rows // SHARD_ROWS))
+    right = max(1, -(-probing.count() // SHARD_ROWS))
 
-    def block(count: int):
+    def shard(count: int) -> Column:
         return F.pmod(F.xxhash64("vid"), F.lit(count)).cast("int")
 
-    def every(count: int):
+    def every(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    index = distinct.select("vid", "v", block(left).alias("i")).withColumn("j", every(right))
-    asking = asked_once.where(F.size("v") == width).withColumn("j", block(right)).withColumn("i", every(left))
+    index = distinct.select("vid", "v", shard(left).alias("i")).withColumn("j", every(right))
+    asking = probing.withColumn("j", shard(right)).withColumn("i", every(left))
 
     def rank(x_rows: pa.Table, q_rows: pa.Table) -> pa.Table:
-        """The best k + 1 of each query in a block of vectors."""
-        out_q, out_v, out_s = [], [], []
+        """The best k + 1 of each query among its leaves' vectors in a shard."""
+        found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         if x_rows.num_rows and q_rows.num_rows:
+            f = forest.value
             x, q = _matrix(x_rows.column("v"), x_rows.num_rows), _matrix(q_rows.column("v"), q_rows.num_rows)
-            ids, who_asks = x_rows.column("vid").to_numpy(), q_rows.column("vid").to_numpy()
-            for part in np.array_split(np.arange(len(q)), -(-len(q) * len(x) // PAIRS)):
-                at, who, scores = best_pairs(q[part], x, k + 1)
-                out_q.append(who_asks[part][at])
-                out_v.append(ids[who])
-                out_s.append(scores)
-        columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((out_q, "i8"), (out_v, "i8"), (out_s, "f8"))]
-        return pa.table(dict(zip(("qid", "vid", "score"), columns)))
-
-    found = (
-        index.groupBy("i", "j")
-        .cogroup(asking.groupBy("i", "j"))
-        .applyInArrow(rank, "qid long, vid long, score double")
-    )
+            leaf = f.leaves_of(f.lengthened(x)) + f.numbered()[:-1]
+            visits = [np.frombuffer(v, np.int32) for v in q_rows.column("visits").to_pylist()]
+            at, who, scores = rank_in_leaves(x, leaf, q, visits, k + 1)
+            found = (q_rows.column("vid").to_numpy()[at], x_rows.column("vid").to_numpy()[who], scores)
+        return pa.table(dict(zip(("qid", "vid", "score"), found)))
+
+    found = index.groupBy("i", "j").cogroup(asking.groupBy("i", "j")).applyInArrow(rank, "qid long, vid long, score double")
     by_query = Window.partitionBy("qid").orderBy(F.desc("score"), "vid")
     best = found.withColumn("_k", F.row_number().over(by_query)).where(F.col("_k") <= k + 1).drop("_k")
     hits = best.join(distinct.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id"))
     # Every query row takes the list of its vector.
-    firsts = asked_once.select("v", F.col("vid").alias("qid"))
+    firsts = probing.select("v", F.col("vid").alias("qid"))
     members = asked.join(firsts, "v").select(F.col("vid").alias("query_id"), "qid")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

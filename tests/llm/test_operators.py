@@ -373,9 +373,10 @@ def test_nearest(spark):
     points = [(int(i), [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 8)))]
     points += [(300 + k, points[7][1]) for k in range(40)]
     odd = [(400, None), (401, [0.0] * 8), (402, [float("nan")] + [1.0] * 7), (403, [None] + [1.0] * 7), (404, [1.0] * 3), (None, [1.0] * 8)]
-    table = spark.createDataFrame(points + odd, "vec_id long, embedding array<double>")
+    table = spark.createDataFrame(points + odd, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("v", "vid", "i", "rank")})
     got = {}
-    for r in ann.nearest(table, table.where(F.col("vec_id") % 20 == 0), k=20).collect():
+    assert ann.nearest(table.limit(0), table).count() == ann.nearest(table, table.limit(0)).count() == 0
+    for r in ann.nearest(table, table.where(F.col("vec_id") % 20 == 0), k=20, probe_share=1.0).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     x = np.array([v for _, v in points])
     assert set(got) == set(range(0, 340, 20))
@@ -384,23 +385,47 @@ def test_nearest(spark):
         assert [(k, i) for k, i, _ in sorted(rows)] == [(k + 1, i) for k, (_, i) in enumerate(sorted(score)[:20])]
 
 
-def test_nearest_in_a_large_table(spark, tmp_path):
+@pytest.mark.parametrize("rows, clustered", [(20_000, False), (80_000, False), (80_000, True)])
+def test_recall_of_nearest(spark, tmp_path, rows, clustered):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    rng, n = np.random.default_rng(5), 80_000
-    x = rng.normal(size=(n, 64))
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(rows, 64))
+    if clustered:
+        x = 0.4 * x + rng.normal(size=(100, 64))[rng.integers(0, 100, rows)]
     x /= np.sqrt((x * x).sum(1))[:, None]
     column = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))
-    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": column}), tmp_path / "x.parquet")
+    pq.write_table(pa.table({"vec_id": np.arange(rows), "embedding": column}), tmp_path / "x.parquet")
     table, got = spark.read.parquet(str(tmp_path / "x.parquet")), {}
-    for r in ann.nearest(table, table.where(F.col("vec_id") % 2000 == 0), k=20).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
-    assert set(got) == set(range(0, n, 2000))
-    for q, rows in got.items():
+    for r in ann.nearest(table, table.where(F.col("vec_id") % 500 == 0), k=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(range(0, rows, 500))
+    found = 0
+    for q, hits in got.items():
         score = x @ x[q]
         score[q] = -np.inf
-        assert [v for _, v in sorted(rows)] == np.argsort(-score)[:20].tolist()
+        assert [k for k, _, _ in sorted(hits)] == list(range(1, 21))
+        assert all(abs(score[v] - s) < 1e-12 for _, v, s in hits) and [s for _, _, s in sorted(hits)] == sorted((s for _, _, s in hits), reverse=True)
+        found += len({v for _, v, _ in hits} & set(np.argsort(-score)[:20].tolist()))
+    assert found / len(got) / 20 >= 0.9
+
+
+def test_queries_meet_only_their_leaves():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 16))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    forest = ann.Forest([], 1.0)
+    forest = ann.Forest([ann.grow(forest.lengthened(x[:5000]), 7, np.random.default_rng(t)) for t in range(4)], 1.0)
+    visits = forest.probe(x[0], 0.1)
+    assert len(visits) == len(set(visits.tolist())) == int(np.ceil(0.1 * forest.numbered()[-1]))
+    leaf = forest.leaves_of(forest.lengthened(x)) + forest.numbered()[:-1]
+    assert set(leaf[0].tolist()) & set(visits.tolist())
+    at, who, scores = ann.rank_in_leaves(x, leaf, x[:1], [visits], 21)
+    allowed = np.flatnonzero(np.isin(leaf, visits).any(1))
+    assert len(allowed) < 0.5 * len(x)
+    assert who.tolist() == allowed[np.argsort(-(x[allowed] @ x[0]))][:21].tolist() and set(at) == {0}
+    assert len(forest.probe(x[0], 1.0)) == forest.numbered()[-1]
 
 
 def test_isotonic_and_label_model():
