@@ -175,44 +175,59 @@ def inner_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidates(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of q and of x, for the k best of each q and all that may tie with the last."""
-    rough = q @ x.T
-    least = rough.min(1) if len(x) <= k else np.partition(rough, len(x) - k, axis=1)[:, len(x) - k]
-    # Both ways of summing are off by less than this.
-    slack = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
-    return np.nonzero(rough >= (least - slack)[:, None])
+def _best(pair: np.ndarray, rough: np.ndarray, n: int, slack: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (query * n + vector) those that can be among their query's k best, and its k-th score."""
+    pair, first = np.unique(pair, return_index=True)  # a vector may be in a query's leaves of several trees
+    at, rough = pair // n, rough[first]
+    order = np.lexsort((-rough, at))
+    pair, at, rough = pair[order], at[order], rough[order]
+    size = np.bincount(at, minlength=len(slack))
+    start = np.cumsum(size) - size
+    least = np.full(len(slack), -np.inf)
+    full = size >= k
+    least[full] = rough[start[full] + k - 1]
+    kept = rough >= (least - slack)[at]
+    return pair[kept], rough[kept], least
 
 
 def rank_in_leaves(
     x: np.ndarray, leaf: np.ndarray, q: np.ndarray, visits: list[np.ndarray], k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of q and x with their score: of each query the k best (and ties) among the vectors in its leaves."""
+    """Rows of q and x with their score: of each query the k best (and ties) among the vectors in its leaves.
+
+    Leaves are visited in rounds, the best ones of every query first, each round four times the one
+    before. What a round finds is kept only where it reaches the k-th best so far.
+    """
     flat = leaf.ravel()
     by_leaf = np.argsort(flat, kind="stable")
     rows, keys = by_leaf // leaf.shape[1], flat[by_leaf]
-    asked = np.concatenate(visits)
-    order = np.argsort(asked, kind="stable")
-    asking, asked = np.repeat(np.arange(len(visits)), [len(v) for v in visits])[order], asked[order]
-    pairs = [np.zeros(0, np.int64)]
-    for key in np.intersect1d(keys, asked):
-        xs = rows[slice(*np.searchsorted(keys, [key, key + 1]))]
-        every = asking[slice(*np.searchsorted(asked, [key, key + 1]))]
-        for qs in np.array_split(every, max(1, len(every) * len(xs) // PAIRS)):
-            at, who = candidates(q[qs], x[xs], k)
-            pairs.append(qs[at] * len(x) + xs[who])
-    # A vector may be in a query's leaves of several trees.
-    pair = np.unique(np.concatenate(pairs))
+    # Both ways of summing, by a matrix product and in order, are off by less than this.
+    slack = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max())
+    pair, rough, least = np.zeros(0, np.int64), np.zeros(0), np.full(len(q), -np.inf)
+    start, stop = 0, 2
+    while start < max(map(len, visits)):
+        parts = [v[start:stop] for v in visits]
+        asked, asking = np.concatenate(parts), np.repeat(np.arange(len(q)), [len(v) for v in parts])
+        order = np.argsort(asked, kind="stable")
+        asked, asking = asked[order], asking[order]
+        pairs, scores = [pair], [rough]
+        for key in np.unique(asked):
+            xs = rows[slice(*np.searchsorted(keys, [key, key + 1]))]
+            every = asking[slice(*np.searchsorted(asked, [key, key + 1]))]
+            for qs in np.array_split(every, 1 + len(every) * len(xs) // PAIRS) if len(xs) else ():
+                found = q[qs] @ x[xs].T
+                floor = least[qs]
+                if len(xs) > k:
+                    floor = np.maximum(floor, np.partition(found, len(xs) - k, axis=1)[:, len(xs) - k])
+                at, who = np.nonzero(found >= (floor - slack[qs])[:, None])
+                pairs.append(qs[at] * len(x) + xs[who])
+                scores.append(found[at, who])
+        pair, rough, least = _best(np.concatenate(pairs), np.concatenate(scores), len(x), slack, k)
+        start, stop = stop, 4 * stop
     at, who = pair // len(x), pair % len(x)
     scores = inner_products(q[at], x[who])
-    order = np.lexsort((-scores, at))
-    at, who, scores = at[order], who[order], scores[order]
-    first = np.searchsorted(at, np.arange(len(q)))
-    size = np.bincount(at, minlength=len(q))
-    last = np.minimum(first + k, first + size) - 1
-    least = np.where(size > 0, scores[np.maximum(last, 0)] if len(scores) else 0.0, 0.0)
-    kept = scores >= least[at]
-    return at[kept], who[kept], scores[kept]
+    pair, scores, _ = _best(pair, scores, len(x), np.zeros(len(q)), k)
+    return pair // len(x), pair % len(x), scores
 
 
 def nearest(
