@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -91,11 +93,12 @@ _NUMBER_WORDS = {
 }
 _ODD = re.compile(r"[^\x00-\x7FÀ-ÿ]|[ ­·]")
 _NUMBER = re.compile(r"(?i)(?<![A-Za-z])(?:" + "|".join(_NUMBER_WORDS) + r")(?![A-Za-z])")
-# A bracketed "at", or a bare one that is followed by a spelled dot.
+# A bracketed "at", or a bare one that is followed by a spelled dot. No pattern starts inside a run of blanks:
+# one that did would read the rest of the run from each of them. Blanks before a bracket are added to the match.
 _AT = re.compile(
-    r"(?i)\s*[\[({<]\s*at\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s*[\[({<]\s*dot\s*[\])}>]|\s+dot\s)\s*[A-Za-z0-9])"
+    r"(?i)[\[({<]\s*at\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s*[\[({<]\s*dot\s*[\])}>]|\s+dot\s)\s*[A-Za-z0-9])"
 )
-_DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+(?:dot|point)\s+(?=[A-Za-z0-9])")
+_DOT = re.compile(r"(?i)[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|(?<=[A-Za-z0-9])\s+(?:dot|point)\s+(?=[A-Za-z0-9])")
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\s+@\s*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\s+(?=[A-Za-z0-9-]+\.[A-Za-z0-9])")
 _PLUS = re.compile(r"(?i)(?<![A-Za-z])plus\s+(?=[0-9])")
 _SIGNS = ((_AT, "@"), (_DOT, "."), (_SPACED_AT, "@"), (_PLUS, "+"))
@@ -188,7 +191,15 @@ def _numbers(tape: Tape) -> None:
 
 def _signs(tape: Tape) -> None:
     for pattern, sign in _SIGNS:
-        tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
+        changes, end = [], 0
+        for m in pattern.finditer(tape.text):
+            start = m.start()
+            if tape.text[start] in "[({<":
+                while start > end and tape.text[start - 1].isspace():
+                    start -= 1
+            end = m.end()
+            changes.append((start, end, sign))
+        tape.rewrite(changes)
 
 
 def _disguised(text: str) -> bool:
@@ -213,15 +224,35 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
     found = {(kind, *tape.source(s, e)) for kind, s, e in plain_spans(tape.text)}
     _signs(tape)
     found |= {(kind, *tape.source(s, e)) for kind, s, e in plain_spans(tape.text)}
-    everything = list(plain)
-    taken = sorted((s, e) for _, s, e in plain)
+    everything, taken = list(plain), Taken((s, e) for _, s, e in plain)
     for kind, s, e in sorted(found - set(plain), key=lambda x: (x[1] - x[2], x)):
-        if all(e <= a or b <= s for a, b in taken):
+        if taken.add(s, e):
             everything.append((kind, s, e))
-            taken.append((s, e))
     return plain, sorted(everything)
 
 
+class Taken:
+    """Disjoint intervals, to which only what overlaps none is added."""
+
+    def __init__(self, intervals: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(intervals):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def add(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)  # the intervals before this one start before the end
+        if k and self.ends[k - 1] > start:
+            return False
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
+        return True
+
+
 def written(found: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{s}:{e}" for kind, s, e in found)
 

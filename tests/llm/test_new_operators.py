@@ -3,13 +3,14 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from jobmetrics.llm import chat, divergence, fim
+from jobmetrics.llm import chat, divergence, fim, pii
 
 SCHEMA = "doc_id long, text string, lang string, source string, n long, form string, p long, v long, term string, block long"
 OTHERS = (5, "x", 6, 7, "y", 8)
@@ -194,3 +195,29 @@ def test_sums_before(spark):
     values = [list(range(n)) for n in (0, 1, 5, 127, 128, 129, 1000)]
     rows = spark.createDataFrame([(v,) for v in values], "v array<long>").select("v", chat.sums_before(F.col("v"), 7).alias("s")).collect()
     assert all(r.s == [sum(r.v[:k]) for k in range(len(r.v))] for r in rows)
+
+
+@pytest.mark.parametrize("piece", [" ", "\n", "@", "+", "(", "1", "a", "a@", "a ", "( ", "+1 ", " at ", "dot ", "[at] ", "one ", "1.", "a at a ", "é", " (dot) "])
+def test_personal_data_in_very_long_runs(piece):
+    text = piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    pii._disguised(text)
+    assert time.process_time() - start < 3
+    pii.spans("x" + text[:200_000] + "(at) b dot com")
+    assert time.process_time() - start < 30
+
+
+def test_spans_around_blanks():
+    text = "mail jane" + " " * 5000 + "(at)" + "\n" * 5000 + "example [dot] com or bob  <at>  x (dot) org"
+    found = [text[s:e] for _, s, e in pii.spans(text)[1]]
+    assert found == [text[5 : text.index(" or")], "bob  <at>  x (dot) org"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 10)), max_size=12), st.lists(st.tuples(st.integers(0, 40), st.integers(1, 10)), max_size=12))
+def test_taken_intervals(first, more):
+    taken, covered = pii.Taken((s, s + n) for s, n in first), {k for s, n in first for k in range(s, s + n)}
+    for s, n in more:
+        free = not covered & set(range(s, s + n))
+        assert taken.add(s, s + n) == free
+        covered |= set(range(s, s + n)) if free else set()
