@@ -10,6 +10,8 @@ Repeated rows are judged each for itself; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import insort
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -37,7 +39,8 @@ class RuleTrie:
     """Nodes are dicts. Host labels come first, last label first, then whole path segments.
 
     The last segment of a rule's path may be cut anywhere in a segment of the URL, so it is not a
-    node: it is kept, with its verdict, at the node of the segments before it (`tails`).
+    node: a node has its rules by that rest (`tails`), with the lengths that occur. A segment is
+    looked up once for each length, however many rules there are.
     """
 
     def __init__(self, rules: list[tuple[str, str]]):
@@ -52,10 +55,16 @@ class RuleTrie:
             *segments, tail = path.split("/")
             for segment in segments:
                 node = node.setdefault("segments", {}).setdefault(segment, {})
-            node.setdefault("tails", []).append((tail, verdict, rule))
+            tails = node.setdefault("tails", {})
+            # Of rules that differ in verdict or letter case of the host only, a blocking one counts, then the first.
+            if tail not in tails or (verdict == "block" and tails[tail][0] != "block"):
+                tails[tail] = (verdict, rule)
+            lengths = node.setdefault("lengths", [])
+            if len(tail) not in lengths:
+                insort(lengths, len(tail))
 
     def match(self, host: str, path: str) -> tuple[str | None, str | None]:
-        best, found = (-1, -1, False), (None, None)
+        best, found = (-1, -1), (None, None)
         if not path.startswith("/"):
             return found
         segments = path[1:].split("/")
@@ -66,10 +75,12 @@ class RuleTrie:
                 break
             below = node
             for segment in segments:
-                for tail, verdict, rule in below.get("tails", ()):
-                    rank = (len(rule), depth, verdict == "block")
-                    if segment.startswith(tail) and rank > best:
-                        best, found = rank, (rule, verdict)
+                for length in below.get("lengths", ()):
+                    if length > len(segment):
+                        break
+                    verdict, rule = below["tails"].get(segment[:length], (None, None))
+                    if rule is not None and (len(rule), depth) > best:
+                        best, found = (len(rule), depth), (rule, verdict)
                 below = below.get("segments", {}).get(segment)
                 if below is None:
                     break
@@ -77,16 +88,20 @@ class RuleTrie:
 
 
 def filter_urls(
-    pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow", id_col: str = "page_id", url_col: str = "url"
+    pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow", id_col: str = "page_id", url_col: str = "url",
+    max_rules: int = MAX_RULES, max_rule_bytes: int = MAX_RULE_BYTES,
 ) -> DataFrame:
-    """`id_col`, host, path, rule (null where none fits) and verdict of every row of `pages`."""
-    if len(rules) > MAX_RULES or sum(len(r) for _, r in rules) > MAX_RULE_BYTES:
+    """`id_col`, host, path, rule (null where none fits) and verdict of every row of `pages`.
+
+    The trie is built once and broadcast, so a list longer than the given bounds is an error.
+    """
+    if len(rules) > max_rules or sum(len(r) for _, r in rules) > max_rule_bytes:
         raise ValueError("the rule list is too long to be broadcast")
-    handle = pages.sparkSession.sparkContext.broadcast(rules)
+    handle = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
     kind = dict(pages.dtypes)[id_col]
 
     def make():
-        trie = RuleTrie(handle.value)
+        trie = handle.value
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts = [split_url(u) for u in batch.column(url_col).to_pylist()]

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from jobmetrics.llm import chat, divergence, fim, pii
+from jobmetrics.llm import chat, divergence, fim, pii, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n long, form string, p long, v long, term string, block long"
 OTHERS = (5, "x", 6, 7, "y", 8)
@@ -221,3 +221,31 @@ def test_taken_intervals(first, more):
         free = not covered & set(range(s, s + n))
         assert taken.add(s, s + n) == free
         covered |= set(range(s, s + n)) if free else set()
+
+
+HOSTS, PATHS = ["net", "a.net", "b.a.net", "A.Net"], ["", "x", "x/", "xy", "x/y", "/", "x/yz/", "é"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["allow", "block"]), st.sampled_from(HOSTS), st.sampled_from(PATHS)), max_size=8), st.sampled_from(HOSTS), st.sampled_from(PATHS))
+def test_rule_trie(rules, host, path):
+    rules, host, path = [(v, f"{h}/{p}") for v, h, p in rules], host.lower(), f"/{path}z"
+    fits = []
+    for k, (verdict, rule) in enumerate(rules):
+        h, _, p = rule.partition("/")
+        if (host == h.lower() or host.endswith("." + h.lower())) and path.startswith("/" + p):
+            fits.append((len(rule), h.count("."), verdict == "block", -k, rule, verdict))
+    assert url_filter.RuleTrie(rules).match(host, path) == (max(fits)[-2:] if fits else (None, None))
+
+
+def test_many_rules_of_one_host():
+    few, many = (url_filter.RuleTrie([("block", f"example.com/p{k}") for k in range(n)]) for n in (100, 100_000))
+
+    def seconds(trie):
+        start = time.process_time()
+        for k in range(20_000):
+            trie.match("www.example.com", f"/q{k}/x")
+        return time.process_time() - start
+
+    assert seconds(many) < 10 * seconds(few)
+    assert many.match("example.com", "/p99999/z") == ("example.com/p99999", "block")
