@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobmetrics.llm import jaccard, packing, pii, substrings, toxicity
 from jobmetrics.llm.common import DOCUMENT_COLUMNS, table
 from jobmetrics.llm.queries import END_ID, PATTERN, RANKS, SEQUENCE_TOKENS
-from jobmetrics.session import scratch_dir
+from jobmetrics.session import remove_path, scratch_dir
 
 TOXIC_SCORE = 0.7
 # Near duplicates: words of a shingle, and the least Jaccard similarity.
@@ -76,11 +76,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages; each result is written to the shared folder and read again as the next one's input."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages; each result is written to the shared folder and read again as the next one's input.
+
+    A stage's result is deleted once the next one is written; the last one's is what is returned.
+    """
+    docs, previous = table(spark, sf_dir, "documents"), None
     folder = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if previous:
+            remove_path(spark, previous)
+        previous = path
     return docs

@@ -14,12 +14,20 @@ def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> Data
     return df.where(F.col(value).isNotNull()).groupBy(*(by or []), value).agg(F.count(F.lit(1)).alias("count"))
 
 
-def ecdf(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+def ecdf(df: DataFrame, value: str, by: list[str] | None = None, of_all: bool = False) -> DataFrame:
     """Empirical distribution per distinct value: `count`, `cdf` = share of rows up to the value,
-    and `cdf_first` / `cdf_last` = zero-based rank of its first / last row over the row count."""
+    and `cdf_first` / `cdf_last` = zero-based rank of its first / last row over the row count.
+
+    Rows without a value are not ranked; with `of_all` they count in the row count, as if they came last.
+    """
     by = by or []
-    counts = value_counts(df, value, by)
-    ranked = running_total(counts, F.col("count"), [value], by, out="_end", total_out="_n")
+    if of_all:  # NULL is the last value while ranks are summed up
+        counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("count"))
+        counts = counts.withColumn("_unknown", F.col(value).isNull())
+        order = ["_unknown", value]
+    else:
+        counts, order = value_counts(df, value, by), [value]
+    ranked = running_total(counts, F.col("count"), order, by, out="_end", total_out="_n").where(F.col(value).isNotNull())
     end, n = F.col("_end"), F.col("_n")
     return ranked.select(
         *by,

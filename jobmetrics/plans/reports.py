@@ -81,8 +81,9 @@ def nodes_histogram(ov: DataFrame) -> DataFrame:
 
 
 def nodes_cdf(ov: DataFrame) -> DataFrame:
-    """Zero-based distribution of node counts: shares below the first and the last job per value."""
-    return ecdf(ov, "num_nodes").select("num_nodes", "count", "cdf_first", "cdf_last").orderBy("num_nodes")
+    """Zero-based distribution of node counts: shares of all jobs, also those without a node count,
+    that are below the first and the last job per value."""
+    return ecdf(ov, "num_nodes", of_all=True).select("num_nodes", "count", "cdf_first", "cdf_last").orderBy("num_nodes")
 
 
 def nodes_capped(ov: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from jobmetrics.functions.text import scanned_path
 from jobmetrics.operators.ranking import batch_numbers, running_total
 from jobmetrics.plans.gpu import BUSY_PCT
 from jobmetrics.plans.metadata import job_metadata, latest_rows, ran_long_enough
@@ -120,6 +121,7 @@ def process_index(spark: SparkSession, cfg: RunConfig, index: DataFrame, raise_e
         jobs = latest_rows(read_scheduler_csv(spark, cfg.scheduler_csv))
         pending = pending_jobs(jobs, index, _done(spark, cfg))
         typed = materialise(job_metadata(pending, carry=["cpu", "gpu"]), "pending")
+        typed = typed.join(results.logs_found_before(results.read_ledger(spark, cfg.store)), "job_id", "left")
         if typed.isEmpty():
             logger.info("nothing to process")
             return []
@@ -158,8 +160,8 @@ def _process_or_halve(
     run_id = results.next_run_id(spark, cfg.store)
     try:
         with scratch_scope(spark):
-            process_batch(spark, cfg, batch, run_id)
-        written.append(run_id)
+            if process_batch(spark, cfg, batch, run_id) is not False:
+                written.append(run_id)
         return
     except Exception as error:
         logger.exception("run %d failed", run_id)
@@ -172,6 +174,8 @@ def _process_or_halve(
         for half in (F.col("job_id") <= middle, F.col("job_id") > middle):
             _process_or_halve(spark, cfg, batch.where(half), written, failures)
         return
+    if _is_unreadable(failure) and _without_damaged_part(spark, cfg, batch, written, failure):
+        return
     failures.append(failure)
     try:
         entry = batch.select("job_id", F.lit(results.FAILED).alias("status"), F.lit(str(failure)).alias("error"))
@@ -180,15 +184,82 @@ def _process_or_halve(
         logger.exception("the failed job could not be recorded; it stays pending")
 
 
-def process_batch(spark: SparkSession, cfg: RunConfig, batch: DataFrame, run_id: int) -> None:
-    """Summarise one batch of pending jobs: results first, then the ledger."""
-    bad = F.col("metadata_error").isNotNull()
-    todo = batch.where(~bad & ran_long_enough())
+def _is_unreadable(error: Exception) -> bool:
+    """Whether a file could not be read to its end."""
+    return any(word in str(error) for word in ("FAILED_READ_FILE", "CANNOT_READ_FILE"))
+
+
+def _without_damaged_part(spark: SparkSession, cfg: RunConfig, job: DataFrame, written: list[int], error: Exception) -> bool:
+    """Process a job without its GPU logs, or its CPU logs, or both, whichever goes through first.
+
+    The row has that part blank, and the ledger says why. A job without readable GPU logs is a CPU job.
+    """
+    for parts in (("gpu",), ("cpu",), ("gpu", "cpu")):
+        rest = job.withColumns({p: F.lit(None).cast("array<string>") for p in parts})
+        run_id = results.next_run_id(spark, cfg.store)
+        try:
+            with scratch_scope(spark):
+                process_batch(spark, cfg, rest, run_id, note=f"{' and '.join(parts)} logs left out: {error}")
+            written.append(run_id)
+            return True
+        except Exception:
+            logger.info("run %d failed without %s logs", run_id, " and ".join(parts))
+    return False
+
+
+def process_batch(spark: SparkSession, cfg: RunConfig, batch: DataFrame, run_id: int, note: str | None = None) -> bool:
+    """Summarise one batch of pending jobs: results first, then the ledger. False if there was nothing to do.
+
+    Jobs that missed logs before, and of which no more are found now, are left as they are.
+    """
+    todo = batch.where(F.col("metadata_error").isNull() & ran_long_enough())
+    counts = materialise(log_counts(spark, cfg, todo), "log-counts")
+    if "found_before" in batch.columns:
+        now = batch.join(counts.select("job_id", F.col("logs_found").alias("_now")), "job_id", "left")
+        batch = materialise(now.where(~F.coalesce(F.col("_now") <= F.col("found_before"), F.lit(False))).drop("_now"), "batch")
+        todo = batch.where(F.col("metadata_error").isNull() & ran_long_enough())
+    if batch.isEmpty():
+        return False
     if not todo.isEmpty():
-        results.write_summary(summarise(spark, cfg, todo), cfg.store, run_id)
-    state = F.when(bad, results.FAILED).when(ran_long_enough(), results.DONE).otherwise(results.SKIPPED)
-    entries = batch.select("job_id", state.alias("status"), F.col("metadata_error").alias("error"))
-    results.append_ledger(entries, cfg.store, run_id)
+        rows = summarise(spark, cfg, todo).join(counts.select("job_id", "logs_missing"), "job_id", "left")
+        results.write_summary(rows.withColumn("logs_missing", F.coalesce("logs_missing", F.lit(0))), cfg.store, run_id)
+    results.append_ledger(ledger_entries(batch, counts, note), cfg.store, run_id)
+    return True
+
+
+def ledger_entries(batch: DataFrame, counts: DataFrame, note: str | None = None) -> DataFrame:
+    """(job_id, status, error, logs_found) of typed jobs; `counts` tells which of their logs were found."""
+    missing = F.coalesce(F.col("logs_missing"), F.lit(0)) > 0
+    state = (
+        F.when(F.col("metadata_error").isNotNull(), results.FAILED)
+        .when(~F.coalesce(ran_long_enough(), F.lit(False)), results.SKIPPED)
+        .when(missing, results.MISSING)
+        .otherwise(results.DONE)
+    )
+    told = F.when(state == results.MISSING, F.concat_ws(" ", "logs_missing", F.lit("logs were not found")))
+    return batch.join(counts, "job_id", "left").select(
+        "job_id", state.alias("status"), F.coalesce("metadata_error", told, F.lit(note).cast("string")).alias("error"),
+        F.when(state == results.MISSING, F.col("logs_found")).alias("logs_found"),
+    )
+
+
+def log_counts(spark: SparkSession, cfg: RunConfig, jobs: DataFrame) -> DataFrame:
+    """job_id, logs_found and logs_missing of the jobs with logs. Names are looked up, no log is read."""
+    manifest = materialise(log_manifest(jobs, cfg.base_uri).select("job_id", "path_key", "uri"), "manifest")
+    return count_logs(manifest, found_logs(spark, manifest))
+
+
+def count_logs(manifest: DataFrame, found: DataFrame) -> DataFrame:
+    met = manifest.join(found.select("path_key", F.lit(True).alias("_met")), "path_key", "left")
+    return met.groupBy("job_id").agg(
+        F.count("_met").alias("logs_found"), F.count_if(F.col("_met").isNull()).alias("logs_missing")
+    )
+
+
+def found_logs(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """path_key of the files of a manifest that are there."""
+    listed = [(name,) for name in scan_logs(spark, files).inputFiles()]
+    return spark.createDataFrame(listed, "name string").select(scanned_path(F.col("name")).alias("path_key")).distinct()
 
 
 def summarise(spark: SparkSession, cfg: RunConfig, jobs: DataFrame) -> DataFrame:

@@ -100,3 +100,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def remove_path(spark: SparkSession, path: str) -> None:
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs_path, True)
+
+
+def replace_path(spark: SparkSession, new: str, old: str) -> None:
+    """Give `new` the name of `old`, which is deleted."""
+    new_path, old_path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    fs = new_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old_path, True)
+    if not fs.rename(new_path, old_path):
+        raise OSError(f"{new} could not be renamed to {old}")

@@ -24,8 +24,6 @@ GPU_COLUMNS = (
 )
 GPU_REQUIRED = ("timestamp", "gpu_index", "memory_used_MiB", "memory_free_MiB")
 KIB_PER_MIB = 1024.0
-# More than the fields of any header; see `file_headers`.
-FIELDS = 1 << 16
 
 
 def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -46,79 +44,64 @@ def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     ).where(F.trim("line") != "")
 
 
-def _field_count(line: Column) -> Column:
-    quoted = F.regexp_replace(line, r'"[^"]*"', "")
-    bare = F.when(line.contains('"'), quoted).otherwise(line)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+def stage_records(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The lines cut into `fields` and written once: `path_key`, `pos`, `fields`, `width` and `names`.
 
-
-def _names_any(line: Column, columns: tuple[str, ...]) -> Column:
-    """True for lines that may be a header. A record may contain a name too, so this only saves
-    splitting the other lines; what counts is being the first line."""
-    named = None
-    for c in columns:
-        named = line.contains(c) if named is None else named | line.contains(c)
-    return named
+    Everything later, also which record is a file's header, is read off this one scan, so it does not
+    matter how another scan would deal the files out to tasks. `names` repeats the fields of records
+    that hold a column name, which the headers are among; elsewhere it is NULL and costs nothing.
+    """
+    named = F.arrays_overlap("fields", F.array(*[F.lit(c) for c in columns]))
+    records = lines.select("path_key", "pos", split_csv_line(F.col("line")).alias("fields"))
+    return materialise(
+        records.select("*", F.size("fields").alias("width"), F.when(named, F.col("fields")).alias("names")), "log-records"
+    )
 
 
-def file_headers(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One row per file: `header_row`, the row number of its first line, which is the header;
+def file_headers(records: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """One row per file: `header_row`, the row number of its first record, which is the header;
     `at_<column>`, the position of every column in it (NULL if the header lacks it); and
     `readable`: no record has more fields than the header.
 
-    A number taken from the first line is the smallest of `row * FIELDS + number` over the block
-    that opens the file. All buffers are numbers, so this is a hash aggregation with partials: no
-    text is shuffled or sorted, and a file of any size is reduced where it is read.
+    Files are reduced by a hash aggregation over numbers with partials; only the records that hold
+    a column name are looked at for their text. A header without any of the columns fits all records.
     """
-    line, opening, row = F.col("line"), F.col("pos.block") == 0, F.col("pos.row")
-    named = opening & _names_any(line, columns)
-    fields = split_csv_line(line)
-    # The upper bits of the row number are the task's; one task reads the whole opening block.
-    within = row.bitwiseAND(F.lit((1 << 33) - 1))
-
-    def of_first(condition: Column, number: Column) -> Column:
-        return F.min(F.when(condition, within * F.lit(FIELDS) + number))
-
-    found = lines.groupBy("path_key").agg(
-        F.min(F.when(opening, row)).alias("header_row"),
-        F.min(F.when(named, row)).alias("_named_row"),
-        of_first(opening, _field_count(line)).alias("_width"),
-        F.max(_field_count(line)).alias("_widest"),
-        *[of_first(named, F.array_position(fields, c)).alias(f"_{c}") for c in columns],
+    opening, row = F.col("pos.block") == 0, F.col("pos.row")
+    files = records.groupBy("path_key").agg(
+        F.min(F.when(opening, row)).alias("header_row"), F.max("width").alias("_widest")
     )
-    known = F.col("_named_row") == F.col("header_row")
-
-    def number(name: str) -> Column:
-        return F.col(name) % F.lit(FIELDS)
-
-    positions = [
-        F.when(known & (number(f"_{c}") > 0), number(f"_{c}") - 1).cast("int").alias(f"at_{c}") for c in columns
-    ]
-    readable = F.coalesce(F.col("_widest") <= number("_width"), F.lit(True))
-    return found.select("path_key", "header_row", readable.alias("readable"), *positions)
+    headings = records.where(F.col("names").isNotNull() & opening).select(
+        F.col("path_key").alias("_path"), row.alias("_row"), F.col("width").alias("_width"), F.col("names").alias("_names")
+    )
+    first = (F.col("path_key") == F.col("_path")) & (F.col("header_row") == F.col("_row"))
+    at = [F.array_position("_names", c) for c in columns]
+    positions = [F.when(k > 0, k - 1).cast("int").alias(f"at_{c}") for k, c in zip(at, columns)]
+    readable = F.coalesce(F.col("_widest") <= F.col("_width"), F.lit(True)).alias("readable")
+    return files.join(headings, first, "left").select("path_key", "header_row", readable, *positions)
 
 
-def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Log records of the files in `manifest`, columns found by header name in every file.
+def map_records(records: DataFrame, manifest: DataFrame, columns: tuple[str, ...], keep_wide: bool = False) -> DataFrame:
+    """Staged records of the files in `manifest` without the headers, columns found by header name in every file.
 
     Files may order their columns differently, so the position of each column travels with the
-    file: the per-file table is written once and joined to the lines. It is broadcast only if
+    file: the per-file table is written once and joined to the records. It is broadcast only if
     its written size allows it; otherwise the join shuffles and splits skewed files. A file with
-    a record wider than its header cannot be read as a table and is left out as a whole.
-    Adds `has_<column>` for every column.
+    a record wider than its header cannot be read as a table and is left out as a whole, unless
+    `keep_wide` is set, which ignores the fields beyond the header. Adds `has_<column>` for every column.
     """
-    files = materialise(
-        manifest.join(file_headers(lines, columns), "path_key").where("readable").drop("readable"), "log-files"
-    )
+    files = manifest.join(file_headers(records, columns), "path_key")
+    files = materialise((files if keep_wide else files.where("readable")).drop("readable"), "log-files")
     header = (F.col("pos.block") == 0) & (F.col("pos.row") == F.col("header_row"))
-    records = lines.join(files, "path_key").where(~header)
-    # Generated cells are values that later filters cannot be pushed through; otherwise every
-    # condition on a cell would split the line again.
-    fields = records.withColumn("_fields", split_csv_line(F.col("line")))
-    cells = F.inline(F.array(F.struct(*[F.get("_fields", F.col(f"at_{c}")).alias(c) for c in columns])))
-    return fields.select(
-        *manifest.columns, "pos", *[F.col(f"at_{c}").isNotNull().alias(f"has_{c}") for c in columns], cells
-    )
+    body = records.select("path_key", "pos", "fields").join(files, "path_key").where(~header)
+    return body.select(
+        *manifest.columns, "pos", *[F.col(f"at_{c}").isNotNull().alias(f"has_{c}") for c in columns],
+        *[F.get("fields", F.col(f"at_{c}")).alias(c) for c in columns],
+    )
+
+
+def map_columns(lines: DataFrame, manifest: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """`map_records` of lines, which are read once."""
+    return map_records(stage_records(lines, columns), manifest, columns)
 
 
 def tidy_gpu(records: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def test_quantiles_scan_only_their_columns(spark):
 
 def test_log_headers_need_no_text_shuffle(spark, tmp_path):
     (tmp_path / "1-n.csv").write_text("timestamp,gpu_index\n1,2\n")
-    text = plan(logs.file_headers(logs.read_log_lines(spark, str(tmp_path)), logs.GPU_COLUMNS))
+    text = plan(logs.file_headers(logs.stage_records(logs.read_log_lines(spark, str(tmp_path)), logs.GPU_COLUMNS), logs.GPU_COLUMNS))
     assert "SortAggregate" not in text and "partial_" in text
 
 

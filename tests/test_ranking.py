@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from jobmetrics.operators import distribution
+from jobmetrics.operators.distribution import ecdf
 from jobmetrics.operators.ranking import batch_numbers, running_total
 
 
@@ -73,3 +74,10 @@ def test_log_histogram_matches_numpy(spark):
             if r.t == t:
                 got[r.bin] = r.density
         assert np.allclose(got, density)
+
+
+def test_ecdf_of_all_rows_counts_those_without_a_value(spark):
+    rows = spark.createDataFrame([(1.0,), (None,), (2.0,), (2.0,), (None,)], "v double")
+    got = sorted(map(tuple, ecdf(rows, "v", of_all=True).select("v", "count", "cdf_first", "cdf_last").collect()))
+    assert got == [(1.0, 1, 0.0, 0.0), (2.0, 2, 0.2, 0.4)]
+    assert {r.cdf for r in ecdf(rows, "v").collect()} == {1 / 3, 1.0}

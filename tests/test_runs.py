@@ -1,5 +1,7 @@
 """Whole runs over files: reading, resuming, repairing."""
 
+import dataclasses
+import gzip
 import json
 import os
 from datetime import timezone
@@ -10,6 +12,7 @@ from jobmetrics.plans import runs
 from jobmetrics.plans.runs import RunConfig, run, run_plan
 from jobmetrics.plans.reports import REPORTS, write_reports
 from jobmetrics.sources import index, logs, store
+from jobmetrics.sources.scheduler import read_scheduler_csv
 from jobmetrics.streaming.manifests import process_new_manifests
 
 GPU_HEADER = "timestamp,gpu_index,utilization_gpu_pct,utilization_memory_pct,memory_used_MiB,memory_free_MiB,temperature_gpu,temperature_memory,power_draw_W,pcie_link_width_current"
@@ -69,7 +72,8 @@ def config(path, **kw):
 
 
 def ledger(spark, path):
-    return {r.job_id: r.status for r in store.read_ledger(spark, str(path / "store")).collect()}
+    """The last state of every job."""
+    return {r.job_id: r.status for r in store.read_ledger(spark, str(path / "store")).orderBy("run_id").collect()}
 
 
 def test_run_end_to_end(spark, site):
@@ -93,12 +97,17 @@ def test_run_end_to_end(spark, site):
     assert rows[4].cpu_util_mean is None and rows[4].ri_temporal_cpu_util is None
     assert rows[5].is_gpu_job and rows[5].num_gpus_used is None and rows[5].ri_temporal_gpu_util is None
     states = ledger(spark, path)
-    assert states == {**dict.fromkeys(range(1, 6), "done"), 6: "skipped", 7: "failed"}
+    assert states == {**dict.fromkeys(range(1, 6), "done"), 4: "missing_logs", 6: "skipped", 7: "failed"}
 
-    # Only the failed job comes back; nothing is written twice.
-    assert run_plan(spark, cfg).first().to_process == 1
+    # Only the failed job and the one that misses a log come back; nothing is written twice.
+    assert run_plan(spark, cfg).first().to_process == 2
     assert run(spark, cfg) == [2]
-    assert spark.read.parquet(str(path / "out")).count() == 5
+    assert spark.read.parquet(str(path / "out")).count() == 5 == store.read_summaries(spark, cfg.store).count()
+    write(str(path / "logs/cpu/missing.csv"), CPU_HEADER, "0,a,1620000000,300,100,200,1,2")
+    assert run(spark, cfg) == [3]
+    assert ledger(spark, path)[4] == "done" and run_plan(spark, cfg).first().to_process == 1
+    assert {r.job_id: r.cpu_util_mean for r in spark.read.parquet(str(path / "out")).collect()}[4] == 75.0
+    assert len(spark.read.parquet(str(path / "out")).columns) == 145
     assert write_reports(spark.read.parquet(str(path / "out")), str(path / "reports")) == list(REPORTS)
     split = spark.read.parquet(str(path / "reports" / "job_type_split")).collect()
     assert [(r.is_gpu_job, r["count"]) for r in split] == [(True, 5)]
@@ -122,8 +131,79 @@ def test_batches_and_crash_between_the_two_writes(spark, site, monkeypatch):
     out = [r.job_id for r in spark.read.parquet(cfg.output).collect()]
     assert sorted(out) == [1, 2, 3, 4, 5]
     states = ledger(spark, path)
-    assert {k for k, v in states.items() if v == "done"} == {1, 2, 3, 4, 5} and states[6] == "skipped"
-    assert run_plan(spark, cfg).first().to_process == 1
+    assert {k for k, v in states.items() if v == "done"} == {1, 2, 3, 5} and states[6] == "skipped" and states[4] == "missing_logs"
+    assert run_plan(spark, cfg).first().to_process == 2
+
+
+def test_wrong_base_uri_commits_no_job(spark, site):
+    path, _ = site
+    cfg = config(path)
+    run(spark, dataclasses.replace(cfg, base_uri=str(path / "nowhere"), output=None))
+    assert set(ledger(spark, path).values()) == {"missing_logs", "skipped", "failed"}
+    assert run_plan(spark, cfg).first().to_process == 6
+    run(spark, cfg)
+    assert {k for k, v in ledger(spark, path).items() if v == "done"} == {1, 2, 3, 5}
+    rows = {r.job_id: r for r in spark.read.parquet(cfg.output).collect()}
+    assert sorted(rows) == [1, 2, 3, 4, 5] and rows[1].gpu_util_mean == 48.0
+
+
+def test_a_damaged_log_spoils_only_its_part(spark, tmp_path):
+    lines = "\n".join([GPU_HEADER, *[gpu_line(1620000000 + k) for k in range(50_000)]])
+    packed = gzip.compress(lines.encode())
+    os.makedirs(tmp_path / "logs")
+    (tmp_path / "logs/1-n1.csv.gz").write_bytes(packed[: len(packed) // 2])
+    write(str(tmp_path / "logs/1-cpu.csv"), CPU_HEADER, "0,a,1620000000,300,100,200,1,2")
+    write(str(tmp_path / "logs/2-n1.csv"), GPU_HEADER, gpu_line(1620000000))
+    index_ = {"1": {"cpu": ["1-cpu.csv"], "gpu": ["1-n1.csv.gz"]}, "2": {"cpu": [], "gpu": ["2-n1.csv"]}}
+    (tmp_path / "index.json").write_text(json.dumps(index_))
+    rows = ["{0},1,1620000000,1620003600,2,8,\"cpu=8,1002=2\",p,0,u".format(k) for k in (1, 2)]
+    write(str(tmp_path / "jobs.csv"), SCHEDULER_HEADER, *rows)
+    cfg = config(tmp_path)
+    run(spark, cfg)
+    rows = {r.job_id: r for r in spark.read.parquet(cfg.output).collect()}
+    assert rows[1].cpu_util_mean == 75.0 and not rows[1].is_gpu_job and rows[1].gpu_util_mean is None
+    assert rows[2].is_gpu_job and rows[2].gpu_util_mean == 64.0
+    entries = {r.job_id: r for r in store.read_ledger(spark, cfg.store).collect()}
+    assert entries[1].status == entries[2].status == "done" and "gpu logs left out" in entries[1].error
+
+
+def test_the_old_output_stays_until_the_new_one_is_written(spark, tmp_path, monkeypatch):
+    where, out = str(tmp_path / "s"), str(tmp_path / "out")
+    store.write_summary(spark.range(2).selectExpr("id AS job_id", "0L AS logs_missing"), where, 1)
+    assert store.assemble(spark, where, out) and spark.read.parquet(out).count() == 2
+    store.write_summary(spark.range(2, 5).selectExpr("id AS job_id", "id - 2 AS logs_missing"), where, 2)
+    store.write_summary(spark.range(3, 5).selectExpr("id AS job_id", "id - 3 AS logs_missing"), where, 3)
+    with monkeypatch.context() as m:
+        m.setattr(store, "replace_path", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            store.assemble(spark, where, out)
+    assert spark.read.parquet(out).count() == 2
+    assert store.assemble(spark, where, out)
+    assert sorted(r.job_id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    done = store.done_jobs(store.read_ledger(spark, where), store.read_summaries(spark, where))
+    assert sorted(r.job_id for r in done.collect()) == [0, 1, 2, 3]
+
+
+def test_headers_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+    for k in range(6):
+        write(str(tmp_path / f"{k}-n.csv"), GPU_HEADER, *[gpu_line(1620000000 + i) for i in range(5 + k)])
+    lines = logs.read_log_lines(spark, str(tmp_path))
+    manifest = lines.select("path_key").distinct().selectExpr("1L AS job_id", "path_key", "'n' AS node_id", "true AS names_node")
+    records = logs.stage_records(lines, logs.GPU_COLUMNS)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "200000000")
+        mapped = logs.map_records(records, manifest, logs.GPU_COLUMNS)
+        assert mapped.count() == sum(range(5, 11)) and mapped.where("gpu_index <> '0'").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_scheduler_files_with_other_column_orders(spark, tmp_path):
+    write(str(tmp_path / "a.csv"), "id_job,partition,tres_alloc", '9,p,"cpu=8,1002=2"', "8,,x,too,many")
+    write(str(tmp_path / "b.csv"), "partition,extra,id_job", '"say ""hi""",1,10')
+    rows = read_scheduler_csv(spark, str(tmp_path)).select("id_job", "partition", "tres_alloc", "id_user").collect()
+    assert sorted(map(tuple, rows)) == [("10", 'say "hi"', None, None), ("8", None, "x", None), ("9", "p", "cpu=8,1002=2", None)]
 
 
 def test_jobs_are_split_by_their_files(spark, site, monkeypatch):

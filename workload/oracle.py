@@ -31,7 +31,7 @@ JOBS = """jobs AS (
     SELECT o_orderkey AS job_id, o_orderstatus, CAST(epoch(o_orderdate) AS BIGINT) AS start_s,
            CAST(epoch(end_ts) AS BIGINT) AS end_s, o_orderdate AS start_ts,
            CAST(coalesce(epoch(end_ts) - epoch(o_orderdate), 0) AS BIGINT) AS runtime_seconds,
-           CAST(nodes AS DOUBLE) AS num_nodes,
+           CAST(CASE WHEN o_orderkey % 89 <> 0 THEN nodes END AS DOUBLE) AS num_nodes,
            CAST(CASE WHEN o_orderkey % 4 IN (1, 2) THEN o_orderkey % 5 ELSE 0 END AS INTEGER) AS num_alloc_gpus,
            CASE o_orderkey % 4 WHEN 1 THEN 'tesla' WHEN 2 THEN 'volta' END AS gpu_type,
            CAST(o_custkey AS VARCHAR) AS user_id, concat(' ', o_orderpriority, ' ') AS queue_name,
@@ -375,10 +375,23 @@ WHERE o_orderstatus <> 'F' AND o_orderkey IN (SELECT l_orderkey FROM lineitem) O
     "ledger_repair": with_(JOBS) + "SELECT job_id FROM jobs WHERE runtime_seconds > 10 AND o_orderstatus = 'P'",
     "done_set": with_(JOBS) + "SELECT job_id FROM jobs WHERE runtime_seconds > 10 OR o_orderstatus = 'F'",
     "ledger_states": with_(JOBS)
-    + """SELECT CASE WHEN o_orderstatus = 'P' THEN 'failed' WHEN runtime_seconds > 10 THEN 'done' ELSE 'skipped' END AS status,
-  count(*) AS jobs FROM jobs GROUP BY ALL""",
+    + """SELECT status, count(*) AS jobs, CAST(sum(found) AS BIGINT) AS logs_found FROM (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN 'failed' WHEN runtime_seconds <= 10 THEN 'skipped'
+    WHEN job_id % 7 = 0 AND logs > 0 THEN 'missing_logs' ELSE 'done' END AS status,
+    CASE WHEN o_orderstatus <> 'P' AND runtime_seconds > 10 AND job_id % 7 = 0 AND logs > 0
+      THEN logs - 1 + (SELECT count(*) FROM (SELECT DISTINCT user_id FROM events) u WHERE u.user_id = job_id) END AS found
+  FROM jobs LEFT JOIN (SELECT l_suppkey, count(DISTINCT l_linenumber) AS logs FROM lineitem GROUP BY 1) l ON l_suppkey = job_id)
+GROUP BY ALL""",
+    "scheduler_two_orders": """SELECT CAST(o_orderkey AS VARCHAR) AS id_job, CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VARCHAR) AS time_submit,
+  CASE WHEN o_orderkey % 89 <> 0 THEN CAST(nodes AS VARCHAR) END AS nodes_alloc, concat('cpu=8,mem=16G,100', o_orderkey % 4, '=', o_orderkey % 5) AS tres_alloc,
+  CASE WHEN o_orderstatus <> 'P' THEN concat(' ', o_orderpriority, ' ') END AS "partition", CAST(o_custkey AS VARCHAR) AS id_user
+FROM orders LEFT JOIN (SELECT l_orderkey, count(DISTINCT l_suppkey) AS nodes FROM lineitem GROUP BY 1) l ON o_orderkey = l_orderkey""",
 }
 
+# The same logs, read from files.
+ORACLES["gpu_log_files"] = ORACLES["gpu_log_samples"]
+ORACLES["cpu_log_files"] = ORACLES["cpu_log_samples"]
+
 # Overview reports
 
 
@@ -430,8 +443,8 @@ ORACLES |= {
     ),
     "nodes_histogram": with_(JOBS, OVERVIEW, binned("ov", "num_nodes", 50)),
     "nodes_cdf": with_(JOBS, OVERVIEW, cdf("ov", "num_nodes"))
-    + f"""SELECT {r("num_nodes", "num_nodes")}, n AS "count", {r("(upto - n) / CAST(total AS DOUBLE)", "cdf_first")},
-  {r("(upto - 1) / CAST(total AS DOUBLE)", "cdf_last")} FROM c""",
+    + f"""SELECT {r("num_nodes", "num_nodes")}, n AS "count", {r("(upto - n) / CAST(everyone AS DOUBLE)", "cdf_first")},
+  {r("(upto - 1) / CAST(everyone AS DOUBLE)", "cdf_last")} FROM c, (SELECT count(*) AS everyone FROM ov) t""",
     "nodes_capped": with_(
         JOBS, OVERVIEW,
         """q AS (SELECT CAST(trunc(quantile_cont(num_nodes, 0.99)) AS BIGINT) + 1 AS cap, quantile_cont(num_nodes, 0.5) AS p50,

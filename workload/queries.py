@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.functions import clock, text
+from jobmetrics.functions.text import scanned_path
 from jobmetrics.operators.imbalance import node_signal
 from jobmetrics.operators.ranking import batch_numbers
 from jobmetrics.operators.series import QUARTILES, Metric, average_over_series, series_stats
 from jobmetrics.plans import cpu, gpu, metadata, reports, runs
 from jobmetrics.plans.summary import job_summary
-from jobmetrics.session import materialise
+from jobmetrics.session import materialise, scratch_dir
 from jobmetrics.sources import index as file_index
 from jobmetrics.sources import logs, store
+from jobmetrics.sources.scheduler import read_scheduler_csv
 from workload import tables
 from workload.tables import BUSY_PCT
 
@@ -339,8 +343,20 @@ def gpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'gpu'").select(
         "job_id", F.concat(F.lit("/"), "path_key").alias("path_key"), "node_id", "names_node"
     )
-    records = logs.map_columns(_gpu_log_lines(spark, d), manifest, logs.GPU_COLUMNS)
-    samples = logs.tidy_gpu(records)
+    return _gpu_log_totals(_gpu_log_lines(spark, d), manifest)
+
+
+def gpu_log_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same from real files, one for every node of a job."""
+    lines, files = _from_files(_gpu_log_lines(spark, d), "gpu-logs")
+    manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'gpu'").select(
+        "job_id", F.concat(F.lit("/"), "path_key").alias("log"), "node_id", "names_node"
+    )
+    return _gpu_log_totals(lines, manifest.join(files, "log").drop("log"))
+
+
+def _gpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
+    samples = logs.tidy_gpu(logs.map_columns(lines, manifest, logs.GPU_COLUMNS))
     return rounded(
         samples.groupBy("job_id", "node_id", "gpu_index").agg(
             F.count(F.lit(1)).alias("samples"),
@@ -356,6 +372,20 @@ def gpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _from_files(lines: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Log lines written as one file for each log and scanned again, and the place (`path_key`) of each `log`."""
+    spark = lines.sparkSession
+    folder = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    named = lines.select(F.replace("path_key", F.lit("/"), F.lit("!")).alias("log"), "pos", "line")
+    ordered = named.repartition("log").sortWithinPartitions("log", "pos").select("log", "line")
+    ordered.write.partitionBy("log").text(folder)
+    scanned = logs.read_log_lines(spark, folder)
+    places = spark.createDataFrame([(f,) for f in scanned.inputFiles()], "name string")
+    places = places.select(scanned_path(F.col("name")).alias("path_key"))
+    log = F.replace(F.regexp_extract("path_key", "/log=([^/]*)/", 1), F.lit("!"), F.lit("/"))
+    return scanned, places.select("path_key", log.alias("log"))
+
+
 def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
     """The events written out as CPU logs, one file per user."""
     events = tables.table(spark, d, "events")
@@ -375,14 +405,24 @@ def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def cpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     """CPU logs read back, normalised by the request of the job."""
+    manifest = _cpu_manifest(spark, d).withColumnRenamed("log", "path_key")
+    return _cpu_log_totals(_cpu_log_lines(spark, d), manifest)
+
+
+def cpu_log_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same from real files, one for every job."""
+    lines, files = _from_files(_cpu_log_lines(spark, d), "cpu-logs")
+    return _cpu_log_totals(lines, _cpu_manifest(spark, d).join(files, "log").drop("log"))
+
+
+def _cpu_manifest(spark: SparkSession, d: str) -> DataFrame:
     per_node = tables.jobs(spark, d).select("job_id", "cpus_per_node")
-    manifest = (
-        file_index.log_manifest(tables.file_index(spark, d), "")
-        .where("kind = 'cpu'")
-        .select("job_id", F.concat(F.lit("/"), "path_key").alias("path_key"))
-        .join(per_node, "job_id")
-    )
-    samples = logs.tidy_cpu(logs.map_columns(_cpu_log_lines(spark, d), manifest, logs.CPU_COLUMNS))
+    manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'cpu'")
+    return manifest.select("job_id", F.concat(F.lit("/"), "path_key").alias("log")).join(per_node, "job_id")
+
+
+def _cpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
+    samples = logs.tidy_cpu(logs.map_columns(lines, manifest, logs.CPU_COLUMNS))
     return rounded(
         samples.groupBy("job_id", "node_id").agg(
             F.count(F.lit(1)).alias("samples"),
@@ -453,11 +493,11 @@ def jobs_in_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def union_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of runs with different columns united by name."""
-    jobs = tables.jobs(spark, d)
-    first = jobs.where("o_orderstatus = 'F'").select("job_id", "runtime_seconds", "num_nodes")
-    second = jobs.where("o_orderstatus <> 'F'").select("job_id", "queue_name", "runtime_seconds")
-    return first.unionByName(second, allowMissingColumns=True)
+    """Rows of two runs with different columns, written to a store and read as one table."""
+    jobs, where = tables.jobs(spark, d), f"{scratch_dir(spark)}/store-{uuid.uuid4().hex}"
+    store.write_summary(jobs.where("o_orderstatus = 'F'").select("job_id", "runtime_seconds", "num_nodes"), where, 1)
+    store.write_summary(jobs.where("o_orderstatus <> 'F'").select("job_id", "queue_name", "runtime_seconds"), where, 2)
+    return store.read_summaries(spark, where).select("job_id", "runtime_seconds", "num_nodes", "queue_name")
 
 
 def ledger_repair(spark: SparkSession, d: str) -> DataFrame:
@@ -476,9 +516,27 @@ def done_set(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ledger_states(spark: SparkSession, d: str) -> DataFrame:
-    bad = F.col("o_orderstatus") == "P"
-    state = F.when(bad, store.FAILED).when(metadata.ran_long_enough(), store.DONE).otherwise(store.SKIPPED)
-    return tables.jobs(spark, d).groupBy(state.alias("status")).agg(F.count(F.lit(1)).alias("jobs"))
+    """What a run records of its jobs, one log of every seventh job being away."""
+    bad = F.when(F.col("o_orderstatus") == "P", "unreadable")
+    batch = tables.jobs(spark, d).withColumn("metadata_error", bad)
+    manifest = file_index.log_manifest(tables.file_index(spark, d), "logs")
+    away = (F.col("job_id") % 7 == 0) & (F.col("kind") == "gpu") & (F.col("pos") == 0)
+    entries = runs.ledger_entries(batch, runs.count_logs(manifest, manifest.where(~away).select("path_key")))
+    return entries.groupBy("status").agg(F.count(F.lit(1)).alias("jobs"), F.sum("logs_found").alias("logs_found"))
+
+
+def scheduler_two_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Scheduler exports in two files whose columns stand in different orders, read as one table."""
+    rows = tables.scheduler_rows(spark, d)
+    folder = f"{scratch_dir(spark)}/scheduler-{uuid.uuid4().hex}"
+    open_, closed = rows.where("exit_code = 'n/a'"), rows.where("exit_code <> 'n/a'")
+    turned = sorted(c for c in open_.columns if c != "partition")  # this one lacks a column too
+    open_.select(turned).write.option("header", True).option("escape", '"').csv(f"{folder}/open")
+    closed.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(f"{folder}/closed")
+    read = read_scheduler_csv(spark, folder)
+    return read.select("id_job", "time_submit", "nodes_alloc", "tres_alloc", "partition", "id_user")
 
 
 # Overview reports
@@ -513,7 +571,7 @@ QUERIES = {
         cpu_time_above, cpu_normalised_util, cpu_io_totals, cpu_mem_pressure, cpu_mem_ratio,
         ri_cpu, job_metadata, tres_parse, skip_short_jobs, job_summary_wide, lenient_cast,
         accounting_step_filter, node_from_path, local_clock_to_utc, sample_offset,
-        gpu_log_samples, cpu_log_samples, file_index_explode, file_index_counts, pending_jobs,
+        gpu_log_samples, cpu_log_samples, gpu_log_files, cpu_log_files, scheduler_two_orders, file_index_explode, file_index_counts, pending_jobs,
         run_accounting, run_plan, job_batches, jobs_in_order, union_chunks, ledger_repair,
         done_set, ledger_states, job_overview, busiest_days_top10,
     )

@@ -68,7 +68,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderstatus",
             F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("start_s"),
             F.unix_seconds(F.col("end_ts").cast("timestamp")).alias("end_s"),
-            "nodes",
+            # Some jobs have no node count.
+            F.when(key % 89 != 0, F.col("nodes")).alias("nodes"),
             F.concat(
                 F.lit("cpu=8,mem=16G,100"), (key % 4).cast("string"), F.lit("="), (key % 5).cast("string")
             ).alias("tres_alloc"),
