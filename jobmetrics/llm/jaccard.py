@@ -39,7 +39,6 @@ CHUNK_CHARS = 8_000_000
 # A token in more sets than this is frequent; a key with more members is compared block by block.
 FREQUENT = 32
 BLOCK_ROWS = 2_000
-GROUP_ROWS = 20_000
 LEADER_ROUNDS = 2
 
 
@@ -395,8 +394,9 @@ def _remaining(measure: Measure, keys: DataFrame, entries: DataFrame, labels: Da
         .withColumn("i", F.least("blk", "with"))
         .withColumn("j", F.greatest("blk", "with"))
     )
-    rows = open_keys.count()
-    spot = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, rows // GROUP_ROWS * 4 + 1)))
+    # As many groups as the copied rows need, about one for each pair of blocks.
+    rows = open_keys.where(F.col("size") > FREQUENT).agg(F.sum(blocks)).first()[0] or 0
+    spot = F.pmod(F.xxhash64("key", "i", "j"), F.lit(rows // BLOCK_ROWS + 1))
     large = _in_blocks(measure, spread.select("key", "i", "j", "blk", "doc", "n", "label", "print", spot.alias("spot")))
     return pairs.union(large).distinct()
 
