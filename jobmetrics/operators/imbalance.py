@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.functions.statistics import clipped_ratio
 
@@ -25,26 +25,36 @@ def imbalance(
     temporal is the worst node's 1 - sum / (peak * count); spatial is the mean shortfall of the
     node peaks below the highest peak, relative to it. Nodes without samples peak at 0.
     """
-    per_node = signal.groupBy(job, node).agg(
-        *[
-            agg
-            for label, column in metrics.items()
-            for agg in (
-                F.max(column).alias(f"peak_{label}"),
-                F.sum(column).alias(f"sum_{label}"),
-                F.count(column).alias(f"n_{label}"),
-            )
-        ]
-    )
+    per_node = signal.groupBy(job, node).agg(*node_parts(metrics))
+    return per_node.groupBy(job).agg(*imbalance_of_nodes(metrics, decimals))
+
+
+def node_parts(metrics: dict[str, str]) -> list[Column]:
+    """Aggregates of a node's samples that `imbalance_of_nodes` is computed from."""
+    return [
+        agg
+        for label, column in metrics.items()
+        for agg in (
+            F.max(column).alias(f"peak_{label}"),
+            F.sum(column).alias(f"sum_{label}"),
+            F.count(column).alias(f"n_{label}"),
+        )
+    ]
+
+
+def imbalance_of_nodes(metrics: dict[str, str], decimals: int | None, counted: Column | None = None) -> list[Column]:
+    """Aggregates of one job's rows of `node_parts`; only `counted` rows are nodes, NULL without any."""
+    counted = F.lit(True) if counted is None else counted
+    nodes = F.count_if(counted)
     results = []
     for label in metrics:
         peak, total, n = F.col(f"peak_{label}"), F.col(f"sum_{label}"), F.col(f"n_{label}")
-        idle_share = F.when(peak != 0, 1 - total / F.nullif(peak * n, F.lit(0.0)))
+        idle_share = F.when(counted & (peak != 0), 1 - total / F.nullif(peak * n, F.lit(0.0)))
         worst = F.max(F.greatest(F.coalesce(idle_share, F.lit(0.0)), F.lit(0.0)))
-        filled = F.coalesce(peak, F.lit(0.0))
-        highest, nodes = F.max(filled), F.count(F.lit(1))
+        filled = F.when(counted, F.coalesce(peak, F.lit(0.0)))
+        highest = F.max(filled)
         shortfall = (highest * nodes - F.sum(filled)) / F.nullif(highest * nodes, F.lit(0.0))
         spatial = F.when((nodes <= 1) | (highest == 0), F.lit(0.0)).otherwise(shortfall)
-        results.append(clipped_ratio(worst, decimals).alias(f"ri_temporal_{label}"))
-        results.append(clipped_ratio(spatial, decimals).alias(f"ri_spatial_{label}"))
-    return per_node.groupBy(job).agg(*results)
+        for kind, value in (("temporal", worst), ("spatial", spatial)):
+            results.append(F.when(nodes > 0, clipped_ratio(value, decimals)).alias(f"ri_{kind}_{label}"))
+    return results

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.operators.imbalance import imbalance
+from jobmetrics.operators.imbalance import imbalance, imbalance_of_nodes, node_parts
 from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
 from jobmetrics.operators.series import QUARTILES, Metric, series_averages, series_stats
 
@@ -72,15 +72,22 @@ def cpu_series(
     return series_stats(cpu_ts, SERIES, METRICS if metrics is None else metrics, row_totals(), long_series_rows)
 
 
-def cpu_summary(cpu_ts: DataFrame, long_series_rows: int = LONG_SERIES_ROWS) -> DataFrame:
-    """One row per job with CPU telemetry. Samples without a node only enter the totals."""
-    series = cpu_series(cpu_ts, METRICS, long_series_rows)
+def cpu_summary(
+    cpu_ts: DataFrame, long_series_rows: int = LONG_SERIES_ROWS, imbalance_decimals: int | None = 4
+) -> DataFrame:
+    """One row per job with CPU telemetry. Samples without a node only enter the totals.
+
+    A series is a node, so the parts of the imbalance are aggregates of the same first level.
+    """
+    extra = [*row_totals(), *node_parts(IMBALANCE)]
+    series = series_stats(cpu_ts, SERIES, METRICS, extra, long_series_rows)
     on_node = F.col("node_id").isNotNull()
     averaged = [n for m in METRICS for n in m.outputs()]
     return series.groupBy(JOB).agg(
         *series_averages(averaged, on_node),
         memory_pressure().alias("mem_pressure"),
         *io_totals(),
+        *imbalance_of_nodes(IMBALANCE, imbalance_decimals, on_node),
     )
 
 

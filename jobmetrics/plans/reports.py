@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobmetrics.functions.text import strip, to_number
@@ -11,6 +14,9 @@ from jobmetrics.operators.distribution import (
     log_histogram_density,
     table_quantiles,
 )
+from jobmetrics.session import materialise, scratch_scope
+
+logger = logging.getLogger(__name__)
 
 # Labels and bin counts of the reports.
 DAY_LABELS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
@@ -21,39 +27,65 @@ SHORTEST_HOURS = 1e-3
 ROLLING_DAYS = 7
 UNKNOWN_PARTITION = "unknown"
 
+DIMENSIONS = ("month", "day_of_week", "date", "partition", "is_gpu_job", "is_success")
+HOURS = ("node_hours", "gpu_hours")
+
 
 def job_overview(summary: DataFrame) -> DataFrame:
-    """Report columns of job rows: date parts, partition, runtime hours, success, job type."""
+    """Report columns of job rows: date parts, partition, runtime hours, success, job type.
+
+    A column whose source is absent is absent here too, and so are the reports that need it.
+    """
     partition = "partition" if "partition" in summary.columns else "queue_name"
-    has_gpus = F.coalesce(F.col("num_alloc_gpus") > 0, F.lit(False))
+    has_gpus = F.lit(False)
+    if "num_alloc_gpus" in summary.columns:
+        has_gpus = F.coalesce(F.col("num_alloc_gpus") > 0, F.lit(False))
     is_gpu = F.col("is_gpu_job") | has_gpus if "is_gpu_job" in summary.columns else has_gpus
-    return summary.select(
-        "job_id",
-        "start_timestamp",
-        F.date_format("start_timestamp", "yyyy-MM").alias("month"),
-        F.weekday("start_timestamp").alias("day_of_week"),
-        F.to_date("start_timestamp").alias("date"),
-        F.coalesce(F.lower(strip(F.col(partition))), F.lit(UNKNOWN_PARTITION)).alias("partition"),
-        is_gpu.alias("is_gpu_job"),
-        (F.col("runtime_seconds") / F.lit(3600.0)).alias("runtime_hours"),
-        (F.coalesce(to_number(F.col("exit_code")), F.lit(0.0)) == 0).alias("is_success"),
-        "num_nodes",
-        "node_hours",
-        "gpu_hours",
-    )
+    sources = {
+        "job_id": ("job_id", F.col("job_id")),
+        "start_timestamp": ("start_timestamp", F.col("start_timestamp")),
+        "month": ("start_timestamp", F.date_format("start_timestamp", "yyyy-MM")),
+        "day_of_week": ("start_timestamp", F.weekday("start_timestamp")),
+        "date": ("start_timestamp", F.to_date("start_timestamp")),
+        "partition": (partition, F.coalesce(F.lower(strip(F.col(partition))), F.lit(UNKNOWN_PARTITION))),
+        "is_gpu_job": ("is_gpu_job" if "is_gpu_job" in summary.columns else "num_alloc_gpus", is_gpu),
+        "runtime_hours": ("runtime_seconds", F.col("runtime_seconds") / F.lit(3600.0)),
+        "is_success": ("exit_code", F.coalesce(to_number(F.col("exit_code")), F.lit(0.0)) == 0),
+        "num_nodes": ("num_nodes", F.col("num_nodes")),
+        "node_hours": ("node_hours", F.col("node_hours")),
+        "gpu_hours": ("gpu_hours", F.col("gpu_hours")),
+    }
+    return summary.select(*[value.alias(name) for name, (needed, value) in sources.items() if needed in summary.columns])
+
+
+def job_counts(ov: DataFrame) -> DataFrame:
+    """`jobs` and summed hours per combination of the dimensions that reports count by.
+
+    Reports that only count and sum take this in place of the overview, from which it is one hash
+    aggregation: it has a row per day and partition, however many jobs there are.
+    """
+    dimensions = [c for c in DIMENSIONS if c in ov.columns]
+    hours = [F.sum(c).alias(c) for c in HOURS if c in ov.columns]
+    return ov.groupBy(*dimensions).agg(F.count(F.lit(1)).alias("jobs"), *hours)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows of `job_counts`, or of the overview as one job each."""
+    return rows if "jobs" in rows.columns else rows.withColumn("jobs", F.lit(1).cast("bigint"))
 
 
-def _jobs() -> Column:
-    return F.count(F.lit(1)).alias("count")
+def _jobs(of: Column | None = None) -> Column:
+    jobs = F.col("jobs") if of is None else F.when(of, F.col("jobs")).otherwise(0)
+    return F.sum(jobs)
 
 
 def jobs_by_month(ov: DataFrame) -> DataFrame:
-    return ov.groupBy("month").agg(_jobs()).orderBy("month")
+    return _counted(ov).groupBy("month").agg(_jobs().alias("count")).orderBy("month")
 
 
 def jobs_by_weekday(ov: DataFrame) -> DataFrame:
     """All seven days, Monday first; days without jobs count 0."""
-    counts = ov.groupBy("day_of_week").agg(_jobs())
+    counts = _counted(ov).groupBy("day_of_week").agg(_jobs().alias("count"))
     labels = F.array(*[F.lit(x) for x in DAY_LABELS])
     days = ov.sparkSession.range(len(DAY_LABELS)).select(F.col("id").cast("int").alias("day_of_week"))
     return (
@@ -105,24 +137,18 @@ def nodes_capped(ov: DataFrame) -> DataFrame:
 
 def job_type_split(ov: DataFrame) -> DataFrame:
     """Two rows at most, so the share of the total is a plain window."""
-    counts = ov.groupBy("is_gpu_job").agg(_jobs())
+    counts = _counted(ov).groupBy("is_gpu_job").agg(_jobs().alias("count"))
     total = F.sum("count").over(Window.partitionBy())
     return counts.select("is_gpu_job", "count", (F.col("count") * 100.0 / total).alias("pct")).orderBy("is_gpu_job")
 
 
 def job_type_by_month(ov: DataFrame) -> DataFrame:
-    typed = ov.groupBy("month").pivot("is_gpu_job", [False, True]).agg(_jobs())
-    return typed.select(
-        "month",
-        F.coalesce(F.col("false"), F.lit(0)).alias("cpu"),
-        F.coalesce(F.col("true"), F.lit(0)).alias("gpu"),
-    ).orderBy("month")
+    typed = [_jobs(~F.col("is_gpu_job")).alias("cpu"), _jobs(F.col("is_gpu_job")).alias("gpu")]
+    return _counted(ov).groupBy("month").agg(*typed).orderBy("month")
 
 
 def error_rate_by_month(ov: DataFrame) -> DataFrame:
-    monthly = ov.groupBy("month").agg(
-        F.count("is_success").alias("total"), F.count_if("is_success").alias("success")
-    )
+    monthly = _counted(ov).groupBy("month").agg(_jobs().alias("total"), _jobs(F.col("is_success")).alias("success"))
     errors = F.col("total") - F.col("success")
     return monthly.select(
         "month", "total", "success", errors.alias("errors"), (errors * 100.0 / F.col("total")).alias("error_rate")
@@ -155,7 +181,7 @@ def daily_throughput(ov: DataFrame) -> DataFrame:
 
     The window has no partition key, but its input is one row per calendar day.
     """
-    daily = ov.groupBy("date").agg(_jobs())
+    daily = _counted(ov).groupBy("date").agg(_jobs().alias("count"))
     around = Window.orderBy("date").rowsBetween(-(ROLLING_DAYS // 2), ROLLING_DAYS // 2)
     full = F.count(F.lit(1)).over(around) == ROLLING_DAYS
     return daily.select(
@@ -168,12 +194,12 @@ def daily_throughput(ov: DataFrame) -> DataFrame:
 
 def busiest_days(ov: DataFrame, days: int | None = None) -> DataFrame:
     """Days by descending job count, all of them or the first `days`."""
-    ranked = ov.groupBy("date").agg(_jobs()).orderBy(F.desc("count"), "date")
+    ranked = _counted(ov).groupBy("date").agg(_jobs().alias("count")).orderBy(F.desc("count"), "date")
     return ranked if days is None else ranked.limit(days)
 
 
 def jobs_by_partition(ov: DataFrame) -> DataFrame:
-    return ov.groupBy("partition").agg(_jobs()).orderBy(F.desc("count"), "partition")
+    return _counted(ov).groupBy("partition").agg(_jobs().alias("count")).orderBy(F.desc("count"), "partition")
 
 
 def gpu_hours_by_partition(ov: DataFrame) -> DataFrame:
@@ -182,12 +208,12 @@ def gpu_hours_by_partition(ov: DataFrame) -> DataFrame:
 
 
 def gpu_pct_by_partition(ov: DataFrame) -> DataFrame:
-    share = (F.avg(F.col("is_gpu_job").cast("int")) * 100).alias("gpu_pct")
-    return ov.groupBy("partition").agg(share).orderBy(F.desc("gpu_pct"), "partition")
+    share = _jobs(F.col("is_gpu_job")) / F.nullif(_jobs(F.col("is_gpu_job").isNotNull()), F.lit(0))
+    return _counted(ov).groupBy("partition").agg((share * 100).alias("gpu_pct")).orderBy(F.desc("gpu_pct"), "partition")
 
 
 def resource_hours_by_month(ov: DataFrame) -> DataFrame:
-    sums = [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("node_hours", "gpu_hours")]
+    sums = [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in HOURS]
     return ov.groupBy("month").agg(*sums).orderBy("month")
 
 
@@ -221,13 +247,37 @@ REPORTS = {
     )
 }
 
+# Reports that `job_counts` is enough for.
+COUNTING = {
+    f.__name__
+    for f in (
+        jobs_by_month, jobs_by_weekday, job_type_split, job_type_by_month, error_rate_by_month, daily_throughput,
+        busiest_days, jobs_by_partition, gpu_hours_by_partition, gpu_pct_by_partition, resource_hours_by_month,
+    )
+}
+
 
 def write_reports(summary: DataFrame, out: str) -> list[str]:
-    """Write every report below `out`; the overview columns are computed once and kept cached."""
-    ov = job_overview(summary).persist()
-    try:
+    """Write the reports below `out` and return the names of those written.
+
+    The job rows are read once: the overview is written to the scratch folder, and the counting
+    reports are cut from one aggregation of it. A report whose columns are absent is left out, and
+    one that fails is logged; neither stops the others.
+    """
+    written = []
+    with scratch_scope(summary.sparkSession):
+        ov = materialise(job_overview(summary), "overview")
+        counts = materialise(job_counts(ov), "job-counts")
         for name, report in REPORTS.items():
-            report(ov).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
-    finally:
-        ov.unpersist()
-    return list(REPORTS)
+            try:
+                result = report(counts if name in COUNTING else ov)
+                result.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+                written.append(name)
+            except AnalysisException as error:
+                if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                    logger.exception("report %s failed", name)
+                else:
+                    logger.info("report %s is left out: %s", name, error.getCondition())
+            except Exception:
+                logger.exception("report %s failed", name)
+    return written

@@ -64,10 +64,9 @@ def job_summary(
     if checked:
         usable = F.coalesce(F.col("file_ok") & F.col("has_util") & F.col("has_power"), F.lit(True))
     joined = (
-        jobs.join(cpu.cpu_summary(cpu_ts, long_series_rows), "job_id", "left")
+        jobs.join(cpu.cpu_summary(cpu_ts, long_series_rows, imbalance_decimals), "job_id", "left")
         .join(gpu_part, "job_id", "left")
         .join(gpu.gpu_imbalance(gpu_ts, imbalance_decimals), "job_id", "left")
-        .join(cpu.cpu_imbalance(cpu_ts, imbalance_decimals), "job_id", "left")
         .withColumn("is_gpu_job", F.col("has_gpu_logs") & usable)
     )
     wide = gpu.add_allocation(joined)

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from jobmetrics.plans import cpu, gpu, reports
@@ -44,6 +45,36 @@ def test_log_headers_need_no_text_shuffle(spark, tmp_path):
     assert "SortAggregate" not in text and "partial_" in text
 
 
+def test_cpu_samples_are_aggregated_once_for_statistics_and_imbalance(spark):
+    text = plan(cpu.cpu_summary(tables.cpu_ts(spark, SF)))
+    # One pass for statistics, totals and imbalance, one for the quantiles.
+    assert text.count("Scan parquet") == 2 and "peak_cpu_util" in text
+
+
+@pytest.mark.parametrize("name", sorted(reports.COUNTING))
+def test_counting_reports_are_the_same_from_counts(spark, name):
+    ov = tables.overview(spark, SF)
+    alone, cut = reports.REPORTS[name](ov), reports.REPORTS[name](reports.job_counts(ov))
+    assert alone.schema.simpleString() == cut.schema.simpleString()
+    pairs = zip(sorted(map(tuple, alone.collect()), key=str), sorted(map(tuple, cut.collect()), key=str), strict=True)
+    for a, b in pairs:
+        assert all(x == y or abs(x - y) <= 1e-9 * abs(x) for x, y in zip(a, b, strict=True))
+
+
+def test_reports_skip_absent_columns_and_outlive_errors(spark, tmp_path, monkeypatch):
+    full = tables.overview(spark, SF).select("job_id", "start_timestamp", "num_nodes", "node_hours", "gpu_hours")
+    jobs = full.withColumns({"num_alloc_gpus": F.col("gpu_hours"), "queue_name": F.lit(" A ")}).drop("node_hours")
+    needed = {"error_rate_by_month", "resource_hours_by_month"} | {n for n in reports.REPORTS if n.startswith(("duration", "runtime"))}
+
+    def fails(ov):
+        raise RuntimeError("broken report")
+
+    monkeypatch.setitem(reports.REPORTS, "nodes_stats", fails)
+    written = reports.write_reports(jobs, str(tmp_path))
+    assert set(written) == set(reports.REPORTS) - needed - {"nodes_stats"}
+    assert spark.read.parquet(str(tmp_path / "jobs_by_partition")).first().partition == "a"
+
+
 def test_reports_prune_columns(spark):
     text = plan(reports.jobs_by_month(tables.overview(spark, SF)))
     assert "o_totalprice" not in text and "l_extendedprice" not in text

@@ -159,6 +159,18 @@ def test_cpu_totals_include_samples_without_node(spark):
     assert cpu_imbalance(spark.createDataFrame(cpu_trace(None, [9.0]), CPU)).count() == 0
 
 
+def test_imbalance_of_the_summary_is_that_of_the_samples(spark):
+    traces = [
+        *cpu_trace("a", [90.0, 10.0, None], [5.0, 7.0, 9.0], 3.0), *cpu_trace("b", [20.0], [64.0]), *cpu_trace(None, [99.0], [2048.0]),
+        *cpu_trace("a", [None, None], job=2), *cpu_trace("c", [50.0, 75.0], job=2), *cpu_trace(None, [9.0], job=3),
+    ]
+    samples = spark.createDataFrame(traces, CPU)
+    alone = cpu_imbalance(samples, None).orderBy("job_id").collect()
+    fused = cpu_summary(samples, imbalance_decimals=None).select(*alone[0].asDict()).orderBy("job_id").collect()
+    assert alone == fused[:2] and len(alone) == 2
+    assert set(fused[2].asDict().values()) == {3, None}
+
+
 def test_all_null_totals_are_zero(spark):
     row = cpu_job(spark, cpu_trace("a", [1.0], [None], [None]))
     assert row.read_kb_total == 0.0 and row.mem_pressure is None and row.mem_rss_kb_mean is None
