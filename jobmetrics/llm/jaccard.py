@@ -6,11 +6,12 @@ Documents with equal sets are one entry from the first step on.
 
 Prefixes: tokens have one order for all documents: a share of them (by hash; a quarter at 0.9) by
 document frequency, which is counted over all documents, then the others by hash. Similar documents
-share a token among the first floor(n * (1 - threshold)) + 1. A shared token that is rare is an index key by itself. If
-a prefix holds a frequent token, the prefix is extended to the whole set and combinations of its
-tokens are indexed: the set is dealt into more buckets than similar sets of this size can differ
-in tokens, so similar sets have the same combination in one bucket at least. Where a set fills more
-buckets than that, its empty ones have no key: a bucket that it fills is the same already.
+share a token among the first floor(n * (1 - threshold)) + 1. A token known to be rare is an index key
+by itself; the others are frequent and are dealt by hash into classes, whose k-token combinations are
+keys. As k - 1 tokens of each class may be shared without a common key, a prefix goes on until it has
+as many tokens as above besides the first k - 1 frequent ones of every class (`Measure.keys`): then
+similar documents share a rare token or k tokens of one class. The number of classes grows with the
+set (by bands of sizes), so that each holds a few tokens of the prefix, whatever the set's length.
 
 Candidates: members of a key are first compared with one leader of the key, in two rounds; what
 these link needs no other comparison. All remaining pairs of a key in different components follow,
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ CHUNK_CHARS = 8_000_000
 # A token in more sets than this is frequent; a key with more members is compared block by block.
 FREQUENT = 32
 BLOCK_ROWS = 2_000
+# Tokens of a combination.
+COMBINED = 2
 LEADER_ROUNDS = 2
 
 
@@ -90,29 +94,60 @@ class Measure:
         """Linked sets share a token among so many first ones."""
         return n * (self.q - self.p) // self.q + 1
 
-    def band_edges(self, largest: int) -> list[int]:
-        """Sizes at which bands begin: linked sets are in the same band or in neighbouring ones."""
-        edges = [1]
-        while edges[-1] <= largest:
-            edges.append(self.largest_partner(edges[-1]) + 1)
-        return [*edges, self.largest_partner(edges[-1]) + 1]
-
-    def combinations(self, s: np.ndarray) -> np.ndarray:
-        """One key per bucket and band, for the set's own band and the next one."""
-        edges, out = self.band_edges(len(s)), []
-        own = int(np.searchsorted(edges, len(s), side="right")) - 1
-        spread = mixed(s ^ np.uint64(0xA0761D6478BD642F))
-        for band in (own, own + 1):
-            top = edges[band + 1] if band + 1 < len(edges) else self.largest_partner(edges[-1]) + 1
-            buckets = (top - 1) * (self.q - self.p) // self.p + 1
-            sums = np.zeros(buckets, np.uint64)
-            at = ((spread >> np.uint64(20)) % np.uint64(buckets)).astype(int)
-            np.add.at(sums, at, spread)
-            place = np.arange(buckets, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)
-            keys = mixed(sums ^ mixed(place))
-            filled = np.unique(at)
-            out.append(keys[filled] if len(filled) > self.allowed_difference(top - 1, top - 1) else keys)
-        return np.concatenate(out)
+    def bands(self, n: int) -> list[tuple[int, int]]:
+        """Number and least size of the bands that a set of this size is in: the band of its own size,
+        and the next one if a set there can link with it. Linked sets have a band in common."""
+        number, edge = 0, 1
+        while (after := max(2 * edge, self.largest_partner(edge) + 1)) <= n:
+            number, edge = number + 1, after
+        out = [(number, edge)]
+        if self.largest_partner(n) >= after:
+            out.append((number + 1, after))
+        return out
+
+    def classes(self, edge: int) -> tuple[int, int]:
+        """Classes of frequent tokens in the band from this size on, and tokens of a combination: fewer
+        where the smallest set of the band has too few tokens for its prefix to go on so far."""
+        count, least = max(1, self.prefix(edge) - 1), -(-edge * self.p // self.q)
+        size = COMBINED
+        while size > 1 and least - count * (size - 1) < self.prefix(least):
+            size -= 1
+        return count, size
+
+    def keys(self, s: np.ndarray, frequencies: dict[int, int]) -> np.ndarray:
+        """Rare tokens of the prefix, and combinations of its frequent ones by class.
+
+        Of two linked sets, let x be the one whose prefix ends first in the order. At most
+        prefix(len(x)) - 1 of its tokens are not in the other set, so the tokens that end its prefix
+        leave a shared rare one, or a class with enough shared ones for a combination.
+        """
+        told = s % self.counted == 0
+        counted, rest = s[told], s[~told]
+        known = np.array([frequencies.get(h, 1) for h in counted.tolist()], dtype=np.int64)
+        order = np.lexsort((counted, known))
+        need, out = self.prefix(len(s)), []
+        for band, edge in self.bands(len(s)):
+            count, size = self.classes(edge)
+            longest = need + count * (size - 1)
+            tokens = np.concatenate([counted[order], rest])[:longest]
+            often = np.r_[known[order], np.full(len(rest), FREQUENT + 1)][:longest]
+            frequent = np.flatnonzero(often > FREQUENT)
+            class_ = (mixed(tokens[frequent] ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(20)) % np.uint64(count)
+            by_class = np.argsort(class_, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(class_[by_class]) != 0][: len(by_class)])
+            before = np.arange(len(by_class)) - np.repeat(starts, np.diff(np.r_[starts, len(by_class)]))
+            gain = np.ones(len(tokens), np.int64)
+            gain[frequent[by_class]] = before >= size - 1
+            end = int(np.searchsorted(np.cumsum(gain), need)) + 1
+            out.append(tokens[:end][(often[:end] > 1) & (often[:end] <= FREQUENT)])
+            members = by_class[frequent[by_class] < end]
+            groups = np.split(members, np.flatnonzero(np.diff(class_[members])) + 1)
+            chosen = [c for g in groups if len(g) >= size for c in combinations(np.sort(tokens[frequent[g]]).tolist(), size)]
+            key = np.full(len(chosen), band + 1, np.uint64)
+            for token in np.array(chosen, dtype=np.uint64).reshape(-1, size).T:
+                key = mixed(key ^ token)
+            out.append(key)
+        return np.unique(np.concatenate(out))
 
     def fingerprint(self, s: np.ndarray) -> np.ndarray:
         """Sums of tokens by bucket, modulo 2**16; a power of two of buckets, more for larger sets."""
@@ -124,22 +159,6 @@ class Measure:
         np.add.at(sums, (spread & np.uint64(buckets - 1)).astype(int), spread >> np.uint64(32))
         return (sums & np.uint64(0xFFFF)).astype(np.uint16)
 
-    def prefix_keys(self, s: np.ndarray, frequencies: dict[int, int]) -> tuple[list[int], bool]:
-        """Keys of the rare tokens in the prefix, and whether it holds a frequent one."""
-        need = self.prefix(len(s))
-        counted = s[s % self.counted == 0]
-        known = [frequencies.get(h, 1) for h in counted.tolist()]
-        order = np.lexsort((counted, np.array(known, dtype=np.int64)))[:need]
-        keys, frequent = [], False
-        for k in order.tolist():
-            if known[k] > FREQUENT:
-                frequent = True
-            elif known[k] > 1:
-                keys.append(int(counted[k]))
-        if len(order) < need:
-            keys += s[s % self.counted != 0][: need - len(order)].tolist()
-        return keys, frequent
-
 
 def folded(v: np.ndarray, buckets: int) -> np.ndarray:
     while v.shape[-1] > buckets:
@@ -246,10 +265,7 @@ def _index(measure: Measure, table: pa.Table, answers: pa.Table) -> pa.Table:
         told = answers.filter(pa.compute.equal(answers.column("kind"), 1))
         frequencies = dict(zip(joined(told.column("h")).tolist(), joined(told.column("count")).tolist()))
         for doc, s in _entries(measure, table, answers):
-            keys, frequent = measure.prefix_keys(s, frequencies)
-            every = np.array(keys, dtype=np.uint64)
-            if frequent:
-                every = np.concatenate([every, measure.combinations(s)])
+            every = measure.keys(s, frequencies)
             if len(every):
                 kind += [0] + [1] * len(every)
                 doc_id += [doc] * (len(every) + 1)

@@ -161,13 +161,36 @@ def test_jaccard_bounds(words, threshold):
             common = len(np.intersect1d(s, t))
             if not measure.links(common, len(s) + len(t) - common):
                 continue
-            assert np.intersect1d(measure.combinations(s), measure.combinations(t)).size
+            shared = np.intersect1d(s, t)
+            for often in (0.0, 0.3, 0.9, 1.0):  # how many of the shared tokens are frequent
+                counts = np.where(rng.random(len(shared)) < often, rng.integers(33, 99, len(shared)), 2)
+                told = dict(zip(shared.tolist(), counts.tolist()))
+                told |= {h: 50 for h in np.setxor1d(s, t).tolist() if rng.random() < often}
+                assert np.intersect1d(measure.keys(s, told), measure.keys(t, told)).size
             x, y = measure.fingerprint(s), measure.fingerprint(t)
             least = min(len(x), len(y))
             assert (jaccard.folded(x, least) != jaccard.folded(y, least)).sum() <= measure.allowed_difference(n, m)
             assert np.intersect1d(s[: measure.prefix(n)], t[: measure.prefix(m)]).size
 
 
+def test_frequent_tokens_alone_link(monkeypatch):
+    """Only pairs of frequent tokens are keys, and their number grows with the set, not with its square."""
+    measure, rng = jaccard.Measure.of(3, 0.9), np.random.default_rng(5)
+    for n in (300, 3_000, 30_000):
+        s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        t = s[np.sort(rng.permutation(n)[: n - n // 20])]
+        told = dict.fromkeys(s.tolist(), 1000)
+        mine, other = measure.keys(s, told), measure.keys(t, told)
+        assert np.intersect1d(mine, other).size and not np.intersect1d(mine, s).size
+        assert len(mine) < n
+        rare = measure.keys(s, told | dict.fromkeys(s[s % measure.counted == 0].tolist(), 2))
+        assert np.isin(rare, s).sum() >= min(measure.prefix(n), len(s[s % measure.counted == 0]))
+        assert measure.classes(measure.bands(n)[0][1])[1] == jaccard.COMBINED == 2
+    monkeypatch.setattr(jaccard, "COMBINED", 3)
+    told = dict.fromkeys(s.tolist(), 1000)
+    assert np.intersect1d(measure.keys(s, told), measure.keys(t, told)).size
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
