@@ -18,7 +18,8 @@ METADATA_COLUMNS = (
 
 
 def latest_rows(raw: DataFrame) -> DataFrame:
-    """One row per `id_job`: the one submitted last. A partial aggregation, not a sort per job."""
+    """One row per `id_job`: the one submitted last. Partials come before the shuffle; rows hold text,
+    so Spark aggregates them by sorting."""
     row = F.struct(to_number(F.col("time_submit")).alias("_submitted"), *raw.columns)
     return (
         raw.where(to_integer(F.col("id_job")).isNotNull())
