@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobmetrics.operators.quantiles import quantiles_of_counts
+from jobmetrics.operators.quantiles import refined_quantiles
 from jobmetrics.operators.ranking import running_total
 from jobmetrics.session import materialise
 
@@ -107,8 +107,8 @@ def log_histogram_density(df: DataFrame, value: str, by: str, edges: int, floor:
 
 
 def table_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
-    """Exact interpolated quantiles of a whole column, from its distinct values and their counts."""
+    """Exact interpolated quantiles of a whole column."""
     by = by or []
-    counts = value_counts(df, value, by)
-    result = quantiles_of_counts(counts, by, value, "count", tuple(quantiles.values()))
-    return result.select(*by, *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(quantiles)])
+    samples = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    result = refined_quantiles(samples, by, {"_v": tuple(quantiles.values())})
+    return result.select(*by, *[F.get("q__v", F.lit(i)).alias(n) for i, n in enumerate(quantiles)])

@@ -8,12 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.functions.statistics import DISTRIBUTION, distribution, share_above
-from jobmetrics.operators.quantiles import (
-    LONG_SERIES_ROWS,
-    long_series,
-    quantile_array,
-    ranked_quantiles,
-)
+from jobmetrics.operators.quantiles import refined_quantiles
 
 QUARTILES = (0.25, 0.75, 0.95)
 
@@ -40,14 +35,12 @@ def series_stats(
     keys: list[str],
     metrics: Iterable[Metric],
     extra: Iterable[Column] = (),
-    long_series_rows: int = LONG_SERIES_ROWS,
 ) -> DataFrame:
     """One row per series (`keys`) with the statistics of every metric and the `extra` aggregates.
 
     All but the quantiles is one hash aggregation on numbers with map-side partials, so a series
-    holding a large share of all rows is reduced before the shuffle. Quantiles need the values
-    themselves and are a second aggregation over just their columns; its result is partitioned
-    like the first one, so joining the two moves nothing. Series with a NULL key get none.
+    holding a large share of all rows is reduced before the shuffle. Quantiles are refined from
+    histograms of just their columns. Series with a NULL key get none.
     """
     metrics = list(metrics)
     aggregates = list(extra)
@@ -58,28 +51,19 @@ def series_stats(
         aggregates += [share_above(x, t).alias(name) for name, t in m.above.items()]
 
     with_quantiles = [m for m in metrics if m.quantiles]
-    quantiles = _series_quantiles(df, keys, with_quantiles, long_series_rows) if with_quantiles else None
+    quantiles = _series_quantiles(df, keys, with_quantiles) if with_quantiles else None
     if not aggregates:
         return quantiles
     stats = df.groupBy(*keys).agg(*aggregates)
     return stats if quantiles is None else stats.join(quantiles, keys, "left")
 
 
-def _series_quantiles(df: DataFrame, keys: list[str], metrics: list[Metric], long_series_rows: int) -> DataFrame:
+def _series_quantiles(df: DataFrame, keys: list[str], metrics: list[Metric]) -> DataFrame:
     present = F.lit(True)
     for key in keys:
         present = present & F.col(key).isNotNull()
     samples = df.where(present).select(*keys, *dict.fromkeys(m.column for m in metrics))
-    arrays = [quantile_array(F.col(m.column), m.quantiles).alias(f"q_{m.column}") for m in metrics]
-    long_keys = long_series(samples, keys, long_series_rows)
-    if long_keys is None:
-        quantiles = samples.groupBy(*keys).agg(*arrays)
-    else:
-        short = samples.join(long_keys, keys, "left_anti").groupBy(*keys).agg(*arrays)
-        long_samples = samples.join(long_keys, keys, "left_semi")
-        quantiles = short.unionByName(
-            ranked_quantiles(long_samples, keys, {m.column: m.quantiles for m in metrics})
-        )
+    quantiles = refined_quantiles(samples, keys, {m.column: m.quantiles for m in metrics})
     named = [
         F.get(F.col(f"q_{m.column}"), F.lit(i)).alias(name)
         for m in metrics

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.operators.imbalance import imbalance, imbalance_of_nodes, node_parts
-from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
 from jobmetrics.operators.series import QUARTILES, Metric, series_averages, series_stats
 
 # Thresholds of the time-above shares (percent, and a ratio).
@@ -63,24 +62,18 @@ def memory_pressure() -> Column:
     return F.when(mean > 0, F.max("_peak_rss") / F.nullif(mean, F.lit(0.0)))
 
 
-def cpu_series(
-    cpu_ts: DataFrame,
-    metrics: list[Metric] | None = None,
-    long_series_rows: int = LONG_SERIES_ROWS,
-) -> DataFrame:
+def cpu_series(cpu_ts: DataFrame, metrics: list[Metric] | None = None) -> DataFrame:
     """One row per node of a job; samples without a node form a series of their own."""
-    return series_stats(cpu_ts, SERIES, METRICS if metrics is None else metrics, row_totals(), long_series_rows)
+    return series_stats(cpu_ts, SERIES, METRICS if metrics is None else metrics, row_totals())
 
 
-def cpu_summary(
-    cpu_ts: DataFrame, long_series_rows: int = LONG_SERIES_ROWS, imbalance_decimals: int | None = 4
-) -> DataFrame:
+def cpu_summary(cpu_ts: DataFrame, imbalance_decimals: int | None = 4) -> DataFrame:
     """One row per job with CPU telemetry. Samples without a node only enter the totals.
 
     A series is a node, so the parts of the imbalance are aggregates of the same first level.
     """
     extra = [*row_totals(), *node_parts(IMBALANCE)]
-    series = series_stats(cpu_ts, SERIES, METRICS, extra, long_series_rows)
+    series = series_stats(cpu_ts, SERIES, METRICS, extra)
     on_node = F.col("node_id").isNotNull()
     averaged = [n for m in METRICS for n in m.outputs()]
     return series.groupBy(JOB).agg(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.functions.clock import seconds_between
 from jobmetrics.operators.imbalance import imbalance, node_signal
-from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
 from jobmetrics.operators.series import QUARTILES, Metric, series_averages, series_stats
 
 # Fixed value: a device is active when its mean utilisation exceeds this many percent.
@@ -41,10 +40,7 @@ def is_active(busy_pct: float = BUSY_PCT) -> Column:
 
 
 def gpu_series(
-    gpu_ts: DataFrame,
-    busy_pct: float = BUSY_PCT,
-    metrics: list[Metric] | None = None,
-    long_series_rows: int = LONG_SERIES_ROWS,
+    gpu_ts: DataFrame, busy_pct: float = BUSY_PCT, metrics: list[Metric] | None = None
 ) -> DataFrame:
     """One row per device of a job with its statistics, first sample and first busy sample."""
     metrics = gpu_metrics(busy_pct) if metrics is None else metrics
@@ -55,7 +51,7 @@ def gpu_series(
     if "file_ok" in gpu_ts.columns:
         extra += [F.min("file_ok").alias("file_ok")]
         extra += [F.max(flag).alias(flag) for flag in FILE_FLAGS[1:]]
-    return series_stats(gpu_ts, SERIES, metrics, extra, long_series_rows)
+    return series_stats(gpu_ts, SERIES, metrics, extra)
 
 
 def sum_over_active(column: str, active: Column) -> Column:
@@ -90,16 +86,14 @@ def first_use() -> list[Column]:
     return [seconds.alias("time_to_gpu_use_s"), (seconds / 60).alias("minutes_to_gpu_use")]
 
 
-def gpu_summary(
-    gpu_ts: DataFrame, busy_pct: float = BUSY_PCT, long_series_rows: int = LONG_SERIES_ROWS
-) -> DataFrame:
+def gpu_summary(gpu_ts: DataFrame, busy_pct: float = BUSY_PCT) -> DataFrame:
     """One row per job with GPU telemetry.
 
     A device is aggregated once and carries its own active flag, so restricting to active devices
     is a condition of the second aggregation instead of a join back to the samples.
     """
     metrics = gpu_metrics(busy_pct)
-    series = gpu_series(gpu_ts, busy_pct, metrics, long_series_rows)
+    series = gpu_series(gpu_ts, busy_pct, metrics)
     active = is_active(busy_pct)
     averaged = [n for m in metrics if m.prefix != "gpu_power" for n in m.outputs()]
     flags = []

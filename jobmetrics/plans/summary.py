@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.functions.statistics import DISTRIBUTION
-from jobmetrics.operators.quantiles import LONG_SERIES_ROWS
 from jobmetrics.plans import cpu, gpu
 from jobmetrics.plans.metadata import METADATA_COLUMNS
 
@@ -50,7 +49,6 @@ def job_summary(
     cpu_ts: DataFrame,
     gpu_ts: DataFrame,
     busy_pct: float = gpu.BUSY_PCT,
-    long_series_rows: int = LONG_SERIES_ROWS,
     imbalance_decimals: int | None = 4,
 ) -> DataFrame:
     """Wide row per job of `jobs`, which needs the metadata columns and `has_gpu_logs`.
@@ -58,13 +56,13 @@ def job_summary(
     Every part is one row per job and already hash-partitioned by job, so the left joins only
     shuffle the metadata. A job whose GPU logs are unusable counts as a CPU job.
     """
-    gpu_part = gpu.gpu_summary(gpu_ts, busy_pct, long_series_rows)
+    gpu_part = gpu.gpu_summary(gpu_ts, busy_pct)
     checked = "file_ok" in gpu_part.columns
     usable = F.lit(True)
     if checked:
         usable = F.coalesce(F.col("file_ok") & F.col("has_util") & F.col("has_power"), F.lit(True))
     joined = (
-        jobs.join(cpu.cpu_summary(cpu_ts, long_series_rows, imbalance_decimals), "job_id", "left")
+        jobs.join(cpu.cpu_summary(cpu_ts, imbalance_decimals), "job_id", "left")
         .join(gpu_part, "job_id", "left")
         .join(gpu.gpu_imbalance(gpu_ts, imbalance_decimals), "job_id", "left")
         .withColumn("is_gpu_job", F.col("has_gpu_logs") & usable)

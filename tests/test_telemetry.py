@@ -6,9 +6,11 @@ from datetime import datetime, timedelta, timezone
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
+from jobmetrics.operators import quantiles
 from jobmetrics.operators.imbalance import imbalance
-from jobmetrics.operators.quantiles import ranked_quantiles
+from jobmetrics.operators.quantiles import refined_quantiles
 from jobmetrics.operators.series import QUARTILES, Metric, series_stats
 from jobmetrics.plans.cpu import cpu_imbalance, cpu_summary
 from jobmetrics.plans.gpu import active_samples, add_allocation, gpu_imbalance, gpu_summary
@@ -74,23 +76,39 @@ def test_series_statistics_match_numpy(spark):
     rows = [(k, v) for k, values in series.items() for v in values]
     df = spark.createDataFrame(rows, "k int, v double")
     metric = Metric("v", "v", quantiles=QUARTILES, above={"above": 20.0})
-    for limit in (500_000, 50):  # with and without the path for long series
-        for row in series_stats(df, ["k"], [metric], long_series_rows=limit).collect():
-            for name, value in describe(series[row.k]).items():
-                assert close(row[f"v_{name}"], value), (row.k, name, row[f"v_{name}"], value)
-            present = [v for v in series[row.k] if v is not None]
-            share = sum(v > 20 for v in present) / len(present) if present else None
-            assert close(row["above"], share)
-
-
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30), min_size=1, max_size=4))
-def test_ranked_quantiles_match_numpy(spark, groups):
-    rows = [(k, v, float(i)) for k, values in enumerate(groups) for i, v in enumerate(values)]
+    for row in series_stats(df, ["k"], [metric]).collect():
+        for name, value in describe(series[row.k]).items():
+            assert close(row[f"v_{name}"], value), (row.k, name, row[f"v_{name}"], value)
+        present = [v for v in series[row.k] if v is not None]
+        share = sum(v > 20 for v in present) / len(present) if present else None
+        assert close(row["above"], share)
+
+
+@pytest.mark.parametrize("log_bins,fine_bins", [(1 << 16, 1 << 20), (1, 8)])
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40), min_size=1, max_size=4))
+def test_refined_quantiles_match_numpy(spark, log_bins, fine_bins, groups):
+    """Also with bins so coarse that most order statistics need several rounds."""
+    rows = [(k or None, v, float(i)) for k, values in enumerate(groups) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "k int, v double, w double")
-    for row in ranked_quantiles(df, ["k"], {"v": (0.25, 0.95), "w": (0.5,)}).collect():
-        assert np.allclose(row["q_v"], np.quantile(groups[row.k], [0.25, 0.95]), rtol=1e-9, atol=1e-9)
-        assert np.allclose(row["q_w"], [(len(groups[row.k]) - 1) / 2])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quantiles, "LOG_BINS", log_bins)
+        patch.setattr(quantiles, "FINE_BINS", fine_bins)
+        for row in refined_quantiles(df, ["k"], {"v": (0.25, 0.95), "w": (0.5,)}).collect():
+            mine = groups[row.k or 0]
+            assert np.allclose(row["q_v"], np.quantile(mine, [0.25, 0.95]), rtol=1e-9, atol=1e-9)
+            assert np.allclose(row["q_w"], [(len(mine) - 1) / 2])
+
+
+def test_quantiles_of_a_long_series_in_a_small_table_of_bins(spark):
+    """One series with nearly all rows, many of them in one bin; infinite values and series without any."""
+    n = 200_000
+    df = spark.range(n).select(F.lit(1).alias("k"), (1e6 + F.col("id") * 7919 % n / 1e5).alias("v"))
+    more = [(2, float("inf")), (2, 1.0), (2, float("-inf")), (3, None), (4, float("nan")), (4, 2.0), (4, 1.0)]
+    rows = refined_quantiles(df.union(spark.createDataFrame(more, "k int, v double")), ["k"], {"v": (0.25, 0.5, 1.0)})
+    got = {r.k: r.q_v for r in rows.collect()}
+    assert np.allclose(got[1], np.quantile(1e6 + np.arange(n) / 1e5, [0.25, 0.5, 1.0]), rtol=1e-12)
+    assert got[2][1:] == [1.0, math.inf] and got[3] == [None] * 3 and got[4][1] == 2.0 and math.isnan(got[4][2])
 
 
 def test_idle_devices_are_left_out(spark):
