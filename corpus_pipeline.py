@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobmetrics.llm import jaccard, packing, pii, substrings, toxicity
 from jobmetrics.llm.common import DOCUMENT_COLUMNS, table
 from jobmetrics.llm.queries import END_ID, PATTERN, RANKS, SEQUENCE_TOKENS
-from jobmetrics.session import remove_path, scratch_dir
+from jobmetrics.operators.ranking import running_total
+from jobmetrics.session import materialise, remove_path, scratch_dir
 
 TOXIC_SCORE = 0.7
 # Near duplicates: words of a shingle, and the least Jaccard similarity.
@@ -35,14 +36,29 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, and of its rows all.
+    """Of each group of near duplicates the document with the smallest id stays; rows without id all stay.
 
-    Ids to be kept are narrow and join the documents on the id, which is unique or nearly so.
+    If an id occurs more than once, its different texts are judged as documents of their own (by id,
+    then by a hash of the text), and of its rows with equal texts the least one stays.
     """
     docs = docs.select(*DOCUMENT_COLUMNS)
-    groups = jaccard.similar_documents(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_SIMILARITY)
-    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    named = docs.where(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.join(_later_of_group(docs), "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    hashed = named.withColumn("_text", F.xxhash64("text", F.col("text").isNull()))
+    texts = hashed.select("doc_id", "_text").distinct()
+    numbers = materialise(running_total(texts, F.lit(1), ["doc_id", "_text"], out="_row").drop("total"), "rows")
+    least = F.min(F.struct(*DOCUMENT_COLUMNS)).alias("_least")
+    rows = materialise(hashed.join(numbers, ["doc_id", "_text"]).groupBy("_row").agg(least), "distinct-rows")
+    gone = _later_of_group(rows.select(F.col("_row").alias("doc_id"), "_least.text"))
+    kept = rows.join(gone.withColumnRenamed("doc_id", "_row"), "_row", "left_anti").select("_least.*")
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _later_of_group(docs: DataFrame) -> DataFrame:
+    """Ids of the documents that are not the first of their group of near duplicates."""
+    groups = jaccard.similar_documents(docs, NEAR_WORDS, NEAR_SIMILARITY)
+    return groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
