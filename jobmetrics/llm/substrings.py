@@ -74,7 +74,7 @@ def _asked(hashes: np.ndarray, docs: np.ndarray, chunk: int, bits: int, checks:
         c = checks[order]
         new |= np.r_[True, c[1:] != c[:-1]]
     first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(h)] - 1
+    last = np.r_[first[1:], len(h)][: len(first)] - 1
     h, low, high = h[first], d[first], d[last]
     c = c[first] if checks is not None and len(first) else np.zeros(len(first), np.int64)
     spot = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
