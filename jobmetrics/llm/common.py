@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from jobmetrics.session import materialise
+
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,6 +41,31 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def fold_equal_rows(docs: DataFrame) -> tuple[DataFrame, int, bool]:
+    """Every distinct row of `docs` once, the characters of their texts, and whether any was folded.
+
+    Then `_copies` says how often each occurs. Rows that may be equal are found by a hash, so only
+    those are grouped by their columns, with partial counts before the shuffle.
+    """
+    columns = docs.columns
+    row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+    sizes = docs.groupBy(row.alias("_row")).agg(F.count(F.lit(1)).alias("_n"), F.max(F.length("text")).alias("_chars"))
+    sizes = materialise(sizes, "row-sizes")
+    chars = sizes.agg(F.sum("_chars")).first()[0] or 0
+    several = sizes.where(F.col("_n") > 1).select("_row")
+    if several.isEmpty():
+        return docs, chars, False
+    marked = docs.withColumn("_row", row)
+    once = marked.join(several, "_row", "left_anti").select(*columns, F.lit(1).cast("long").alias("_copies"))
+    again = marked.join(several, "_row", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return once.unionByName(again), chars, True
+
+
+def unfold(rows: DataFrame) -> DataFrame:
+    """Every row `_copies` times."""
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copy", "_copies")
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch as Python strings; null counts as empty."""
     return [x if x is not None else "" for x in batch.column(column).to_pylist()]

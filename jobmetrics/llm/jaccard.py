@@ -34,7 +34,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.llm.blobs import WordHashes, joined, mixed, packed, unpacked, windows
-from jobmetrics.llm.common import map_batches, small_batches
+from jobmetrics.llm.common import fold_equal_rows, map_batches, small_batches, unfold
 from jobmetrics.session import materialise
 
 CHUNK_CHARS = 8_000_000
@@ -207,6 +207,7 @@ def _describe(measure: Measure, table: pa.Table) -> pa.Table:
             "n": pa.array(n, pa.int64()),
             "s1": pa.array(_signed(np.array(one, dtype=np.uint64))),
             "s2": pa.array(_signed(np.array(two, dtype=np.uint64))),
+            "_copies": table.column("_copies"),
         }
     )
 
@@ -422,17 +423,18 @@ def similar_documents(docs: DataFrame, shingle_words: int = 3, threshold: float
     measure = Measure.of(shingle_words, threshold)
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    docs, chars, folded = fold_equal_rows(docs.select("doc_id", "text"))
     bits = max(0, int(chars // CHUNK_CHARS).bit_length())
     kind = dict(docs.dtypes)["doc_id"]
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << bits)).alias("chunk")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", chunk)
+    copies = F.col("_copies") if folded else F.lit(1).cast("long").alias("_copies")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", chunk, copies)
 
     def describe_step(table: pa.Table) -> pa.Table:
         return _describe(measure, table)
 
     described = materialise(
-        rows.groupBy("chunk").applyInArrow(describe_step, "doc_id long, chunk long, n long, s1 long, s2 long"), "sets"
+        rows.groupBy("chunk").applyInArrow(describe_step, "doc_id long, chunk long, n long, s1 long, s2 long, _copies long"), "sets"
     )
     content = ["n", "s1", "s2"]
     known = described.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -484,7 +486,8 @@ def similar_documents(docs: DataFrame, shingle_words: int = 3, threshold: float
     by_content = firsts.select(*content, F.col("first.doc_id").alias("doc")).join(labels, "doc", "left")
     found = by_content.select(*content, F.coalesce("label", "doc").alias("label"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    return described.join(found, content, "left").select(
+    labelled = described.join(found, content, "left")
+    return (unfold(labelled) if folded else labelled).select(
         F.col("doc_id").cast(kind).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         component.cast(kind).alias("component_id"),

@@ -15,6 +15,7 @@ windows are ever gathered by key.
 
 Windows are compared by 64 + 32 bits of hash. Null and empty texts have no words. Rows without id
 lose nothing and count for no other; rows with equal ids do not count as smaller to each other.
+Equal rows are folded to one with a count, so their number does not matter to a chunk.
 An empty table gives an empty result.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.llm.blobs import WordHashes, joined, packed, sliding_least, windows
-from jobmetrics.llm.common import WORD, small_batches
+from jobmetrics.llm.common import WORD, fold_equal_rows, small_batches, unfold
 
 WINDOW_WORDS = 13
 SHORTEST = 7  # windows are doubled from at most this length on
@@ -154,11 +155,14 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW_WORDS, carry: tuple[str
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), and the columns `carry`."""
     spark = docs.sparkSession
     small_batches(spark)
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    docs = docs.select(*dict.fromkeys(["doc_id", "text", *carry]))
+    docs, chars, folded = fold_equal_rows(docs)
     bits = max(0, int(chars // CHUNK_CHARS).bit_length())
     kinds = dict(docs.dtypes)
-    chunk_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << bits))
+    if folded:
+        carry = (*carry, "_copies")
     also = [name for name in carry if name != "text"]
+    chunk_of = F.pmod(F.xxhash64("doc_id", "text", *also), F.lit(1 << bits))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also, chunk_of.alias("chunk"))
     asked_as = "spot long, chunk long, h binary, c binary, low binary, more binary"
     answered_as = "chunk long, h binary, c binary, first binary"
@@ -253,4 +257,5 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW_WORDS, carry: tuple[str
     done = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         cut, f"doc_id long, n_words long, n_removed long, kept_text string{carried}"
     )
-    return done.withColumn("doc_id", F.col("doc_id").cast(kinds["doc_id"]))
+    done = done.withColumn("doc_id", F.col("doc_id").cast(kinds["doc_id"]))
+    return unfold(done) if folded else done
