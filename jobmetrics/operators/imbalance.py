@@ -8,8 +8,11 @@ from jobmetrics.functions.statistics import clipped_ratio
 
 
 def node_signal(df: DataFrame, keys: list[str], time: str, columns: list[str]) -> DataFrame:
-    """One value per node and instant: the mean over the devices of the node."""
-    return df.groupBy(*keys, time).agg(*[F.avg(c).alias(c) for c in columns])
+    """One value per node and instant: the mean over the devices of the node.
+
+    All instants of a node are in one task, so that nothing else is shuffled to describe the node.
+    """
+    return df.repartition(*keys).groupBy(*keys, time).agg(*[F.avg(c).alias(c) for c in columns])
 
 
 def imbalance(
