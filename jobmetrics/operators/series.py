@@ -38,11 +38,13 @@ def series_stats(
 ) -> DataFrame:
     """One row per series (`keys`) with the statistics of every metric and the `extra` aggregates.
 
-    All but the quantiles is one hash aggregation on numbers with map-side partials, so a series
-    holding a large share of all rows is reduced before the shuffle. Quantiles are refined from
+    Samples are brought together by node, the first two keys, and then described by one hash
+    aggregation on numbers. Partials of so many statistics are larger than the samples of a short
+    series, and a task would hold one for every series it meets. Quantiles are refined from
     histograms of just their columns. Series with a NULL key get none.
     """
     metrics = list(metrics)
+    df = by_node(df, keys)
     aggregates = list(extra)
     for m in metrics:
         x = F.col(m.column)
@@ -58,6 +60,12 @@ def series_stats(
     return stats if quantiles is None else stats.join(quantiles, keys, "left")
 
 
+def by_node(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """The samples dealt out by job and node, the first two of `keys`: what a task holds and what is
+    shuffled follow from the number of samples, and the nodes of one large job are in many tasks."""
+    return samples.repartition(*keys[:2])
+
+
 def _series_quantiles(df: DataFrame, keys: list[str], metrics: list[Metric]) -> DataFrame:
     present = F.lit(True)
     for key in keys:

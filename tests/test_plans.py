@@ -32,6 +32,19 @@ def test_series_are_reduced_by_hash_before_the_shuffle(spark):
         assert text.count("Exchange hashpartitioning") <= 3
 
 
+def test_samples_come_together_by_node_before_they_are_described(spark):
+    plain = [m for m in gpu.gpu_metrics() if not m.quantiles]
+    for df, shuffles in (
+        (gpu.gpu_series(tables.gpu_ts(spark, SF), metrics=plain), 1),
+        (cpu.cpu_series(tables.cpu_ts(spark, SF), metrics=[]), 1),
+        (gpu.gpu_imbalance(tables.gpu_ts(spark, SF)), 2),
+    ):
+        text = plan(df)
+        # The widest partials are made of samples that were dealt out, and need no shuffle of their own.
+        assert text.count("Exchange hashpartitioning") == shuffles
+        assert "REPARTITION_BY_COL" in text[text.rindex("partial_") :]
+
+
 def test_quantiles_scan_only_their_columns_and_count_before_the_shuffle(spark, monkeypatch):
     written, write = [], quantiles.materialise
     monkeypatch.setattr(quantiles, "materialise", lambda df, label: written.append(plan(df)) or write(df, label))
