@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from jobmetrics.functions.clock import from_epoch, wall_offset
 from jobmetrics.functions.text import (
@@ -152,29 +153,40 @@ def gpu_samples(records: DataFrame) -> DataFrame:
     )
 
 
+def _first_by_position(samples: DataFrame, series: list[str]) -> DataFrame:
+    """`_first_offset`, `_least` and `_most` of `_offset` in every `_block` of every series.
+
+    `pos` is a block and a row, or just a number. Numbers are compared, not the pair, which keeps
+    this a hash aggregation. In a pair NULL comes first.
+    """
+    block, row = F.lit(0), F.col("pos")
+    if isinstance(samples.schema["pos"].dataType, StructType):
+        block, row = (F.coalesce(F.col(f"pos.{part}"), F.lit(-(1 << 63))) for part in ("block", "row"))
+    return samples.groupBy(*series, block.alias("_block")).agg(
+        F.min_by("_offset", row).alias("_first_offset"), F.min("_offset").alias("_least"), F.max("_offset").alias("_most")
+    )
+
+
 def series_to_utc(samples: DataFrame, series: list[str]) -> DataFrame:
     """Add `ts`, shifting every series by the wall-clock offset of its first sample in file order.
 
     The offset of a sample's own time is the same thing unless its series crosses a clock change.
     Only those series are looked up, so ordinary samples are converted in place without a join
-    on the series.
+    on the series. One aggregation finds them and their first offsets.
     """
     offset = wall_offset(F.col("wall_s"))
-    crossing = (
-        samples.groupBy(*series)
-        .agg(F.min(offset).alias("_least"), F.max(offset).alias("_most"))
-        .where(F.col("_least") != F.col("_most"))
-        .select(*series)
-    )
-    crossing = materialise(crossing, "clock-change-series")
-    if crossing.isEmpty():
-        return samples.withColumn("ts", from_epoch(F.col("wall_s") - offset))
+    extent = F.min("_least").alias("_least"), F.max("_most").alias("_most")
     first = (
-        samples.join(crossing, series, "left_semi")
+        _first_by_position(samples.withColumn("_offset", offset), series)
         .groupBy(*series)
-        .agg(F.min_by(offset, "pos").alias("_first_offset"))
+        .agg(F.min_by("_first_offset", "_block").alias("_first_offset"), *extent)
+        .where(F.col("_least") != F.col("_most"))
+        .select(*series, "_first_offset")
     )
-    joined = samples.join(materialise(first, "clock-change-offsets"), series, "left")
+    first = materialise(first, "clock-change-offsets")
+    if first.isEmpty():
+        return samples.withColumn("ts", from_epoch(F.col("wall_s") - offset))
+    joined = samples.join(first, series, "left")
     shift = F.coalesce(F.col("_first_offset"), offset)
     return joined.withColumn("ts", from_epoch(F.col("wall_s") - shift)).drop("_first_offset")
 

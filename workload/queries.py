@@ -329,9 +329,8 @@ def _gpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _written(lines: DataFrame, label: str) -> DataFrame:
-    """Log lines on disk in many files, as logs are."""
-    files = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialise(lines.repartition(files), label)
+    """Log lines on disk, in files as the tables' scans deal them out."""
+    return materialise(lines, label)
 
 
 def _position(row: Column) -> Column:
