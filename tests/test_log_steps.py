@@ -30,6 +30,22 @@ def test_first_offsets_take_one_aggregation_over_numbers(spark, monkeypatch):
     assert len(written) == 1 and "SortAggregate" not in written[0]
 
 
+def test_logs_written_as_files_are_scanned_without_a_list_of_them(spark, monkeypatch, tmp_path):
+    def listed(self):
+        raise AssertionError("the driver lists the files")
+
+    rows = [("/gpu/1-r1.csv", 0, "h"), ("/gpu/1-r1.csv", 1, "x"), ("/gpu/2-r1.csv", 0, "h"), (None, 1, "y")]
+    lines = spark.createDataFrame(rows, "path_key string, row long, line string")
+    lines = lines.select("path_key", F.struct(F.lit(0).cast("bigint").alias("block"), "row").alias("pos"), "line")
+    monkeypatch.setattr(DataFrame, "inputFiles", listed)
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: str(tmp_path))
+    scanned = queries._from_files(lines, "logs")
+    found = scanned.where(F.col("path_key").startswith("/")).orderBy("path_key", "pos").select("path_key", "line").collect()
+    assert [tuple(r) for r in found] == [("/gpu/1-r1.csv", "h"), ("/gpu/1-r1.csv", "x"), ("/gpu/2-r1.csv", "h")]
+    names = [n for _, _, files in os.walk(tmp_path) for n in files if n.startswith(("part-", ".part-"))]
+    assert len(names) == 3 and not [n for n in names if n.endswith(".crc")]
+
+
 def test_log_lines_are_written_where_they_were_read(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(queries, "materialise", lambda df, label: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.functions import clock, text
-from jobmetrics.functions.text import scanned_path
 from jobmetrics.operators.imbalance import node_signal
 from jobmetrics.operators.ranking import batch_numbers
 from jobmetrics.operators.series import QUARTILES, Metric, average_over_series, series_stats
@@ -47,6 +46,11 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[tidy(name, kind) for name, kind in df.dtypes])
 
 
+FILE_FOR_EACH_LOG = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
 # GPU telemetry
 
 
@@ -339,19 +343,18 @@ def _position(row: Column) -> Column:
 
 def gpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     """GPU logs read back: columns by header name, unusable rows dropped, clock corrected."""
-    manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'gpu'").select(
-        "job_id", F.concat(F.lit("/"), "path_key").alias("path_key"), "node_id", "names_node"
-    )
-    return _gpu_log_totals(_gpu_log_lines(spark, d), manifest)
+    return _gpu_log_totals(_gpu_log_lines(spark, d), _gpu_manifest(spark, d))
 
 
 def gpu_log_files(spark: SparkSession, d: str) -> DataFrame:
     """The same from real files, one for every node of a job."""
-    lines, files = _from_files(_gpu_log_lines(spark, d), "gpu-logs")
-    manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'gpu'").select(
-        "job_id", F.concat(F.lit("/"), "path_key").alias("log"), "node_id", "names_node"
+    return _gpu_log_totals(_from_files(_gpu_log_lines(spark, d), "gpu-logs"), _gpu_manifest(spark, d))
+
+
+def _gpu_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'gpu'").select(
+        "job_id", F.concat(F.lit("/"), "path_key").alias("path_key"), "node_id", "names_node"
     )
-    return _gpu_log_totals(lines, manifest.join(files, "log").drop("log"))
 
 
 def _gpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -371,18 +374,19 @@ def _gpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def _from_files(lines: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Log lines written as one file for each log and scanned again, and the place (`path_key`) of each `log`."""
+def _from_files(lines: DataFrame, label: str) -> DataFrame:
+    """Log lines written as one file for each log and scanned again; `path_key` is the log's again.
+
+    On a local disk no checksum file goes beside each of the small files. The log is read off each
+    scanned path, so no list of files passes through the driver's Python.
+    """
     spark = lines.sparkSession
     folder = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     named = lines.select(F.replace("path_key", F.lit("/"), F.lit("!")).alias("log"), "pos", "line")
     ordered = named.repartition("log").sortWithinPartitions("log", "pos").select("log", "line")
-    ordered.write.partitionBy("log").text(folder)
-    scanned = logs.read_log_lines(spark, folder)
-    places = spark.createDataFrame([(f,) for f in scanned.inputFiles()], "name string")
-    places = places.select(scanned_path(F.col("name")).alias("path_key"))
+    ordered.write.options(**FILE_FOR_EACH_LOG).partitionBy("log").text(folder)
     log = F.replace(F.regexp_extract("path_key", "/log=([^/]*)/", 1), F.lit("!"), F.lit("/"))
-    return scanned, places.select("path_key", log.alias("log"))
+    return logs.read_log_lines(spark, folder).withColumn("path_key", log)
 
 
 def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -404,20 +408,18 @@ def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def cpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     """CPU logs read back, normalised by the request of the job."""
-    manifest = _cpu_manifest(spark, d).withColumnRenamed("log", "path_key")
-    return _cpu_log_totals(_cpu_log_lines(spark, d), manifest)
+    return _cpu_log_totals(_cpu_log_lines(spark, d), _cpu_manifest(spark, d))
 
 
 def cpu_log_files(spark: SparkSession, d: str) -> DataFrame:
     """The same from real files, one for every job."""
-    lines, files = _from_files(_cpu_log_lines(spark, d), "cpu-logs")
-    return _cpu_log_totals(lines, _cpu_manifest(spark, d).join(files, "log").drop("log"))
+    return _cpu_log_totals(_from_files(_cpu_log_lines(spark, d), "cpu-logs"), _cpu_manifest(spark, d))
 
 
 def _cpu_manifest(spark: SparkSession, d: str) -> DataFrame:
     per_node = tables.jobs(spark, d).select("job_id", "cpus_per_node")
     manifest = file_index.log_manifest(tables.file_index(spark, d), "").where("kind = 'cpu'")
-    return manifest.select("job_id", F.concat(F.lit("/"), "path_key").alias("log")).join(per_node, "job_id")
+    return manifest.select("job_id", F.concat(F.lit("/"), "path_key").alias("path_key")).join(per_node, "job_id")
 
 
 def _cpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
