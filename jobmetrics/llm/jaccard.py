@@ -24,6 +24,7 @@ no component. Rows with one id are one document for links. An empty table gives
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from fractions import Fraction
 from itertools import combinations
@@ -183,12 +184,15 @@ def _content(s: np.ndarray) -> tuple[int, np.uint64, np.uint64]:
 def _entries(measure: Measure, table: pa.Table, firsts: pa.Table):
     """(id, set) of the chunk's documents that stand for all with their set."""
     wanted = set(joined(firsts.filter(pa.compute.equal(firsts.column("kind"), 0)).column("h")).tolist())
-    hashes, seen = WordHashes.shared(), set()
-    for doc, text in zip(table.column("doc_id").to_pylist(), table.column("text")):
+    docs = table.column("doc_id").to_pylist()
+    hashes, seen, rows = WordHashes.shared(), set(), Counter(docs)
+    for doc, text in zip(docs, table.column("text")):
         if doc in wanted and text.is_valid:
             s = measure.shingles(text.as_py(), hashes)
-            if len(s) and (doc, *_content(s)) not in seen:
-                seen.add((doc, *_content(s)))
+            if len(s) and rows[doc] == 1:
+                yield doc, s
+            elif len(s) and (content := (doc, *_content(s))) not in seen:
+                seen.add(content)
                 yield doc, s
 
 

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,12 @@ def test_stages_keep_columns_and_documents(spark):
         assert texts == [("3", prose(8, 60))] and done.count() == len(rows)
     assert not [r for r in corpus_pipeline.pii_stage(spark, docs, "").collect() if r.text and "@" in r.text]
     assert {r.lang for r in done.collect()} == {OTHERS[0]}
+
+
+def test_content_of_a_set_is_compared_only_where_an_id_repeats(monkeypatch):
+    content, asked = jaccard._content, []
+    monkeypatch.setattr(jaccard, "_content", lambda s: asked.append(len(s)) or content(s))
+    firsts = pa.table({"kind": pa.array([0], pa.int32()), "h": pa.array([jaccard.packed(np.array([1, 2]))], pa.binary())})
+    table = pa.table({"doc_id": [1, 2, 2, 2, 3], "text": ["a b c d", "a b c", "a b c", "b c d e", "x y z"]})
+    found = [(doc, len(s)) for doc, s in jaccard._entries(jaccard.Measure.of(3, 0.9), table, firsts)]
+    assert found == [(1, 2), (2, 1), (2, 2)] and asked == [1, 1, 2]
