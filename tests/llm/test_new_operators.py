@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -134,6 +136,35 @@ def test_divergence_of_nothing(spark):
     assert divergence.source_divergence(frame(spark, [(1, None, None, None)])).count() == 0
 
 
+def test_words_are_cut_as_bytes():
+    texts = [b"", b" ", b"a  b\x0b\x0cc\r\n", b"\xc2\x85x\x1cy\x00 z", b"\xff \xfe\xff", "\u3000 \u00a0".encode(), b"\td"]
+    words, of_text = divergence.words_of(pa.array(texts, pa.binary()).slice(1))
+    want = [(k, w) for k, t in enumerate(texts[1:]) for w in t.split()]
+    assert list(zip(of_text.tolist(), words.view(pa.binary()).to_pylist())) == want
+
+
+def test_bucket_of_many_blocks():
+    # A row of a bucket's result for each slice and stripe, not for each block.
+    texts = [f"W{k % 7} (x) x,y-{k} ü".encode() for k in range(40)]
+    rows = []
+    for number in range(20):
+        block = divergence.Block()
+        two = texts[2 * number : 2 * number + 2]
+        block.add(pa.array(two, pa.binary()), [len(t) for t in two], [("en", "a"), ("en", "b")])
+        rows.append({"bucket": 0, "block": number, "stripe": 0, **block.lists()[0].packed()})
+    cut = divergence.cut_chunks(pa.Table.from_pylist(rows, divergence.DEALT))
+    assert cut.num_rows <= divergence.SLICES
+    found = Counter()
+    for row in cut.to_pylist():
+        lists = divergence.Lists.unpacked(row)
+        blocks = np.repeat(np.frombuffer(row["blocks"], np.int64), np.frombuffer(row["have"], np.uint32))
+        for k, (block, name) in enumerate(zip(blocks.tolist(), lists.names().to_pylist())):
+            for at in range(lists.at[k], lists.at[k + 1]):
+                found[2 * block + int(lists.docs[at]), name] += int(lists.counts[at])
+    terms = Counter((k, w) for k, t in enumerate(texts) for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.decode().lower()))
+    assert found == terms
+
+
 def test_blocks_of_long_texts(spark):
     text = b"aa bb\n" * 100_000 + b"c" * 3_000_000 + b" dd"
     assert b"".join(divergence.pieces(text, 1000)) == text and list(divergence.pieces(b"")) == [b""]
