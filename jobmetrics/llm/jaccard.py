@@ -27,11 +27,13 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.llm.blobs import WordHashes, joined, mixed, packed, unpacked, windows
@@ -39,6 +41,7 @@ from jobmetrics.llm.common import fold_equal_rows, map_batches, small_batches, u
 from jobmetrics.session import materialise
 
 CHUNK_CHARS = 8_000_000
+PORTION_BYTES = 4 << 20  # of texts, split into words at once
 # A token in more sets than this is frequent; a key with more members is compared block by block.
 FREQUENT = 32
 BLOCK_ROWS = 2_000
@@ -116,39 +119,68 @@ class Measure:
         return count, size
 
     def keys(self, s: np.ndarray, frequencies: dict[int, int]) -> np.ndarray:
-        """Rare tokens of the prefix, and combinations of its frequent ones by class.
+        """The keys of one set, see `keys_of`."""
+        counted = s[s % self.counted == 0]
+        known = np.array([frequencies.get(h, 1) for h in counted.tolist()], dtype=np.int64)
+        return self.keys_of(Sets(s, np.array([0, len(s)])), known)[1]
+
+    def keys_of(self, sets: Sets, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each set rare tokens of the prefix, and combinations of its frequent ones by class.
+
+        `known` are the frequencies of the sets' counted tokens. Returns numbers of sets, in order, and keys.
 
         Of two linked sets, let x be the one whose prefix ends first in the order. At most
         prefix(len(x)) - 1 of its tokens are not in the other set, so the tokens that end its prefix
         leave a shared rare one, or a class with enough shared ones for a combination.
         """
-        told = s % self.counted == 0
-        counted, rest = s[told], s[~told]
-        known = np.array([frequencies.get(h, 1) for h in counted.tolist()], dtype=np.int64)
-        order = np.lexsort((counted, known))
-        need, out = self.prefix(len(s)), []
-        for band, edge in self.bands(len(s)):
-            count, size = self.classes(edge)
-            longest = need + count * (size - 1)
-            tokens = np.concatenate([counted[order], rest])[:longest]
-            often = np.r_[known[order], np.full(len(rest), FREQUENT + 1)][:longest]
-            frequent = np.flatnonzero(often > FREQUENT)
-            class_ = (mixed(tokens[frequent] ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(20)) % np.uint64(count)
+        n, told = np.diff(sets.at), sets.tokens % self.counted == 0
+        often = np.full(len(sets.tokens), FREQUENT + 1, np.int64)
+        often[told] = known
+        # Counted tokens by frequency, then the others; the tokens of a set come in the order of their hashes.
+        late = np.iinfo(np.int64).max
+        order = np.lexsort((np.where(told, often, late), sets.numbers()))
+        banded: dict[tuple[int, int, int], list[int]] = {}
+        for k, size in enumerate(n.tolist()):
+            for band, edge in _bands(self, size) if size else ():
+                banded.setdefault((band, *self.classes(edge)), []).append(k)
+        found = []
+        for (band, count, size), some in banded.items():
+            of = np.array(some)
+            need = n[of] * (self.q - self.p) // self.q + 1
+            longest = np.minimum(need + count * (size - 1), n[of])
+            at = order[_places(sets.at[of], longest)]
+            tokens, seen, item = sets.tokens[at], often[at], np.repeat(np.arange(len(of)), longest)
+            frequent = np.flatnonzero(seen > FREQUENT)
+            spread = (mixed(tokens[frequent] ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(20)) % np.uint64(count)
+            class_ = item[frequent] * count + spread.astype(np.int64)
             by_class = np.argsort(class_, kind="stable")
-            starts = np.flatnonzero(np.r_[True, np.diff(class_[by_class]) != 0][: len(by_class)])
-            before = np.arange(len(by_class)) - np.repeat(starts, np.diff(np.r_[starts, len(by_class)]))
+            starts, sizes = _runs(class_[by_class])
             gain = np.ones(len(tokens), np.int64)
-            gain[frequent[by_class]] = before >= size - 1
-            end = int(np.searchsorted(np.cumsum(gain), need)) + 1
-            out.append(tokens[:end][(often[:end] > 1) & (often[:end] <= FREQUENT)])
-            members = by_class[frequent[by_class] < end]
-            groups = np.split(members, np.flatnonzero(np.diff(class_[members])) + 1)
-            chosen = [c for g in groups if len(g) >= size for c in combinations(np.sort(tokens[frequent[g]]).tolist(), size)]
-            key = np.full(len(chosen), band + 1, np.uint64)
-            for token in np.array(chosen, dtype=np.uint64).reshape(-1, size).T:
-                key = mixed(key ^ token)
-            out.append(key)
-        return np.unique(np.concatenate(out))
+            gain[frequent[by_class]] = np.arange(len(by_class)) - np.repeat(starts, sizes) >= size - 1
+            # A prefix ends where its gain is enough, or with the set.
+            last, total = np.cumsum(longest), np.cumsum(gain)
+            before = np.concatenate([[0], total[last - 1]])[:-1]
+            end = np.minimum(np.searchsorted(total, before + need) + 1, last)
+            inside = np.arange(len(tokens)) < end[item]
+            rare = inside & (seen > 1) & (seen <= FREQUENT)
+            found.append((of[item[rare]], tokens[rare]))
+            members = frequent[by_class][inside[frequent[by_class]]]
+            starts, sizes = _runs(class_[by_class][inside[frequent[by_class]]])
+            for width in np.unique(sizes[sizes >= size]).tolist():
+                first = starts[sizes == width]
+                rows = np.sort(tokens[members[first[:, None] + np.arange(width)]], axis=1)
+                chosen = rows[:, list(combinations(range(width), size))]
+                key = np.full(chosen.shape[:2], band + 1, np.uint64)
+                for k in range(size):
+                    key = mixed(key ^ chosen[:, :, k])
+                found.append((np.repeat(of[item[members[first]]], key.shape[1]), key.ravel()))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        number, key = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((key, number))
+        number, key = number[order], key[order]
+        new = np.concatenate([[True], (number[1:] != number[:-1]) | (key[1:] != key[:-1])])[: len(key)]
+        return number[new], key[new]
 
     def fingerprint(self, s: np.ndarray) -> np.ndarray:
         """Sums of tokens by bucket, modulo 2**16; a power of two of buckets, more for larger sets."""
@@ -156,9 +188,78 @@ class Measure:
         while buckets * self.p < 4 * (self.q - self.p) * len(s):
             buckets *= 2
         spread = mixed(s ^ np.uint64(0xE7037ED1A0B428DB))
-        sums = np.zeros(buckets, np.uint64)
-        np.add.at(sums, (spread & np.uint64(buckets - 1)).astype(int), spread >> np.uint64(32))
-        return (sums & np.uint64(0xFFFF)).astype(np.uint16)
+        bucket, low = (spread & np.uint64(buckets - 1)).astype(np.int64), (spread >> np.uint64(32)) & np.uint64(0xFFFF)
+        return (np.bincount(bucket, weights=low, minlength=buckets).astype(np.uint64) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+@dataclass(frozen=True)
+class Sets:
+    """The sorted sets of some documents one after the other, and where each begins and the last ends."""
+
+    tokens: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, measure: Measure, texts: pa.ChunkedArray) -> Sets:
+        """What `Measure.shingles` gives for each text, null ones without words; texts are taken some at a time."""
+        parts, sizes, first, held = [], [np.zeros(1, np.int64)], 0, 0
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for k, length in enumerate(lengths, 1):
+            held += length
+            if held >= PORTION_BYTES or k == len(lengths):
+                tokens, n = _shingled(measure, texts.slice(first, k - first).combine_chunks())
+                parts.append(tokens)
+                sizes.append(n)
+                first, held = k, 0
+        return cls(np.concatenate([np.zeros(0, np.uint64), *parts]), np.cumsum(np.concatenate(sizes)))
+
+    def numbers(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return self.tokens[self.at[k] : self.at[k + 1]]
+
+
+def _shingled(measure: Measure, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of some texts, and the size of each."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words, of_text = cut.flatten(), np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    some = pc.binary_length(words).to_numpy() > 0  # around white space at an end of a text is an empty word
+    coded, of_text = words.filter(pa.array(some)).dictionary_encode(), of_text[some]
+    different = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, different), np.uint64, len(different))[coded.indices.to_numpy()]
+    many = np.bincount(of_text, minlength=len(texts))
+    begin = np.cumsum(many) - many
+    sizes = np.where(many, np.maximum(many - measure.words + 1, 1), 0)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    tokens = np.empty(int(at[-1]), np.uint64)
+    whole = many >= measure.words
+    tokens[np.repeat(whole, sizes)] = windows(hashes, measure.words)[_places(begin[whole], sizes[whole])]
+    for length in np.unique(many[~whole & (many > 0)]).tolist():
+        short = many == length
+        tokens[at[:-1][short]] = mixed(windows(hashes, length)[begin[short]] + np.uint64(length))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        tokens[a:b].sort()
+    new = np.ones(len(tokens), bool)
+    new[1:] = tokens[1:] != tokens[:-1]
+    new[at[:-1][sizes > 0]] = True
+    return tokens[new], np.bincount(np.repeat(np.arange(len(texts)), sizes)[new], minlength=len(texts))
+
+
+@lru_cache(maxsize=10_000)
+def _bands(measure: Measure, n: int) -> list[tuple[int, int]]:
+    return measure.bands(n)
+
+
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places from each start on, so many of each, one after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values start, and their lengths."""
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return starts, np.diff(np.append(starts, len(ordered)))
 
 
 def folded(v: np.ndarray, buckets: int) -> np.ndarray:
@@ -176,41 +277,55 @@ def _chunk_id(table: pa.Table) -> int:
     return table.column("chunk")[0].as_py()
 
 
+SECOND = np.uint64(0x589965CC75374CC3)
+
+
 def _content(s: np.ndarray) -> tuple[int, np.uint64, np.uint64]:
     """Size, and two sums that stand for the content of a set; the sums of an empty one are 0."""
-    return len(s), np.bitwise_xor.reduce(mixed(s)), np.add.reduce(mixed(s ^ np.uint64(0x589965CC75374CC3)))
+    return len(s), np.bitwise_xor.reduce(mixed(s)), np.add.reduce(mixed(s ^ SECOND))
+
+
+def _chosen(measure: Measure, table: pa.Table, firsts: pa.Table) -> tuple[list[int], Sets]:
+    """Ids and sets of the chunk's documents that stand for all with their set."""
+    wanted = joined(firsts.filter(pc.equal(firsts.column("kind"), 0)).column("h"))
+    have = table.filter(pc.and_(pc.is_in(table.column("doc_id"), pa.array(wanted, pa.int64())), pc.is_valid(table.column("text"))))
+    docs, sets = have.column("doc_id").to_pylist(), Sets.of(measure, have.column("text"))
+    seen, rows = set(), Counter(table.column("doc_id").to_pylist())
+    n, keep = np.diff(sets.at), []
+    for k, doc in enumerate(docs):
+        if n[k] and rows[doc] == 1:
+            keep.append(k)
+        elif n[k] and (content := (doc, *_content(sets[k]))) not in seen:
+            seen.add(content)
+            keep.append(k)
+    if len(keep) == len(docs):
+        return docs, sets
+    keep = np.array(keep, np.int64)
+    return [docs[k] for k in keep], Sets(sets.tokens[_places(sets.at[keep], n[keep])], np.concatenate([[0], np.cumsum(n[keep])]))
 
 
 def _entries(measure: Measure, table: pa.Table, firsts: pa.Table):
     """(id, set) of the chunk's documents that stand for all with their set."""
-    wanted = set(joined(firsts.filter(pa.compute.equal(firsts.column("kind"), 0)).column("h")).tolist())
-    docs = table.column("doc_id").to_pylist()
-    hashes, seen, rows = WordHashes.shared(), set(), Counter(docs)
-    for doc, text in zip(docs, table.column("text")):
-        if doc in wanted and text.is_valid:
-            s = measure.shingles(text.as_py(), hashes)
-            if len(s) and rows[doc] == 1:
-                yield doc, s
-            elif len(s) and (content := (doc, *_content(s))) not in seen:
-                seen.add(content)
-                yield doc, s
+    docs, sets = _chosen(measure, table, firsts)
+    for k, doc in enumerate(docs):
+        yield doc, sets[k]
 
 
 def _describe(measure: Measure, table: pa.Table) -> pa.Table:
-    """Size of every document's set, and two sums that stand for its content."""
-    hashes, n, one, two = WordHashes.shared(), [], [], []
-    for text in table.column("text"):
-        size, first, second = _content(measure.shingles(text.as_py() or "", hashes))
-        n.append(size)
-        one.append(first)
-        two.append(second)
+    """Size of every document's set, and two sums that stand for its content, as `_content` gives them."""
+    sets = Sets.of(measure, table.column("text"))
+    n = np.diff(sets.at)
+    one, two, first = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64), sets.at[:-1][n > 0]
+    if len(first):
+        one[n > 0] = np.bitwise_xor.reduceat(mixed(sets.tokens), first)
+        two[n > 0] = np.add.reduceat(mixed(sets.tokens ^ SECOND), first)
     return pa.table(
         {
             "doc_id": table.column("doc_id"),
             "chunk": table.column("chunk"),
             "n": pa.array(n, pa.int64()),
-            "s1": pa.array(_signed(np.array(one, dtype=np.uint64))),
-            "s2": pa.array(_signed(np.array(two, dtype=np.uint64))),
+            "s1": pa.array(_signed(one)),
+            "s2": pa.array(_signed(two)),
             "_copies": table.column("_copies"),
         }
     )
@@ -225,8 +340,8 @@ def _ask(measure: Measure, bits: int):
 
     def run(table: pa.Table, firsts: pa.Table) -> pa.Table:
         have = table.num_rows and firsts.num_rows
-        parts = [s[s % measure.counted == 0] for _, s in _entries(measure, table, firsts)] if have else []
-        h, count = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
+        tokens = _chosen(measure, table, firsts)[1].tokens if have else np.zeros(0, np.uint64)
+        h, count = _runs_of(np.sort(tokens[tokens % measure.counted == 0]))
         spot = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
         cuts = np.r_[np.flatnonzero(np.r_[True, spot[1:] != spot[:-1]]), len(h)] if len(h) else np.zeros(1, int)
         pieces = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
@@ -242,6 +357,12 @@ def _ask(measure: Measure, bits: int):
     return run
 
 
+def _runs_of(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, and how often each occurs."""
+    starts, count = _runs(ordered)
+    return ordered[starts], count
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """To every chunk those of its tokens that several sets hold, with their number."""
     cells = [unpacked(c) for c in table.column("h").to_pylist()]
@@ -267,17 +388,25 @@ def _index(measure: Measure, table: pa.Table, answers: pa.Table) -> pa.Table:
     """Keys of every set that has any (kind 1), and the set with its fingerprint (kind 0)."""
     kind, doc_id, size, key, cell, print_ = [], [], [], [], [], []
     if table.num_rows and answers.num_rows:
-        told = answers.filter(pa.compute.equal(answers.column("kind"), 1))
-        frequencies = dict(zip(joined(told.column("h")).tolist(), joined(told.column("count")).tolist()))
-        for doc, s in _entries(measure, table, answers):
-            every = measure.keys(s, frequencies)
-            if len(every):
-                kind += [0] + [1] * len(every)
-                doc_id += [doc] * (len(every) + 1)
-                size += [len(s)] * (len(every) + 1)
-                key += [0, *_signed(every).tolist()]
-                cell += [packed(s)] + [None] * len(every)
-                print_ += [measure.fingerprint(s).tobytes()] + [None] * len(every)
+        told = answers.filter(pc.equal(answers.column("kind"), 1))
+        docs, sets = _chosen(measure, table, answers)
+        hashes, counts = joined(told.column("h")).astype(np.uint64), joined(told.column("count"))
+        order = np.argsort(hashes)
+        hashes, counts = np.append(hashes[order], np.uint64(0)), np.append(counts[order], 0)
+        # The sentinel at the end is never found: it is for tokens beyond the last.
+        counted = sets.tokens[sets.tokens % measure.counted == 0]
+        spot = np.searchsorted(hashes[:-1], counted)
+        known = np.where((hashes[spot] == counted) & (spot < len(hashes) - 1), counts[spot], 1)
+        number, every = measure.keys_of(sets, known)
+        starts, many = _runs(number)
+        for a, m in zip(starts.tolist(), many.tolist()):
+            doc, s = docs[number[a]], sets[number[a]]
+            kind += [0] + [1] * m
+            doc_id += [doc] * (m + 1)
+            size += [len(s)] * (m + 1)
+            key += [0, *_signed(every[a : a + m]).tolist()]
+            cell += [packed(s)] + [None] * m
+            print_ += [measure.fingerprint(s).tobytes()] + [None] * m
     return pa.table(
         {
             "kind": pa.array(kind, pa.int32()),

@@ -88,3 +88,26 @@ def test_content_of_a_set_is_compared_only_where_an_id_repeats(monkeypatch):
     table = pa.table({"doc_id": [1, 2, 2, 2, 3], "text": ["a b c d", "a b c", "a b c", "b c d e", "x y z"]})
     found = [(doc, len(s)) for doc, s in jaccard._entries(jaccard.Measure.of(3, 0.9), table, firsts)]
     assert found == [(1, 2), (2, 1), (2, 2)] and asked == [1, 1, 2]
+
+
+def test_sets_of_a_chunk_at_once(monkeypatch):
+    """Sets of many texts are those of each one, and no text is cut into words by itself."""
+    monkeypatch.setattr(jaccard, "PORTION_BYTES", 40)  # several portions
+    texts = [None, "", " ", "a", "A b", "a b C", "a a a a a", "\u3000x É\tÉ y\x0bz\x85w \x1cq ", prose(3, 50), None, prose(4, 9) + "\n"]
+    for words in (1, 2, 3, 5):
+        measure = jaccard.Measure.of(words, 0.9)
+        each = [measure.shingles(t or "", jaccard.WordHashes()) for t in texts]
+        with monkeypatch.context() as m:
+            m.setattr(jaccard.Measure, "shingles", None)
+            sets = jaccard.Sets.of(measure, pa.chunked_array([texts[:4], texts[4:]], pa.string()))
+            columns = {"doc_id": range(len(texts)), "chunk": [0] * len(texts), "text": texts, "_copies": [1] * len(texts)}
+            told = jaccard._describe(measure, pa.table({c: pa.array(v) for c, v in columns.items()}))
+        assert [sets[k].tolist() for k in range(len(texts))] == [s.tolist() for s in each]
+        content = [(n, np.int64(a).view(np.uint64), np.int64(b).view(np.uint64)) for n, a, b in zip(*(told.column(c).to_pylist() for c in ("n", "s1", "s2")))]
+        assert content == [jaccard._content(s) for s in each]
+        frequencies = {h: k % 60 for k, h in enumerate(sets.tokens.tolist())}
+        known = np.array([frequencies[h] for h in sets.tokens.tolist() if h % int(measure.counted) == 0], dtype=np.int64)
+        number, key = measure.keys_of(sets, known)
+        assert [key[number == k].tolist() for k in range(len(texts))] == [measure.keys(s, frequencies).tolist() for s in each]
+    none = jaccard.Sets.of(measure, pa.chunked_array([], pa.string()))
+    assert len(none.tokens) == 0 and len(measure.keys_of(none, np.zeros(0, np.int64))[1]) == 0
