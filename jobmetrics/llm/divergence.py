@@ -21,6 +21,7 @@ Languages without kept terms give pairs with value 0 and no terms. No documents
 
 from __future__ import annotations
 
+import contextvars
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -31,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobmetrics.session import materialise
+from jobmetrics.session import materialise, scratch_scope
 
 # Runs of ASCII letters and anything beyond ASCII; A-Z are lower-cased.
 # As bytes: UTF-8 has bytes below 0x80 for ASCII only.
@@ -44,7 +45,7 @@ BLOCK_DOCS = 1 << 16
 PIECE_BYTES = 4 << 20  # of texts, split into chunks at once
 BUCKET_CHUNKS = 250_000  # chunks, counted once for each block, that are dealt to one bucket
 LEAST_BUCKETS = 64
-SLICES = 32  # of the terms, by hash
+SLICES = 64  # of the terms, by hash
 STRIPE_BLOCKS = 64  # blocks whose lists of a slice go to one task
 MOST = np.iinfo(np.uint16).max
 
@@ -87,6 +88,10 @@ def _bytes_of(names: pa.Array) -> list[bytes]:
     return names.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
+def _hashes(names: pa.Array) -> np.ndarray:
+    return np.fromiter(map(crc32, _bytes_of(names)), np.int64, len(names))
+
+
 def _entries_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places from each start on, so many of each, one after the other."""
     return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
@@ -168,8 +173,8 @@ class Block:
     def full(self) -> bool:
         return self.bytes >= BLOCK_BYTES or len(self.group_of) >= BLOCK_DOCS
 
-    def lists(self) -> tuple[Lists, np.ndarray]:
-        """The chunks in the order of their hashes with their documents and counts, and the hashes.
+    def lists(self) -> Lists:
+        """The chunks in the order of their hashes with their documents and counts.
 
         Documents are numbered by group; a count beyond 16 bits takes several entries.
         """
@@ -178,8 +183,7 @@ class Block:
         number[np.argsort(group_of, kind="stable")] = np.arange(len(group_of))
         portions = np.cumsum([0, *(len(n) for n in self.names)])
         distinct, code = _numbered(self.names)
-        hashes = np.fromiter(map(crc32, _bytes_of(distinct)), np.uint32, len(distinct))
-        by_hash = np.argsort(hashes, kind="stable")
+        by_hash = np.argsort(_hashes(distinct), kind="stable")
         place = np.empty(len(distinct), np.int64)
         place[by_hash] = np.arange(len(distinct))
         place = place[code]
@@ -194,7 +198,7 @@ class Block:
         counts[np.cumsum(times) - 1] = count - (times - np.uint32(1)) * np.uint32(MOST)
         sizes = np.bincount(np.repeat(chunk, times), minlength=len(distinct))
         entries = np.repeat(doc, times).astype(np.uint16), counts
-        return Lists(_blob(distinct.take(pa.array(by_hash))), sizes.astype(np.uint32), *entries), hashes[by_hash]
+        return Lists(_blob(distinct.take(pa.array(by_hash))), sizes.astype(np.uint32), *entries)
 
     def ends(self) -> list[dict]:
         """The groups in the order of their documents' numbers, and the number after each one's last."""
@@ -203,14 +207,14 @@ class Block:
 
 
 ENDS = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("upto", pa.int32())]))
-BLOCK_SCHEMA = """block long, n_chunks long, hashes binary, names binary, sizes binary, docs binary, counts binary,
+BLOCK_SCHEMA = """block long, n_chunks long, names binary, sizes binary, docs binary, counts binary,
     ends array<struct<lang: string, source: string, upto: int>>"""
 
 
 def _block_row(block: Block, number: int) -> pa.RecordBatch:
-    lists, hashes = block.lists()
-    columns = {"block": pa.array([number]), "n_chunks": pa.array([len(hashes)])}
-    columns |= {name: pa.array([cell], pa.binary()) for name, cell in {"hashes": hashes.tobytes(), **lists.packed()}.items()}
+    lists = block.lists()
+    columns = {"block": pa.array([number]), "n_chunks": pa.array([len(lists.sizes)])}
+    columns |= {name: pa.array([cell], pa.binary()) for name, cell in lists.packed().items()}
     return pa.RecordBatch.from_pydict({**columns, "ends": pa.array([block.ends()], ENDS)})
 
 
@@ -249,9 +253,10 @@ def deal(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
     """The lists of every block cut into buckets by the chunks' hashes, in whose order they are."""
     for batch in batches:
         for row in batch.to_pylist():
-            bucket = np.frombuffer(row["hashes"], np.uint32).astype(np.int64) * buckets >> 32
+            lists = Lists.unpacked(row)
+            bucket = _hashes(lists.names()) * buckets >> 32
             bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-            out = [{"bucket": k, "block": row["block"], "stripe": row["stripe"], **cells} for k, cells in Lists.unpacked(row).cut(bounds)]
+            out = [{"bucket": k, "block": row["block"], "stripe": row["stripe"], **cells} for k, cells in lists.cut(bounds)]
             yield from pa.Table.from_pylist(out, DEALT).to_batches(max_chunksize=1000)
 
 
@@ -276,7 +281,7 @@ def cut_chunks(rows: pa.Table) -> pa.Table:
     named, flat = _numbered([terms])
     many_of = np.bincount(of_chunk, minlength=len(chunks))
     starts = np.cumsum(many_of) - many_of
-    of_slice = np.fromiter(map(crc32, _bytes_of(named)), np.int64, len(named)) % SLICES
+    of_slice = _hashes(named) % SLICES
     # By slice: names, and how many each block has; and their entries.
     parts: dict[tuple[int, int], list] = {}
     done = 0
@@ -435,7 +440,9 @@ def source_divergence(
     text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """lang, source, part, item, value, rank: the other sources by divergence, and the most telling terms."""
-    kept = materialise(kept_counts(docs, min_docs, text_col, lang_col, source_col), "kept")
+    here = contextvars.copy_context()
+    with scratch_scope(docs.sparkSession):  # the blocks go as soon as the counts are written, outside of the scope
+        kept = here.run(materialise, kept_counts(docs, min_docs, text_col, lang_col, source_col), "kept")
     leads = F.col("leads").cast("long")
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"), F.sum(leads).alias("led"))
     totals = materialise(totals, "totals")

@@ -151,7 +151,7 @@ def test_bucket_of_many_blocks():
         block = divergence.Block()
         two = texts[2 * number : 2 * number + 2]
         block.add(pa.array(two, pa.binary()), [len(t) for t in two], [("en", "a"), ("en", "b")])
-        rows.append({"bucket": 0, "block": number, "stripe": 0, **block.lists()[0].packed()})
+        rows.append({"bucket": 0, "block": number, "stripe": 0, **block.lists().packed()})
     cut = divergence.cut_chunks(pa.Table.from_pylist(rows, divergence.DEALT))
     assert cut.num_rows <= divergence.SLICES
     found = Counter()
