@@ -51,3 +51,46 @@ def test_log_lines_are_written_where_they_were_read(spark, monkeypatch):
     monkeypatch.setattr(queries, "materialise", lambda df, label: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
     queries._written(spark.range(3), "lines").count()
     assert len(seen) == 1 and "Repartition" not in seen[0]
+
+
+def _log_lines(spark, rows):
+    lines = spark.createDataFrame(rows, "path_key string, row long, line string")
+    return lines.select("path_key", F.struct(F.lit(0).cast("bigint").alias("block"), "row").alias("pos"), "line")
+
+
+LOG_ROWS = [(f"/gpu/{k}-r1.csv", n, f"{k},{n}") for k in range(9) for n in range(k + 1)] + [("/gpu/3-r1.csv", 9, None), ("/gpu/4-r1.csv", 9, "é\"")]
+LOG_LINES = {(p, line) for p, _, line in LOG_ROWS if line}
+
+
+def test_many_logs_share_a_folder_and_are_scanned_in_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(queries.log_files, "FILES_PER_FOLDER", 2)
+    monkeypatch.setattr(queries.log_files, "FILES_PER_SCAN", 3)
+    staged = []
+    lines = _log_lines(spark, LOG_ROWS).repartition(3)
+    found = queries._from_files(lines, "logs", lambda scan: staged.append(len(scan.inputFiles())) or scan)
+    rows = [tuple(r) for r in found.orderBy("path_key", "pos").select("path_key", "line").collect()]
+    assert rows == sorted(LOG_LINES) and sum(staged) == 9 and len(staged) > 1 and max(staged) <= 4
+    folders = {f: len(files) for f, _, files in os.walk(tmp_path) if files}
+    assert sum(folders.values()) == 9 and max(folders.values()) == 2
+
+
+def test_logs_in_a_store_that_only_spark_reads(spark, monkeypatch, tmp_path):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.logs.link./logs", tmp_path.as_uri())
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: "viewfs://logs/logs")
+    found = queries._from_files(_log_lines(spark, LOG_ROWS), "logs")
+    rows = [tuple(r) for r in found.orderBy("path_key", "pos").select("path_key", "line").collect()]
+    assert rows == sorted(LOG_LINES)
+
+
+def test_no_logs(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: str(tmp_path))
+    assert queries._from_files(_log_lines(spark, []), "logs").count() == 0
+
+
+def test_a_scan_of_logs_leaves_the_session_as_it_was(spark):
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    with queries.log_files.small_files(spark):
+        assert spark.conf.get(key) != before
+    assert spark.conf.get(key) == before

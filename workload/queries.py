@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +18,7 @@ from jobmetrics.session import materialise, scratch_dir
 from jobmetrics.sources import index as file_index
 from jobmetrics.sources import logs, store
 from jobmetrics.sources.scheduler import read_scheduler_csv
-from workload import tables
+from workload import log_files, tables
 from workload.tables import BUSY_PCT
 
 
@@ -46,11 +48,6 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[tidy(name, kind) for name, kind in df.dtypes])
 
 
-FILE_FOR_EACH_LOG = {
-    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
-    "fs.file.impl.disable.cache": "true",
-}
-
 # GPU telemetry
 
 
@@ -329,7 +326,7 @@ def _gpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
         _position(F.lit(0)),
         F.when(odd, ",".join(turned)).otherwise(",".join(straight)).alias("line"),
     )
-    return _written(heads.unionByName(body), "gpu-lines")
+    return heads.unionByName(body)
 
 
 def _written(lines: DataFrame, label: str) -> DataFrame:
@@ -343,12 +340,14 @@ def _position(row: Column) -> Column:
 
 def gpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     """GPU logs read back: columns by header name, unusable rows dropped, clock corrected."""
-    return _gpu_log_totals(_gpu_log_lines(spark, d), _gpu_manifest(spark, d))
+    records = logs.stage_records(_written(_gpu_log_lines(spark, d), "gpu-lines"), logs.GPU_COLUMNS)
+    return _gpu_log_totals(records, _gpu_manifest(spark, d))
 
 
 def gpu_log_files(spark: SparkSession, d: str) -> DataFrame:
     """The same from real files, one for every node of a job."""
-    return _gpu_log_totals(_from_files(_gpu_log_lines(spark, d), "gpu-logs"), _gpu_manifest(spark, d))
+    records = _from_files(_gpu_log_lines(spark, d), "gpu-logs", lambda x: logs.stage_records(x, logs.GPU_COLUMNS))
+    return _gpu_log_totals(records, _gpu_manifest(spark, d))
 
 
 def _gpu_manifest(spark: SparkSession, d: str) -> DataFrame:
@@ -357,8 +356,8 @@ def _gpu_manifest(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _gpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
-    samples = logs.tidy_gpu(logs.map_columns(lines, manifest, logs.GPU_COLUMNS))
+def _gpu_log_totals(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    samples = logs.tidy_gpu(logs.map_records(records, manifest, logs.GPU_COLUMNS))
     return rounded(
         samples.groupBy("job_id", "node_id", "gpu_index").agg(
             F.count(F.lit(1)).alias("samples"),
@@ -374,19 +373,23 @@ def _gpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def _from_files(lines: DataFrame, label: str) -> DataFrame:
+def _from_files(
+    lines: DataFrame, label: str, stage: Callable[[DataFrame], DataFrame] = lambda scanned: scanned
+) -> DataFrame:
     """Log lines written as one file for each log and scanned again; `path_key` is the log's again.
 
-    On a local disk no checksum file goes beside each of the small files. The log is read off each
-    scanned path, so no list of files passes through the driver's Python.
+    `stage` is applied to the lines of one scan at a time, so if it writes them the driver never
+    holds the names of more files than one scan has.
     """
     spark = lines.sparkSession
     folder = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     named = lines.select(F.replace("path_key", F.lit("/"), F.lit("!")).alias("log"), "pos", "line")
-    ordered = named.repartition("log").sortWithinPartitions("log", "pos").select("log", "line")
-    ordered.write.options(**FILE_FOR_EACH_LOG).partitionBy("log").text(folder)
-    log = F.replace(F.regexp_extract("path_key", "/log=([^/]*)/", 1), F.lit("!"), F.lit("/"))
-    return logs.read_log_lines(spark, folder).withColumn("path_key", log)
+    log = F.regexp_extract("path_key", "/(?:part-)?log=([^/]*)(?:/[^/]*)?$", 1)
+    log = F.replace(log, F.lit("!"), F.lit("/"))
+    scans = log_files.write_logs(named, folder)
+    with log_files.small_files(spark):
+        staged = [stage(logs.read_log_lines(spark, s).withColumn("path_key", log)) for s in scans]
+    return functools.reduce(DataFrame.unionByName, staged)
 
 
 def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -403,17 +406,19 @@ def _cpu_log_lines(spark: SparkSession, d: str) -> DataFrame:
     heads = events.select("user_id").distinct().select(
         path.alias("path_key"), _position(F.lit(0)), F.lit(",".join(logs.CPU_COLUMNS)).alias("line")
     )
-    return _written(heads.unionByName(body), "cpu-lines")
+    return heads.unionByName(body)
 
 
 def cpu_log_samples(spark: SparkSession, d: str) -> DataFrame:
     """CPU logs read back, normalised by the request of the job."""
-    return _cpu_log_totals(_cpu_log_lines(spark, d), _cpu_manifest(spark, d))
+    records = logs.stage_records(_written(_cpu_log_lines(spark, d), "cpu-lines"), logs.CPU_COLUMNS)
+    return _cpu_log_totals(records, _cpu_manifest(spark, d))
 
 
 def cpu_log_files(spark: SparkSession, d: str) -> DataFrame:
     """The same from real files, one for every job."""
-    return _cpu_log_totals(_from_files(_cpu_log_lines(spark, d), "cpu-logs"), _cpu_manifest(spark, d))
+    records = _from_files(_cpu_log_lines(spark, d), "cpu-logs", lambda x: logs.stage_records(x, logs.CPU_COLUMNS))
+    return _cpu_log_totals(records, _cpu_manifest(spark, d))
 
 
 def _cpu_manifest(spark: SparkSession, d: str) -> DataFrame:
@@ -422,8 +427,8 @@ def _cpu_manifest(spark: SparkSession, d: str) -> DataFrame:
     return manifest.select("job_id", F.concat(F.lit("/"), "path_key").alias("path_key")).join(per_node, "job_id")
 
 
-def _cpu_log_totals(lines: DataFrame, manifest: DataFrame) -> DataFrame:
-    samples = logs.tidy_cpu(logs.map_columns(lines, manifest, logs.CPU_COLUMNS))
+def _cpu_log_totals(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    samples = logs.tidy_cpu(logs.map_records(records, manifest, logs.CPU_COLUMNS))
     return rounded(
         samples.groupBy("job_id", "node_id").agg(
             F.count(F.lit(1)).alias("samples"),
