@@ -27,22 +27,36 @@ GPU_REQUIRED = ("timestamp", "gpu_index", "memory_used_MiB", "memory_free_MiB")
 KIB_PER_MIB = 1024.0
 
 
-def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_log_lines(spark: SparkSession, paths: str | list[str], whole: bool = False) -> DataFrame:
     """Lines of log files: `path_key`, `pos` (order within the file) and `line`.
 
     `paths` may be folders, files or globs. Blank lines are dropped. Files that vanish contribute
     nothing; a damaged file fails the read, so that no part of it passes for the whole.
+
+    `whole` is for many small files without compression: each is read at once and then cut into the
+    same lines, as the text reader copies the Hadoop settings for every file, one copy at a time.
     """
-    reader = spark.read.option("ignoreMissingFiles", True)
-    lines = reader.option("recursiveFileLookup", True).text(paths)
-    return lines.select(
-        scanned_path(F.col("_metadata.file_path")).alias("path_key"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("pos"),
-        F.col("value").alias("line"),
-    ).where(F.trim("line") != "")
+    reader = spark.read.option("ignoreMissingFiles", True).option("recursiveFileLookup", True)
+    path_key = scanned_path(F.col("_metadata.file_path")).alias("path_key")
+    if whole:
+        files = reader.format("binaryFile").load(paths).select(path_key, "content")
+        block = F.lit(0).cast("bigint").alias("block")
+        lines = files.select("path_key", block, F.explode(_lines_of(F.col("content"))).alias("line"))
+    else:
+        lines = reader.text(paths).select(path_key, F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    pos = F.struct("block", F.monotonically_increasing_id().alias("row")).alias("pos")
+    return lines.select("path_key", pos, "line").where(F.trim("line") != "")
+
+
+def _lines_of(content: Column) -> Column:
+    """The lines in the bytes of a file, as the text reader finds them: without a byte order mark, and
+    with bytes that are no UTF-8 left as they are."""
+    marked = F.startswith(content, F.lit(b"\xef\xbb\xbf"))
+    content = F.when(marked, F.substring(content, 4, 2**31 - 1)).otherwise(content)
+    text, ends = content.cast("string"), "\r\n|\r|\n"
+    # A character stands for every byte here, so no byte is lost.
+    kept = F.transform(F.split(F.decode(content, "ISO-8859-1"), ends), lambda x: F.encode(x, "ISO-8859-1").cast("string"))
+    return F.when(F.is_valid_utf8(text), F.split(text, ends)).otherwise(kept)
 
 
 def stage_records(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:

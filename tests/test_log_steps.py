@@ -94,3 +94,37 @@ def test_a_scan_of_logs_leaves_the_session_as_it_was(spark):
     with queries.log_files.small_files(spark):
         assert spark.conf.get(key) != before
     assert spark.conf.get(key) == before
+
+
+def test_files_read_at_once_give_the_lines_the_text_reader_gives(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbfa,b\r\n1,2\r3,4\n\n  \n\t\nx\xe2\x82\nq\xff\xfe")
+    (tmp_path / "b c+%20.csv").write_bytes("é,ü\n\nlast".encode())
+    (tmp_path / "e.csv").write_bytes(b"")
+    (tmp_path / "f.csv").write_bytes(b"\xef\xbb\xbf")
+    read = {}
+    for whole in (False, True):
+        lines = logs.read_log_lines(spark, str(tmp_path), whole)
+        rows = lines.orderBy("path_key", "pos").select("path_key", "pos.block", F.hex("line")).collect()
+        read[whole] = [tuple(r) for r in rows]
+    assert read[True] == read[False] and len(read[True]) == 8
+
+
+def test_a_whole_file_that_vanishes_contributes_nothing(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("x\ny")
+    lines = logs.read_log_lines(spark, str(tmp_path), whole=True)
+    (tmp_path / "1.csv").unlink()
+    assert lines.count() == 4
+
+
+def test_large_logs_are_not_read_at_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(queries.log_files, "FILES_PER_FOLDER", 1)
+    monkeypatch.setattr(queries.log_files, "SMALL_FILE", 12)
+    read, asked = queries.logs.read_log_lines, []
+    monkeypatch.setattr(queries.logs, "read_log_lines", lambda spark, paths, whole=False: asked.append((whole, len(paths))) or read(spark, paths, whole))
+    found = queries._from_files(_log_lines(spark, LOG_ROWS), "logs")
+    rows = [tuple(r) for r in found.orderBy("path_key", "pos").select("path_key", "line").collect()]
+    assert rows == sorted(LOG_LINES)
+    # Four bytes a line, and five and four more in two of the logs.
+    assert asked == [(True, 3), (False, 6)]

@@ -6,6 +6,7 @@ import contextlib
 import os
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,13 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 # Files that lie in one folder, and files that one scan reads: the driver holds the names of one scan.
 FILES_PER_FOLDER = 1_000
 FILES_PER_SCAN = 100_000
+# Bytes of a file that is read at once.
+SMALL_FILE = 1 << 20
 
 
-def write_logs(lines: DataFrame, folder: str) -> list[list[str]]:
+class Scan(NamedTuple):
+    """Folders to scan together, and whether all of their files are small."""
+
+    folders: list[str]
+    small: bool
+
+
+def write_logs(lines: DataFrame, folder: str) -> list[Scan]:
     """Write one file for each `log` of `lines` (`log`, `pos`, `line`), its lines in the order of `pos`.
 
-    Returns the folders to scan, so many at a time that one scan has about FILES_PER_SCAN files. The
-    log's name follows `log=` in the path of its file.
+    Returns the scans of them, of about FILES_PER_SCAN files each. The log's name follows `log=` in the
+    path of its file.
 
     On a disk that all tasks share, a task writes its files itself: Hadoop's local file system starts
     a process for every file, to set its permissions, and Spark moves all files once more in the driver.
@@ -31,12 +41,12 @@ def write_logs(lines: DataFrame, folder: str) -> list[list[str]]:
     ordered = lines.repartition("log").sortWithinPartitions("log", "pos").select("log", "line")
     if fs.getUri().getScheme() != "file":
         ordered.write.mode("append").partitionBy("log").text(folder)
-        return [[folder]]
+        return [Scan([folder], False)]
     return _scans(_write_local(ordered, path.toUri().getPath()), folder)
 
 
-def _write_local(ordered: DataFrame, folder: str) -> list[tuple[str, int]]:
-    """Name and number of files of every folder written below `folder`.
+def _write_local(ordered: DataFrame, folder: str) -> list[tuple[str, int, int]]:
+    """Name, number of files and bytes of the largest file of every folder written below `folder`.
 
     An attempt of a task has folders of its own; those of attempts that failed or came second are
     not among the names.
@@ -61,13 +71,15 @@ def _write_local(ordered: DataFrame, folder: str) -> list[tuple[str, int]]:
                         if out is not None:
                             out.close()
                         if not written or written[-1][1] == per_folder:
-                            written.append([f"{attempt}-{len(written)}", 0])
+                            written.append([f"{attempt}-{len(written)}", 0, 0])
                             os.makedirs(f"{folder}/{written[-1][0]}")
                         name = "__HIVE_DEFAULT_PARTITION__" if log is None else log
                         out = open(f"{folder}/{written[-1][0]}/part-log={name}", "xb", buffering=0)
                         written[-1][1] += 1
-                        current = log
+                        current, size = log, 0
                     part = memoryview(data)[ends[start] : ends[end]]
+                    size += len(part)
+                    written[-1][2] = max(written[-1][2], size)
                     while len(part):
                         part = part[out.write(part) :]
                     start = end
@@ -75,22 +87,24 @@ def _write_local(ordered: DataFrame, folder: str) -> list[tuple[str, int]]:
             if out is not None:
                 out.close()
         if written:
-            names, files = zip(*written)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(files, pa.int64())], ["name", "files"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*written)], ["name", "files", "largest"])
 
-    return [tuple(r) for r in ordered.mapInArrow(write, "name string, files long").collect()]
+    return [tuple(r) for r in ordered.mapInArrow(write, "name string, files long, largest long").collect()]
 
 
-def _scans(written: list[tuple[str, int]], folder: str) -> list[list[str]]:
+def _scans(written: list[tuple[str, int, int]], folder: str) -> list[Scan]:
     """The folders in groups that close once they have FILES_PER_SCAN files."""
-    scans, files = [[]], 0
-    for name, count in written:
-        if files >= FILES_PER_SCAN:
-            scans.append([])
-            files = 0
-        scans[-1].append(f"{folder}/{name}")
-        files += count
-    return scans if written else [[folder]]
+    scans = []
+    for small in (True, False):
+        files = FILES_PER_SCAN
+        for name, count, largest in written:
+            if (largest <= SMALL_FILE) == small:
+                if files >= FILES_PER_SCAN:
+                    scans.append(Scan([], small))
+                    files = 0
+                scans[-1].folders.append(f"{folder}/{name}")
+                files += count
+    return scans or [Scan([folder], True)]
 
 
 @contextlib.contextmanager

@@ -384,11 +384,11 @@ def _from_files(
     spark = lines.sparkSession
     folder = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     named = lines.select(F.replace("path_key", F.lit("/"), F.lit("!")).alias("log"), "pos", "line")
-    log = F.regexp_extract("path_key", "/(?:part-)?log=([^/]*)(?:/[^/]*)?$", 1)
+    log = F.substring_index(F.substring_index("path_key", "log=", -1), "/", 1)
     log = F.replace(log, F.lit("!"), F.lit("/"))
     scans = log_files.write_logs(named, folder)
     with log_files.small_files(spark):
-        staged = [stage(logs.read_log_lines(spark, s).withColumn("path_key", log)) for s in scans]
+        staged = [stage(logs.read_log_lines(spark, s.folders, s.small).withColumn("path_key", log)) for s in scans]
     return functools.reduce(DataFrame.unionByName, staged)
 
 
